@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,13 +110,15 @@ def rolling_mean(df: DataFrame, order_by: str, column: str, size: int, centred:
     return df.withColumn(out, F.when(F.count(column).over(frame) == size, F.avg(column).over(frame)))
 
 
+def sort_position(column: str, order: Sequence) -> Column:
+    """1-based position of a value in a list; values not listed come after."""
+    found = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(column))
+    return F.when(found > 0, found).otherwise(len(order) + 1)
+
+
 def custom_sort_order(df: DataFrame, column: str, order: Sequence) -> DataFrame:
     """Rows sorted by the position of a value in a list."""
-    position = reduce(
-        lambda acc, pair: acc.when(F.col(column) == pair[1], pair[0]), enumerate(order[1:], 1),
-        F.when(F.col(column) == order[0], 0),
-    ).otherwise(len(order))
-    return df.orderBy(position, column)
+    return df.orderBy(sort_position(column, order), column)
 
 
 def chunk_combine_finalize(df: DataFrame, keys: Sequence[str], chunk: dict[str, Column], finalize: dict[str, Column]) -> DataFrame:

@@ -64,15 +64,14 @@ def stream_alerts(transactions: DataFrame, flagged: DataFrame, party: str, descr
 
 def stream_graph_ingest(
     batches: DataFrame, store: GraphStore, checkpoint: str, to_nodes: Callable[[DataFrame], DataFrame],
-    to_edges: Callable[[DataFrame], DataFrame], operation: str = "operation",
+    to_edges: Callable[[DataFrame], DataFrame], operation: str = "operation", base_version: int = 0,
 ) -> StreamingQuery:
     """Mini-batches with an operation column (upsert or delete) become graph versions. The version
-    of a batch is fixed by its batch id and a finished version is never written again, so a
-    replayed batch changes nothing."""
-    first = (store.versions() or [0])[-1]
+    of a batch is ``base_version`` (the version the stream starts from) plus its batch id plus one;
+    a finished version is never written again, so a replayed batch changes nothing."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = first + batch_id + 1
+        version = base_version + batch_id + 1
         if version in store.versions():
             return
         upserts = batch.filter(F.col(operation) == "upsert")
