@@ -210,9 +210,9 @@ def two_hop_not_direct(edges: DataFrame, measures: DataFrame, columns: Sequence[
     )
     back = counted.alias("x").join(
         counted.alias("y"), (F.col("x.dst") == F.col("y.src")) & (F.col("x.src") == F.col("y.dst"))
-    ).select(F.col("x.src").alias("id"), (F.col("x.n") * F.col("y.n")).alias("paths"))
+    ).select(F.col("x.src").alias("id"), (F.col("x.n") * F.col("y.n")).alias("_paths"))
     back = back.join(loops, "id", "left_semi").join(measures.select("id", *columns), "id")
-    minus = [(-F.col("paths") * F.col(c)).alias(c) for c in columns]
+    minus = [(-F.col("_paths") * F.col(c)).alias(c) for c in columns]
     return (
         total.unionByName(closed.select("id", *minus))
         .unionByName(back.select("id", *minus))
@@ -222,7 +222,7 @@ def two_hop_not_direct(edges: DataFrame, measures: DataFrame, columns: Sequence[
 
 
 def _closed_paths(counted: DataFrame, scratch: Scratch) -> DataFrame:
-    """``id, end, paths``: two-hop paths id -> b -> end for which id -> end exists, from the
+    """``id, end, _paths``: two-hop paths id -> b -> end for which id -> end exists, from the
     triangles; each triangle is read in its six orders."""
     triangles = triangle_list(counted, scratch)
     both_ways = (
@@ -252,12 +252,12 @@ def _closed_paths(counted: DataFrame, scratch: Scratch) -> DataFrame:
             F.struct(
                 F.col(a).alias("id"),
                 F.col(c).alias("end"),
-                F.when(F.col(f"{a}{c}") > 0, F.col(f"{a}{b}") * F.col(f"{b}{c}")).otherwise(F.lit(0)).alias("paths"),
+                F.when(F.col(f"{a}{c}") > 0, F.col(f"{a}{b}") * F.col(f"{b}{c}")).otherwise(F.lit(0)).alias("_paths"),
             )
             for a, b, c in orders
         ]
     )
-    return rows.select(F.explode(found).alias("f")).select("f.*").filter("paths > 0")
+    return rows.select(F.explode(found).alias("f")).select("f.*").filter("_paths > 0")
 
 
 # --- shared neighbours ------------------------------------------------------------------------

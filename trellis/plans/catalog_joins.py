@@ -172,8 +172,8 @@ def _(t):
 ENDS = "ends AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9500)"
 STARTS = "starts AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0)"
 PATHS = f"""WITH RECURSIVE {RETURNS}, {ENDS}, {STARTS}, walk AS (
-  SELECT id AS start, id AS at, 0 AS hops, [id] AS nodes, CAST([] AS VARCHAR[]) AS eids FROM starts
-  UNION ALL SELECT start, dst, hops + 1, list_append(nodes, dst), list_append(eids, eid) FROM walk JOIN returns ON src = at
+  SELECT id AS start, id AS tip, 0 AS hops, [id] AS nodes, CAST([] AS VARCHAR[]) AS eids FROM starts
+  UNION ALL SELECT start, dst, hops + 1, list_append(nodes, dst), list_append(eids, eid) FROM walk JOIN returns ON src = tip
   WHERE hops < 4 AND NOT list_contains(eids, eid))"""
 
 
@@ -183,16 +183,16 @@ def _path_ends(t):
     return starts, ends
 
 
-@query("variable_length_paths", f"""{PATHS} SELECT start, at AS "end", CAST(hops AS BIGINT) AS hops, count(*) AS paths
-  FROM walk WHERE hops >= 1 AND at IN (SELECT id FROM ends) GROUP BY ALL""")
+@query("variable_length_paths", f"""{PATHS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, count(*) AS paths
+  FROM walk WHERE hops >= 1 AND tip IN (SELECT id FROM ends) GROUP BY ALL""")
 def _(t):
     starts, ends = _path_ends(t)
     rows = match.variable_length_paths(returns(t).withColumnRenamed("eid", "edge_id"), starts, 4, ends)
     return rows.groupBy("start", "end", "hops").agg(F.count("*").alias("paths"))
 
 
-@query("path_listing", f"""{PATHS} SELECT start, at AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(nodes, '>') AS path
-  FROM walk WHERE hops >= 1 AND hops <= 3 AND at IN (SELECT id FROM ends)""")
+@query("path_listing", f"""{PATHS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(nodes, '>') AS path
+  FROM walk WHERE hops >= 1 AND hops <= 3 AND tip IN (SELECT id FROM ends)""")
 def _(t):
     starts, ends = _path_ends(t)
     return match.path_listing(returns(t).withColumnRenamed("eid", "edge_id"), starts, 3, ends)

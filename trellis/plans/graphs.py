@@ -101,8 +101,18 @@ def trade(t: Tables) -> DataFrame:
     )
 
 
+_graphs: dict[tuple[str, str], PropertyGraph] = {}
+
+
 def supply(t: Tables) -> PropertyGraph:
-    """Typed property graph; CONTAINS keeps parallel edges."""
+    """Typed property graph; CONTAINS keeps parallel edges. The lazy frames are built once."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _graphs:
+        _graphs[key] = _supply(t)
+    return _graphs[key]
+
+
+def _supply(t: Tables) -> PropertyGraph:
     nodes = [
         nodes_from_dataframe(t.customer, "c_custkey", "customer", "Customer",
                              property_columns=["c_name", "c_acctbal", "c_mktsegment"]),
