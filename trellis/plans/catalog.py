@@ -1,6 +1,6 @@
 """All named queries."""
 
-from trellis.plans import catalog_graph, catalog_joins, catalog_select  # noqa: F401
+from trellis.plans import catalog_graph, catalog_joins, catalog_select, catalog_usecases  # noqa: F401
 from trellis.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
