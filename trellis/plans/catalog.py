@@ -1,6 +1,12 @@
 """All named queries."""
 
-from trellis.plans import catalog_graph, catalog_joins, catalog_select, catalog_usecases  # noqa: F401
+from trellis.plans import (  # noqa: F401
+    catalog_graph,
+    catalog_joins,
+    catalog_select,
+    catalog_tables,
+    catalog_usecases,
+)
 from trellis.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

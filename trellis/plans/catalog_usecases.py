@@ -65,7 +65,7 @@ def _(t):
 
 
 @query("account_vs_peer_average", f"""WITH {HAND_OVER}, s AS (SELECT src AS a, dst AS p, qty FROM hand_over UNION ALL SELECT dst, src, qty FROM hand_over),
-  top AS (SELECT a, p FROM s GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY a ORDER BY count(*) DESC, p) = 1)
+  top AS (SELECT a, p FROM (SELECT a, p, count(*) AS n FROM s GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, p) = 1)
   SELECT s.a AS account, top.p AS excluded, round(avg(qty) FILTER (s.p <> top.p), 6) AS average_without FROM s JOIN top ON top.a = s.a GROUP BY ALL""")
 def _(t):
     rows = U.account_vs_peer_average(hand_over(t), "src", "dst", "qty")
@@ -88,7 +88,7 @@ def _(t):
     bought = t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
         C("o_custkey").alias("person"), C("l_suppkey").alias("store"), C("l_shipdate").alias("ts"), fraud
     )
-    return U.prior_common_store(bought, "person", "store", "ts", "fraud", "person")
+    return U.prior_common_store(bought, "person", "store", "ts", "fraud")
 
 
 @query("supply_chain_reach", f"""WITH RECURSIVE {RETURNS}, r AS (SELECT c_custkey AS id, 0 AS level FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9800

@@ -101,11 +101,10 @@ def common_claim_graph(memberships: DataFrame, member: str, claim: str, min_comm
     return cluster_summary(clusters.join(ranks, "id"), "cluster", "rank")
 
 
-def prior_common_store(purchases: DataFrame, person: str, store: str, time: str, fraud: str, key: str) -> DataFrame:
+def prior_common_store(purchases: DataFrame, person: str, store: str, time: str, fraud: str) -> DataFrame:
     """Per store, the number of (fraud, earlier purchase) pairs of one person and of persons. The
     frauds after a purchase are counted with a running total, the pairs are not listed."""
     is_fraud = F.col(fraud).cast("bigint")
-    # the latest purchase first; at one time frauds come after the purchases they do not follow
     by_time = purchases.groupBy(person, time).agg(F.sum(is_fraud).alias("_f"))
     order = [F.col(person), F.col(time)]
     cum = running_total(by_time, order, {"_cum": F.col("_f")})
