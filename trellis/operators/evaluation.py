@@ -54,7 +54,7 @@ def classification_metrics(tally: DataFrame) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
     """One row per label, one column per predicted class."""
-    table = df.groupBy(label).pivot(prediction, list(classes)).agg(F.count("*")).fillna(0)
+    table = df.groupBy(label).pivot(prediction, list(classes)).agg(F.count(F.lit(1))).fillna(0)
     return table.select(label, *[F.col(str(c)).alias(f"predicted_{c}") for c in classes])
 
 

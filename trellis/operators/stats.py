@@ -97,7 +97,7 @@ def welch_t(df: DataFrame, group: str, a, b, column: str) -> DataFrame:
 
 def crosstab_pivot(df: DataFrame, row: Column, column: Column, values: Sequence[str], row_name: str = "row") -> DataFrame:
     """Counts per row value and listed column value; absent pairs count 0."""
-    table = df.select(row.alias(row_name), column.alias("_c")).groupBy(row_name).pivot("_c", list(values)).agg(F.count("*"))
+    table = df.select(row.alias(row_name), column.alias("_c")).groupBy(row_name).pivot("_c", list(values)).agg(F.count(F.lit(1)))
     return table.fillna(0)
 
 

@@ -3,6 +3,7 @@
 from trellis.plans import (  # noqa: F401
     catalog_graph,
     catalog_joins,
+    catalog_ml,
     catalog_select,
     catalog_tables,
     catalog_usecases,
