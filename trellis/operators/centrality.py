@@ -99,21 +99,26 @@ def betweenness_centrality(
     level = scratch.put(
         sources.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).cast("double").alias("paths")), "level_0"
     )
-    levels = [level]
+    levels, seen, fresh = [level], [], 0
     for depth in range(1, max_depth + 1):
         # a node already seen from a source lies on an earlier level
-        seen = stack(x.select("s", "v") for x in levels)
+        if depth % 6 == 0:
+            seen = [scratch.put(stack([*seen, *[x.select("s", "v") for x in levels[depth - 6 :]]]), "seen")]
+            fresh = depth
+        earlier = stack([*seen, *[x.select("s", "v") for x in levels[fresh:]]])
         grown = (
             levels[-1].join(steps, "v").groupBy("s", F.col("w").alias("v")).agg(F.sum("paths").alias("paths"))
         )
-        level = scratch.put(grown.join(seen, ["s", "v"], "left_anti"), f"level_{depth}")
+        level = scratch.put(grown.join(earlier, ["s", "v"], "left_anti"), f"level_{depth}")
         if not level.take(1):
             break
         levels.append(level)
     depends = levels[-1].withColumn("delta", F.lit(0.0).cast("double"))
     totals = []
     for depth in range(len(levels) - 1, 0, -1):
-        depends = scratch.put(depends, f"delta_{depth}")
+        # written every second level: a level is used for the next one and for the total
+        if depth % 2 or depth == len(levels) - 1:
+            depends = scratch.put(depends, f"delta_{depth}")
         totals.append(depends.select("v", "delta"))
         share = (
             depends.select("s", F.col("v").alias("w"), ((1.0 + F.col("delta")) / F.col("paths")).alias("c"))

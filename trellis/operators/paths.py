@@ -6,7 +6,7 @@ that changed in the last one, writes the new ones, and stops when none changed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trellis.model import stack
@@ -15,6 +15,9 @@ from trellis.operators.ordering import global_row_number
 from trellis.session import Scratch
 
 
+DRAWS = 8  # draws of a biased walker per round
+
+
 class NegativeWeight(ValueError):
     """Raised for a negative edge weight."""
 
@@ -141,19 +144,16 @@ def ksssp(
             f"prefix_{hop}",
         )
         arrived = grown.filter(F.col("at") == F.lit(target))
-        done = arrived if done is None else scratch.put(
-            done.unionByName(arrived).orderBy("cost", F.array_join("nodes", ">")).limit(k), f"best_{hop}"
-        )
+        done = arrived if done is None else done.unionByName(arrived)
         kth = done.orderBy("cost").limit(k).agg(F.count("*"), F.max("cost")).first()
         if kth[0] == k:
             bound = kth[1]
+            done = done.filter(F.col("cost") <= F.lit(bound))
         rows = grown.filter(F.col("at") != F.lit(target))
         if bound is not None:
             rows = rows.filter(F.col("cost") <= F.lit(bound))
         if not rows.take(1):
             break
-    from pyspark.sql import Window
-
     best = done.select("cost", (F.size("nodes") - 1).cast("bigint").alias("hops"), F.array_join("nodes", ">").alias("path"))
     best = best.orderBy("cost", "path").limit(k)  # k rows: the window below is over these only
     return best.withColumn("rank", F.row_number().over(Window.orderBy("cost", "path")).cast("bigint"))
@@ -167,7 +167,7 @@ def random_walks(
     backward_probability: float = 1.0,
     forward_probability: float = 1.0,
     seed: int = 7,
-    max_tries: int = 64,
+    max_turns: int = 50,
 ) -> DataFrame:
     """Reproducible walks: ``root, walk, path``. A walk ends early at a node without out-edges.
 
@@ -175,7 +175,8 @@ def random_walks(
     joining on that number: a hub's walkers spread over all its edges. The node2vec bias is drawn
     by rejection: the step back to the previous node is kept with weight
     ``backward_probability``, a step to a node next to the previous one with weight 1, any other
-    with weight ``forward_probability``; refused walkers draw again.
+    with weight ``forward_probability``. A walker draws DRAWS times at once and takes the first
+    draw that is kept; one without any draws again, up to ``max_turns`` times.
     """
     scratch = Scratch(edges.sparkSession)
     numbered = scratch.put(
@@ -195,37 +196,54 @@ def random_walks(
     ended = []
     for step in range(walk_length):
         at = walks.withColumn("src", F.element_at("path", -1)).join(spans, "src", "left")
-        ended.append(scratch.put(at.filter("degree is null").select("root", "walk", "path"), f"ended_{step}"))
+        ended.append(at.filter("degree is null").select("root", "walk", "path"))
         pending = at.filter("degree is not null")
-        moved = []
-        for attempt in range(max_tries if biased else 1):
-            draw = F.xxhash64(F.lit(seed), "root", "walk", F.lit(step), F.lit(attempt))
-            pick = pending.withColumn("pos", F.col("first") + F.pmod(draw, F.col("degree"))).join(
-                numbered.select("pos", "dst"), "pos"
+        if not biased:
+            draw = F.pmod(F.xxhash64(F.lit(seed), "root", "walk", F.lit(step)), F.col("degree"))
+            moved = pending.withColumn("pos", F.col("first") + draw).join(numbered.select("pos", "dst"), "pos")
+            walks = scratch.put(_longer(moved), f"walks_{step}")
+            continue
+        kept = []
+        for turn in range(max_turns):
+            drawn = _biased_draws(pending, numbered, seed, step, turn, backward_probability, forward_probability, highest)
+            tried = scratch.put(
+                pending.join(drawn, ["root", "walk"], "left").select(*pending.columns, "dst"), f"drawn_{step}_{turn}"
             )
-            if not biased:
-                moved.append(pick.select("root", "walk", F.array_append("path", F.col("dst")).alias("path")))
-                break
-            before = F.when(F.size("path") > 1, F.try_element_at("path", F.lit(-2)))
-            pick = pick.withColumn("_before", before).join(
-                numbered.select(F.col("src").alias("_before"), F.col("dst"), F.lit(True).alias("_near")),
-                ["_before", "dst"],
-                "left",
-            )
-            weight = (
-                F.when(F.col("_before").isNull(), F.lit(highest))
-                .when(F.col("dst") == F.col("_before"), F.lit(backward_probability))
-                .when(F.col("_near"), F.lit(1.0))
-                .otherwise(F.lit(forward_probability))
-            )
-            coin = F.pmod(F.xxhash64(F.lit(seed + 1), "root", "walk", F.lit(step), F.lit(attempt)), F.lit(1 << 30))
-            keep = (coin / float(1 << 30) < weight / highest) | F.lit(attempt == max_tries - 1)
-            tried = scratch.put(pick.withColumn("_keep", keep), f"try_{step}_{attempt}")
-            moved.append(
-                tried.filter("_keep").select("root", "walk", F.array_append("path", F.col("dst")).alias("path"))
-            )
-            pending = tried.filter("not _keep").select("src", "root", "walk", "path", "first", "degree")
+            kept.append(_longer(tried.filter("dst is not null")))
+            pending = tried.filter("dst is null").drop("dst")
             if not pending.take(1):
                 break
-        walks = scratch.put(stack(moved), f"walks_{step}")
+        walks = scratch.put(stack(kept), f"walks_{step}")
     return stack([*ended, walks])
+
+
+def _longer(rows: DataFrame) -> DataFrame:
+    return rows.select("root", "walk", F.array_append("path", F.col("dst")).alias("path"))
+
+
+def _biased_draws(
+    pending: DataFrame, numbered: DataFrame, seed: int, step: int, turn: int, back: float, forward: float, highest: float
+) -> DataFrame:
+    """``root, walk, dst``: the first kept draw of each walker that has one."""
+    tries = F.sequence(F.lit(turn * DRAWS), F.lit(turn * DRAWS + DRAWS - 1))
+    draws = pending.withColumn("_try", F.explode(tries)).withColumn(
+        "pos", F.col("first") + F.pmod(F.xxhash64(F.lit(seed), "root", "walk", F.lit(step), "_try"), F.col("degree"))
+    )
+    near = numbered.select(F.col("src").alias("_before"), "dst", F.lit(True).alias("_near"))
+    draws = (
+        draws.join(numbered.select("pos", "dst"), "pos")
+        .withColumn("_before", F.when(F.size("path") > 1, F.try_element_at("path", F.lit(-2))))
+        .join(near, ["_before", "dst"], "left")
+    )
+    weight = (
+        F.when(F.col("_before").isNull(), F.lit(highest))
+        .when(F.col("dst") == F.col("_before"), F.lit(back))
+        .when(F.col("_near"), F.lit(1.0))
+        .otherwise(F.lit(forward))
+    )
+    coin = F.pmod(F.xxhash64(F.lit(seed + 1), "root", "walk", F.lit(step), "_try"), F.lit(1 << 30)) / float(1 << 30)
+    return (
+        draws.filter(coin < weight / highest)
+        .groupBy("root", "walk")
+        .agg(F.min(F.struct("_try", "dst"))["dst"].alias("dst"))
+    )

@@ -52,19 +52,14 @@ def tanimoto_topk(items: DataFrame, id_column: str, features: str, query: list,
     )
 
 
+def min_hash(tokens: Column, seed: int) -> Column:
+    return F.array_min(F.transform(tokens, lambda token: F.xxhash64(token, F.lit(seed))))
+
+
 def minhash_bands(tokens: Column, bands: int, rows: int) -> Column:
     """``bands`` band keys of a token set, each over ``rows`` min-hashes."""
     return F.array(
-        *[
-            F.xxhash64(
-                F.lit(b),
-                *[
-                    F.array_min(F.transform(tokens, lambda t, s=b * rows + r: F.xxhash64(t, F.lit(s))))
-                    for r in range(rows)
-                ],
-            )
-            for b in range(bands)
-        ]
+        *[F.xxhash64(F.lit(b), *[min_hash(tokens, b * rows + r) for r in range(rows)]) for b in range(bands)]
     )
 
 
