@@ -155,3 +155,33 @@ def test_label_propagation_is_synchronous(case):
             votes[b][label[a]] += 1
         label = {v: min(c, key=lambda x: (-c[x], x)) if (c := votes[v]) else label[v] for v in nodes}
     assert column(community.label_propagation(n, e, 3), "label") == label
+
+
+def test_fuzzy_names_lose_no_pair(spark):
+    import random
+
+    draw = random.Random(8)
+    words = {"".join(draw.choice("abc") for _ in range(draw.randrange(1, 9))) for _ in range(120)}
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(sorted(words))], "id int, w string")
+
+    def edits(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return last[-1]
+
+    for threshold in (0.5, 0.7, 0.8):
+        got = {(r["left"], r["right"]) for r in match.fuzzy_name_join(rows, "id", "w", threshold).collect()}
+        want = {(a, b) for a in words for b in words if a < b and 1.0 - edits(a, b) / max(len(a), len(b)) > threshold}
+        assert got == want
+
+
+def test_long_lists_come_in_parts(spark):
+    from trellis.operators.ordering import collect_lists
+
+    rows = spark.range(25).selectExpr("if(id < 20, 'hot', 'cold') as k", "id as v")
+    got = {(r["k"], r["part"]): r["l"] for r in collect_lists(rows, ["k"], ["v"], "l", per_row=8).collect()}
+    assert got == {("hot", 0): list(range(8)), ("hot", 1): list(range(8, 16)), ("hot", 2): list(range(16, 20)), ("cold", 0): list(range(20, 25))}

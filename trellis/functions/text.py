@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trellis.session import spread
+
 # Extra stop words for product reviews.
 REVIEW_STOP_WORDS = ("br", "amazon", "com", "http", "www", "href", "gp")
 
@@ -26,7 +28,7 @@ def bigrams(tokens: Column) -> Column:
     pairs = F.zip_with(
         F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
         F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
+        lambda a, b: F.concat(a, F.lit(" "), b),
     )
     return F.array_distinct(pairs)
 
@@ -35,7 +37,7 @@ def bigrams_topk(df: DataFrame, text: str, k: int, stop_words: Sequence[str] = (
     """``bigram, documents``: the pairs found in most documents, ties by text."""
     if where is not None:
         df = df.filter(where)
-    tokens = df.select(tokenize(text, stop_words).alias("t"))
+    tokens = spread(df.select(text)).select(tokenize(text, stop_words).alias("t"))
     return (
         tokens.select(F.explode(bigrams(F.col("t"))).alias("bigram"))
         .groupBy("bigram")
@@ -47,7 +49,7 @@ def bigrams_topk(df: DataFrame, text: str, k: int, stop_words: Sequence[str] = (
 
 def token_counts(df: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
     return (
-        df.select(F.explode(tokenize(text, stop_words)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+        spread(df.select(text)).select(F.explode(tokenize(text, stop_words)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     )
 
 
@@ -87,7 +89,8 @@ def is_helpful(votes: str | Column, above: float = 0.75) -> Column:
 
 def word_document_graph(df: DataFrame, id_column: str, text: str, stop_words: Sequence[str] = ()):
     """WORD nodes and SAID_IN edges (word -> document) scored by the word's share of the document."""
-    tokens = df.select(F.col(id_column).cast("string").alias("dst"), tokenize(text, stop_words).alias("t"))
+    rows = spread(df.select(id_column, text))
+    tokens = rows.select(F.col(id_column).cast("string").alias("dst"), tokenize(text, stop_words).alias("t"))
     said = (
         tokens.select("dst", F.size("t").alias("_len"), F.explode("t").alias("src"))
         .groupBy("src", "dst")

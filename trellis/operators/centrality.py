@@ -42,6 +42,8 @@ def pagerank(
         .select("id", "out", F.ceil(F.col("targets") / hub_size).cast("int").alias("blocks")),
         "nodes",
     )
+    # the same partitioning as the sums per target, so the join with them moves nothing
+    base = base.repartition(parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
     links = (
         grouped.join(base.select(F.col("id").alias("src"), "blocks"), "src")
         .select("src", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int").alias("block"), "dst", "n")
@@ -49,7 +51,7 @@ def pagerank(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     ranks = base.withColumn("rank", F.lit(1.0).cast("double"))
-    marked = ranks
+    marked = base.select("id", F.lit(1.0).cast("double").alias("rank"))
     for turn in range(1, max_iterations + 1):
         sent = ranks.filter("out is not null").select(
             F.col("id").alias("src"), (F.col("rank") / F.col("out")).alias("share"),
@@ -73,6 +75,7 @@ def pagerank(
                     break
             marked = ranks
     links.unpersist()
+    base.unpersist()
     return ranks.select("id", F.col("rank").alias(result))
 
 

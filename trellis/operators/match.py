@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trellis.model import PropertyGraph, has_label, node_keys, stack
 from trellis.operators.mutate import node_keys_of_edges
-from trellis.operators.ordering import row_number_within
+from trellis.operators.ordering import collect_lists, row_number_within, running_last
 from trellis.session import Scratch
 
 
@@ -138,11 +138,14 @@ def semi_pattern(rows: DataFrame, pattern: DataFrame, on: Sequence[str]) -> Data
 
 
 def optional_match(rows: DataFrame, pattern: DataFrame, on: Sequence[str], collect: str, out: str) -> DataFrame:
-    """OPTIONAL MATCH … COLLECT: a sorted list per row, empty when nothing matched."""
-    lists = pattern.groupBy(*on).agg(F.sort_array(F.collect_list(collect)).alias(out))
+    """OPTIONAL MATCH … COLLECT: a sorted list per row, empty when nothing matched. A very long
+    list comes in several rows, numbered by ``part``."""
+    lists = collect_lists(pattern, on, [collect], out)
     element = dict(pattern.dtypes)[collect]
     empty = F.expr(f"cast(array() as array<{element}>)")
-    return rows.join(lists, list(on), "left").withColumn(out, F.coalesce(out, empty))
+    return rows.join(lists, list(on), "left").withColumns(
+        {out: F.coalesce(out, empty), "part": F.coalesce("part", F.lit(0).cast("bigint"))}
+    )
 
 
 # --- two hops without a direct edge -----------------------------------------------------------
@@ -308,12 +311,19 @@ def shared_neighbor_pairs(
         prefix = ranked.filter(F.col("_rank") > min_shared - 1)
     pairs = pairs_within(prefix, [neighbour, *also_equal], member).select("left", "right").distinct()
     pairs = scratch.put(pairs, "candidates")
-    sets = base.select(member, neighbour)
+    # each pair is checked from its smaller set, so a member with a huge set costs little
+    sets = base.select(F.col(member).alias("_m"), F.col(neighbour).alias("_x"))
+    sizes = sets.groupBy("_m").agg(F.count("*").alias("_s"))
+    sized = pairs.join(sizes.toDF("left", "_sl"), "left").join(sizes.toDF("right", "_sr"), "right")
+    left_smaller = F.col("_sl") <= F.col("_sr")
+    sided = sized.select(
+        "left", "right",
+        F.when(left_smaller, F.col("left")).otherwise(F.col("right")).alias("_small"),
+        F.when(left_smaller, F.col("right")).otherwise(F.col("left")).alias("_large"),
+    )
     return (
-        pairs.join(sets.select(F.col(member).alias("left"), F.col(neighbour).alias("_x")), "left")
-        .join(
-            sets.select(F.col(member).alias("right"), F.col(neighbour).alias("_x")), ["right", "_x"], "left_semi"
-        )
+        sided.join(sets.toDF("_small", "_x"), "_small")
+        .join(sets.toDF("_large", "_x"), ["_large", "_x"], "left_semi")
         .groupBy("left", "right")
         .agg(F.count("*").alias("shared"))
         .filter(F.col("shared") >= min_shared)
@@ -371,38 +381,22 @@ def point_in_time_features(
     event_time: str,
     feature_time: str,
     columns: Sequence[str],
-    bucket: str = "day",
 ) -> DataFrame:
     """Each event with the latest feature row of its entity at or before the event time.
 
-    Time is cut into buckets. Inside a bucket a window per (entity, bucket) finds the latest row;
-    before it the latest row per bucket is carried forward over one row per bucket. A hot entity
-    is therefore spread over its buckets.
+    Events and features are put in one order of (entity, time) and the last feature is carried
+    forward over range partitions, so one busy entity does not end up in one task.
     """
-    value = F.struct(F.col("_t"), *columns).alias("_v")
-    events = events.withColumn("_t", F.col(event_time)).withColumn("_b", F.date_trunc(bucket, event_time))
-    feats = (
-        features.withColumn("_t", F.col(feature_time))
-        .withColumn("_b", F.date_trunc(bucket, feature_time))
-        .select(entity, "_b", "_t", value)
-    )
-    buckets = (
-        feats.groupBy(entity, "_b")
-        .agg(F.max("_v").alias("_last"))
-        .unionByName(events.select(entity, "_b").distinct(), allowMissingColumns=True)
-        .groupBy(entity, "_b")
-        .agg(F.max("_last").alias("_last"))
-    )
-    before = Window.partitionBy(entity).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = buckets.select(entity, "_b", F.last("_last", ignorenulls=True).over(before).alias("_before"))
-    in_bucket = Window.partitionBy(entity, "_b").orderBy(F.col("_t"), F.col("_kind")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    both = stack([feats.withColumn("_kind", F.lit(0)), events.withColumn("_kind", F.lit(1))])
-    found = both.withColumn("_now", F.max("_v").over(in_bucket)).filter("_kind = 1").drop("_v")
-    chosen = found.join(carried, [entity, "_b"], "left").withColumn("_pick", F.coalesce("_now", "_before"))
-    kept = [c for c in events.columns if c not in ("_t", "_b")]
-    return chosen.select(*kept, F.col("_pick._t").alias("feature_time"), *[F.col(f"_pick.{c}").alias(c) for c in columns])
+    kept = events.columns
+    feats = features.select(
+        entity, F.col(feature_time).alias("_t"), F.lit(0).alias("_kind"),
+        F.struct(F.col(feature_time).alias("_at"), *columns).alias("_v"),
+    )
+    both = stack([feats, events.withColumns({"_t": F.col(event_time), "_kind": F.lit(1)})])
+    found = running_last(both, [entity], ["_t", "_kind"], "_v", "_found").filter("_kind = 1")
+    return found.select(
+        *kept, F.col("_found._at").alias("feature_time"), *[F.col(f"_found.{c}").alias(c) for c in columns]
+    )
 
 
 def name_ratio(a: Column, b: Column) -> Column:
@@ -412,22 +406,63 @@ def name_ratio(a: Column, b: Column) -> Column:
 
 
 def fuzzy_name_join(
-    rows: DataFrame, id_column: str, name: str, block_on: Sequence[Column], threshold: float = 0.8
+    rows: DataFrame, id_column: str, name: str, threshold: float = 0.8, block_on: Sequence[Column] = ()
 ) -> DataFrame:
-    """Pairs of distinct names with a ratio above ``threshold`` whose blocking keys are equal, and
-    how many id pairs each stands for. Equal names are grouped first, so copies cost nothing."""
+    """All pairs of distinct names with a ratio above ``threshold`` (and equal ``block_on``
+    values, if given), and how many rows each name stands for.
+
+    Equal names are grouped first, so copies cost nothing. A pair above the threshold with the
+    longer length M is fewer than (1 - threshold) * M edits apart. When the shorter name is cut
+    into one segment more than that many edits, at least one segment is untouched and stands in
+    the longer name, shifted by no more than the edits. Names are joined on such segments, which
+    loses no pair, and the candidates are then scored.
+    """
     keys = [f"_k{i}" for i in range(len(block_on))]
     names = rows.groupBy(name).agg(F.count(id_column).alias("n")).withColumns(dict(zip(keys, block_on)))
-    pairs = pairs_within(names, keys, name).select("left", "right").distinct()
+    names = Scratch(rows.sparkSession).put(names.withColumn("_len", F.length(name)), "names")
+    cut = names.select(*keys, F.col(name).alias("a"), "_len", F.explode(_longer_lengths(threshold)).alias("_m"))
+    cut = cut.withColumn("_d", _edits("_m", threshold)).select(
+        *keys, "a", "_len", "_m", "_d", F.explode(F.sequence(F.lit(0), F.col("_d"))).alias("_i")
+    )
+    start = F.floor(F.col("_len") * F.col("_i") / (F.col("_d") + 1)).cast("int")
+    stop = F.floor(F.col("_len") * (F.col("_i") + 1) / (F.col("_d") + 1)).cast("int")
+    cut = cut.select(*keys, "a", "_len", "_m", "_i", F.substring("a", start + 1, stop - start).alias("_seg"))
+    probe = names.select(*keys, F.col(name).alias("b"), F.col("_len").alias("_m")).withColumn("_d", _edits("_m", threshold))
+    probe = probe.withColumn("_len", F.explode(F.sequence(F.greatest(F.col("_m") - F.col("_d"), F.lit(1)), F.col("_m"))))
+    probe = probe.select("*", F.explode(F.sequence(F.lit(0), F.col("_d"))).alias("_i")).withColumns(
+        {"_s": start, "_w": stop - start}
+    )
+    shifts = F.sequence(F.greatest(F.col("_s") - F.col("_d"), F.lit(0)), F.least(F.col("_s") + F.col("_d"), F.col("_m") - F.col("_w")))
+    reachable = F.greatest(F.col("_s") - F.col("_d"), F.lit(0)) <= F.least(F.col("_s") + F.col("_d"), F.col("_m") - F.col("_w"))
+    probe = probe.filter(reachable).select("*", F.explode(shifts).alias("_p")).select(
+        *keys, "b", "_len", "_m", "_i", F.substring("b", F.col("_p") + 1, F.col("_w")).alias("_seg")
+    ).distinct()
+    pairs = (
+        cut.join(probe, [*keys, "_len", "_m", "_i", "_seg"])
+        .filter(F.col("a") != F.col("b"))
+        .select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"))
+        .distinct()
+    )
     scored = pairs.withColumn("ratio", name_ratio(F.col("left"), F.col("right"))).filter(F.col("ratio") > threshold)
     sizes = names.select(name, "n")
     return (
-        scored.join(sizes.select(F.col(name).alias("left"), F.col("n").alias("left_rows")), "left")
-        .join(sizes.select(F.col(name).alias("right"), F.col("n").alias("right_rows")), "right")
+        scored.join(sizes.toDF("left", "left_rows"), "left")
+        .join(sizes.toDF("right", "right_rows"), "right")
         .select("left", "right", "ratio", "left_rows", "right_rows")
     )
 
 
+def _edits(length: str, threshold: float) -> Column:
+    """Most edits of a pair above the threshold whose longer name has this length."""
+    return F.greatest(F.ceil(F.col(length) * F.lit(1.0 - threshold) + 1e-9) - 1, F.lit(0)).cast("int")
+
+
+def _longer_lengths(threshold: float) -> Column:
+    """Lengths M a longer partner may have: the difference in length is itself an edit."""
+    most = F.floor(F.col("_len") / F.lit(threshold) + 1e-9).cast("int")
+    return F.sequence(F.col("_len"), F.greatest(most, F.col("_len")))
+
+
 def blocked_pair_scoring(
     records: DataFrame,
     id_column: str,

@@ -77,11 +77,65 @@ def row_number_within(
     )
 
 
+TOP_ROWS = 100_000  # up to here a range is cut from the sorted top, beyond it by position
+
+
 def row_range(df: DataFrame, order_by: Sequence[str | Column], start: int, stop: int) -> DataFrame:
     """Rows at positions start..stop (0-based, stop not included) of a total order."""
-    if start <= 0:
-        return df.orderBy(*order_by).limit(stop)
-    return df.orderBy(*order_by).offset(start).limit(stop - start)
+    if stop <= TOP_ROWS:
+        return df.orderBy(*order_by).limit(stop).offset(start)
+    numbered = global_row_number(df, order_by, "_rn")
+    return numbered.filter((F.col("_rn") > start) & (F.col("_rn") <= stop)).drop("_rn")
+
+
+def running_last(
+    df: DataFrame, group: Sequence[str], order_by: Sequence[str], value: str, out: str
+) -> DataFrame:
+    """Add the last non-null ``value`` of the group at or before each row of a total order.
+
+    Rows are range-partitioned on group and order; what a range starts with is the last value of
+    the ranges before it, if that belongs to the same group. A hot group spans many ranges.
+    """
+    order = [*group, *order_by]
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    stored = Scratch(df.sparkSession).put(ranged, "ranged")
+    lasts = (
+        stored.filter(F.col(value).isNotNull())
+        .groupBy("_range")
+        .agg(F.max(F.struct(*order, value)).alias("_last"))
+    )
+    all_ranges = stored.select("_range").distinct().join(lasts, "_range", "left")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition
+    carried = all_ranges.select("_range", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    within = (
+        Window.partitionBy("_range", *group)
+        .orderBy(*order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(f"_carried.{g}").eqNullSafe(F.col(g))
+    return (
+        stored.join(F.broadcast(carried), "_range")
+        .withColumn(
+            out,
+            F.coalesce(F.last(value, ignorenulls=True).over(within), F.when(same, F.col(f"_carried.{value}"))),
+        )
+        .drop("_range", "_carried")
+    )
+
+
+def collect_lists(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str, per_row: int = 100_000
+) -> DataFrame:
+    """COLLECT per key, in the order of ``values``: ``keys, part, <out>``. A group above
+    ``per_row`` values comes as several rows (part 0, 1, …), so no row grows without bound."""
+    numbered = row_number_within(df.select(*keys, *values), keys, values, "_rn")
+    rows = numbered.withColumn("part", F.floor((F.col("_rn") - 1) / per_row).cast("bigint"))
+    lists = rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("_rn", *values))).alias("_l"))
+    pick = (lambda e: e[values[0]]) if len(values) == 1 else (lambda e: F.struct(*[e[v].alias(v) for v in values]))
+    return lists.select(*keys, "part", F.transform("_l", pick).alias(out))
 
 
 def drop_every_second(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:

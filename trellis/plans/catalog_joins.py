@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trellis.operators import clean, match, stats
 from trellis.operators.match import Hop, Node
+from trellis.operators.ordering import collect_lists
 from trellis.plans.graphs import HAND_OVER, RETURNS, customers, hand_over, returns, supply
 from trellis.plans.registry import query
 
@@ -102,7 +103,7 @@ def _(t):
     return match.semi_pattern(t.orders, flagged, ["o_custkey"]).select("o_orderkey")
 
 
-@query("optional_match", """SELECT c_custkey, coalesce(list_aggregate(list_sort(list(o_orderkey) FILTER (o_orderkey IS NOT NULL)), 'string_agg', ','), '') AS orders
+@query("optional_match", """SELECT c_custkey, CAST(0 AS BIGINT) AS part, coalesce(list_aggregate(list_sort(list(o_orderkey) FILTER (o_orderkey IS NOT NULL)), 'string_agg', ','), '') AS orders
   FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 450000 GROUP BY 1""")
 def _(t):
     dear = t.orders.filter("o_totalprice > 450000").select(C("o_custkey").alias("c_custkey"), "o_orderkey")
@@ -247,11 +248,10 @@ def _(t):
 
 @query("fuzzy_name_join", """WITH n AS (SELECT p_name AS name, count(*) AS n FROM part GROUP BY 1), p AS (
   SELECT a.name AS l, b.name AS r, 1.0 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name))::DOUBLE AS ratio, a.n AS ln, b.n AS rn
-  FROM n a JOIN n b ON a.name < b.name AND left(a.name, 1) = left(b.name, 1))
-  SELECT l AS "left", r AS "right", round(ratio, 6) AS ratio, ln AS left_rows, rn AS right_rows FROM p WHERE ratio > 0.6""")
+  FROM n a JOIN n b ON a.name < b.name)
+  SELECT l AS "left", r AS "right", round(ratio, 6) AS ratio, ln AS left_rows, rn AS right_rows FROM p WHERE ratio > 0.55""")
 def _(t):
-    rows = match.fuzzy_name_join(t.part, "p_partkey", "p_name", [F.substring("p_name", 1, 1)], 0.6)
-    return rows.withColumn("ratio", F.round("ratio", 6))
+    return match.fuzzy_name_join(t.part, "p_partkey", "p_name", 0.55).withColumn("ratio", F.round("ratio", 6))
 
 
 @query("blocked_pair_scoring", """WITH r AS (SELECT concat_ws(':', CAST(l_partkey AS VARCHAR), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_extendedprice AS VARCHAR)) AS id, * FROM lineitem),
@@ -322,11 +322,11 @@ def _(t):
     )
 
 
-@query("collect", """SELECT o_custkey, string_agg(strftime(o_orderdate, '%Y-%m-%d') || ':' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS orders FROM orders GROUP BY 1""")
+@query("collect", """SELECT o_custkey, CAST(0 AS BIGINT) AS part, string_agg(strftime(o_orderdate, '%Y-%m-%d') || ':' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS orders FROM orders GROUP BY 1""")
 def _(t):
-    each = F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey")))
-    text = F.transform(each, lambda s: F.concat_ws(":", F.date_format(s["o_orderdate"], "yyyy-MM-dd"), s["o_orderkey"]))
-    return t.orders.groupBy("o_custkey").agg(F.array_join(text, ",").alias("orders"))
+    lists = collect_lists(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "l")
+    text = F.transform("l", lambda s: F.concat_ws(":", F.date_format(s["o_orderdate"], "yyyy-MM-dd"), s["o_orderkey"]))
+    return lists.select("o_custkey", "part", F.array_join(text, ",").alias("orders"))
 
 
 @query("collect_distinct", """SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types, count(DISTINCT p_size) AS sizes FROM part GROUP BY 1""")
@@ -336,10 +336,10 @@ def _(t):
     )
 
 
-@query("string_agg", """SELECT conv_id, string_agg(role, ' ' ORDER BY turn, role) AS roles FROM conversations GROUP BY 1""")
+@query("string_agg", """SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(role, ' ' ORDER BY turn, role) AS roles FROM conversations GROUP BY 1""")
 def _(t):
-    turns = F.sort_array(F.collect_list(F.struct("turn", "role")))
-    return t.conversations.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda s: s["role"]), " ").alias("roles"))
+    lists = collect_lists(t.conversations, ["conv_id"], ["turn", "role"], "l")
+    return lists.select("conv_id", "part", F.array_join(F.transform("l", lambda s: s["role"]), " ").alias("roles"))
 
 
 @query("unwind", """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY 1""")

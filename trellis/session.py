@@ -81,7 +81,8 @@ def materialize(df: DataFrame, slot: str = "table") -> DataFrame:
     return Scratch(df.sparkSession).put(df, slot)
 
 
-def small_enough_to_broadcast(df: DataFrame, limit: int) -> bool:
-    """True when the optimizer's own size estimate of ``df`` is at most ``limit`` bytes."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size.toString())) <= limit
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before work that is heavy per row, when the input has fewer splits than
+    there are cores. Inputs of many splits stay as they are, so no large table is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
