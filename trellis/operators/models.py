@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IDF, PCA, CountVectorizer, HashingTF, RegexTokenizer, StandardScaler
+from pyspark.ml.feature import IDF, PCA, CountVectorizer, HashingTF, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from trellis.functions.scalar import hash_bucket
 from trellis.operators.similarity import embedding_topk
+from trellis.session import materialize
 
 
 def as_vectors(df: DataFrame, array: str, out: str = "features") -> DataFrame:
@@ -137,9 +138,9 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 def kfold_eval(
     df: DataFrame, key: str, make: Callable[[], Estimator], folds: int = 5, label: str = "label", seed: int = 0
 ) -> DataFrame:
-    """``fold, num_test, accuracy`` per fold; folds are cut by hash of the key."""
-    fold = hash_bucket(key, seed, folds)
-    rows = df.withColumn("_fold", fold)
+    """``fold, num_test, accuracy`` per fold; folds are cut by hash of the key. The rows are
+    written once, since every fold reads them several times."""
+    rows = materialize(df.withColumn("_fold", hash_bucket(key, seed, folds)), "folds")
     out = None
     for i in range(folds):
         model = make().fit(rows.filter(F.col("_fold") != i))
@@ -181,9 +182,7 @@ def baseline_vs_enhanced(
 ) -> DataFrame:
     """``model, accuracy`` of a logistic regression on the base columns and on base plus extra
     columns, fitted and tested on the same split."""
-    from pyspark.ml.feature import VectorAssembler
-
-    split = rows.withColumn("_part", hash_bucket(key, seed, 10))
+    split = materialize(rows.withColumn("_part", hash_bucket(key, seed, 10)), "rows")
     train, test = split.filter("_part < 7"), split.filter("_part >= 7")
     out = None
     for name, columns in (("baseline", base), ("enhanced", [*base, *extra])):

@@ -20,6 +20,12 @@ def _name_of(columns: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in columns]
 
 
+def _ranges(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Rows range-partitioned on an order and written, with their partition in ``_range``."""
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return Scratch(df.sparkSession).put(ranged, "ranged")
+
+
 def running_total(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -29,8 +35,7 @@ def running_total(
     order given. The order must tell rows apart, otherwise equal rows share no range split;
     callers add a key or group equal rows first."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    stored = Scratch(df.sparkSession).put(ranged, "ranged")
+    stored = _ranges(df, order)
     totals = stored.groupBy("_range").agg(
         *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()]
     )
@@ -67,13 +72,21 @@ def global_row_number(df: DataFrame, order_by: Sequence[str | Column], out: str
 def row_number_within(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], out: str = "rn"
 ) -> DataFrame:
-    """1-based position inside each group, from the global position minus the group's start."""
-    numbered = Scratch(df.sparkSession).put(global_row_number(df, [*group, *order_by], "_pos"), "numbered")
-    starts = numbered.groupBy(*group).agg(F.min("_pos").alias("_start"))
+    """1-based position inside each group. Only the first and the last group of a range can span
+    ranges; the rows they have in earlier ranges are counted and added."""
+    stored = _ranges(df, [*group, *order_by])
+    key = F.struct(*group)
+    edges = stored.groupBy("_range").agg(F.min(key).alias("_a"), F.max(key).alias("_b"))
+    # at most two groups per range partition
+    edges = edges.select("_range", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_g")).select("_range", "_g.*")
+    counts = stored.join(F.broadcast(edges), ["_range", *group]).groupBy("_range", *group).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = counts.select("_range", *group, F.sum("_n").over(earlier).alias("_before"))
+    within = Window.partitionBy("_range", *group).orderBy(*order_by)
     return (
-        numbered.join(starts, list(group))
-        .withColumn(out, F.col("_pos") - F.col("_start") + 1)
-        .drop("_pos", "_start")
+        stored.join(F.broadcast(carried), ["_range", *group], "left")
+        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.row_number().over(within))
+        .select(*df.columns, out)
     )
 
 
@@ -97,8 +110,7 @@ def running_last(
     the ranges before it, if that belongs to the same group. A hot group spans many ranges.
     """
     order = [*group, *order_by]
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    stored = Scratch(df.sparkSession).put(ranged, "ranged")
+    stored = _ranges(df, order)
     lasts = (
         stored.filter(F.col(value).isNotNull())
         .groupBy("_range")
@@ -168,20 +180,26 @@ def add_sequence_column(
 def next_row_pairs(df: DataFrame, group: Sequence[str], order_by: Sequence[str], carry: Sequence[str]) -> DataFrame:
     """Each row with the ``carry`` columns of the next row of its group as ``next_<c>``.
 
-    The next row is found by an equi-join on the global position, so a hot group is spread over
-    many tasks instead of being sorted in one.
+    The next row is found inside the range partition; the last row of a range looks at the first
+    row of the next one. A hot group spans many ranges.
     """
-    numbered = global_row_number(df, [*group, *order_by], "_rn")
-    stored = Scratch(df.sparkSession).put(numbered, "numbered")
-    following = stored.select(
-        (F.col("_rn") - 1).alias("_rn"),
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        *[F.col(c).alias(f"next_{c}") for c in carry],
-    )
+    order = [*group, *order_by]
+    stored = _ranges(df, order)
+    values = [c for c in carry if c not in order]
+    firsts = stored.groupBy("_range").agg(F.min(F.struct(*order, *values)).alias("_first"))
+    later = Window.orderBy("_range").rowsBetween(1, 1)
+    # one row per range partition that has rows
+    following = firsts.select("_range", F.first("_first").over(later).alias("_following"))
+    within = Window.partitionBy("_range", *group).orderBy(*order_by)
     same = F.lit(True)
     for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return stored.join(following, "_rn").filter(same).drop("_rn", *[f"_g_{g}" for g in group])
+        same = same & F.col(f"_following.{g}").eqNullSafe(F.col(g))
+    nearest = F.coalesce(
+        F.lead(F.struct(*carry)).over(within),
+        F.when(same, F.struct(*[F.col(f"_following.{c}").alias(c) for c in carry])),
+    )
+    paired = stored.join(F.broadcast(following), "_range").withColumn("_next", nearest).filter("_next is not null")
+    return paired.select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry])
 
 
 def exact_quantiles(
