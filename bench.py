@@ -9,7 +9,7 @@ import time
 from trellis.plans.catalog import QUERIES
 from trellis.plans.graphs import hand_over, returns
 from trellis.plans.registry import Tables
-from trellis.session import local_session
+from trellis.session import clear_scratch, local_session
 
 HEADLINE = [
     "graph_counts", "pagerank", "louvain", "betweenness_centrality", "connected_components", "sssp_weighted", "bfs", "triangle_count",
@@ -32,6 +32,7 @@ def main() -> None:
         started = time.time()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - started, 3)
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",

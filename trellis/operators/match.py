@@ -289,30 +289,33 @@ def pairs_within(df: DataFrame, group: Sequence[str], member: str, block: int =
     )
 
 
-def shared_neighbor_pairs(
-    memberships: DataFrame, member: str, neighbour: str, min_shared: int, also_equal: Sequence[str] = ()
+def ranked_memberships(
+    memberships: DataFrame, member: str, neighbour: str, carry: Sequence[str], scratch: Scratch
+) -> DataFrame:
+    """Distinct memberships with ``_rank``: 1 for a member's most common neighbour."""
+    base = scratch.put(memberships.select(member, neighbour, *carry).distinct(), "memberships")
+    popularity = base.groupBy(neighbour).agg(F.count("*").alias("_f"))
+    ranked = row_number_within(base.join(popularity, neighbour), [member], [F.col("_f").desc(), neighbour], "_rank")
+    return scratch.put(ranked.drop("_f"), "ranked")
+
+
+def candidate_pairs(
+    ranked: DataFrame, member: str, neighbour: str, min_shared: int, also_equal: Sequence[str] = ()
 ) -> DataFrame:
-    """Pairs ``left < right`` of members with at least ``min_shared`` common neighbours (and equal
-    ``also_equal`` columns), with the exact count ``shared``.
+    """Pairs ``left < right`` among which are all with at least ``min_shared`` common neighbours.
 
     Two sets that share t elements share one among all but the t-1 most common elements of each,
-    so candidates come from those prefixes only; the hottest neighbours drop out unless a member
-    has nothing else. The count is taken on the full sets.
+    so pairs are made in those prefixes only; the hottest neighbours drop out unless a member has
+    nothing else.
     """
-    base = memberships.select(member, neighbour, *also_equal).distinct()
-    scratch = Scratch(memberships.sparkSession)
-    base = scratch.put(base, "memberships")
-    prefix = base
-    if min_shared > 1:
-        popularity = base.groupBy(neighbour).agg(F.count("*").alias("_f"))
-        ranked = row_number_within(
-            base.join(popularity, neighbour), [member], [F.col("_f").desc(), neighbour], "_rank"
-        )
-        prefix = ranked.filter(F.col("_rank") > min_shared - 1)
-    pairs = pairs_within(prefix, [neighbour, *also_equal], member).select("left", "right").distinct()
-    pairs = scratch.put(pairs, "candidates")
-    # each pair is checked from its smaller set, so a member with a huge set costs little
-    sets = base.select(F.col(member).alias("_m"), F.col(neighbour).alias("_x"))
+    prefix = ranked.filter(F.col("_rank") > min_shared - 1)
+    return pairs_within(prefix, [neighbour, *also_equal], member).select("left", "right").distinct()
+
+
+def count_shared(pairs: DataFrame, memberships: DataFrame, member: str, neighbour: str) -> DataFrame:
+    """``left, right, shared``: common neighbours of each pair, looked up from the smaller set, so
+    a member with a huge set costs little."""
+    sets = memberships.select(F.col(member).alias("_m"), F.col(neighbour).alias("_x"))
     sizes = sets.groupBy("_m").agg(F.count("*").alias("_s"))
     sized = pairs.join(sizes.toDF("left", "_sl"), "left").join(sizes.toDF("right", "_sr"), "right")
     left_smaller = F.col("_sl") <= F.col("_sr")
@@ -326,10 +329,20 @@ def shared_neighbor_pairs(
         .join(sets.toDF("_large", "_x"), ["_large", "_x"], "left_semi")
         .groupBy("left", "right")
         .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") >= min_shared)
     )
 
 
+def shared_neighbor_pairs(
+    memberships: DataFrame, member: str, neighbour: str, min_shared: int
+) -> DataFrame:
+    """Pairs ``left < right`` of members with at least ``min_shared`` common neighbours, with the
+    exact count ``shared``."""
+    scratch = Scratch(memberships.sparkSession)
+    ranked = ranked_memberships(memberships, member, neighbour, (), scratch)
+    pairs = scratch.put(candidate_pairs(ranked, member, neighbour, min_shared), "candidates")
+    return count_shared(pairs, ranked, member, neighbour).filter(F.col("shared") >= min_shared)
+
+
 # --- other joins ------------------------------------------------------------------------------
 
 

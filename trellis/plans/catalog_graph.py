@@ -184,16 +184,16 @@ def _(t):
 
 
 def truss(rounds: int, k: int) -> str:
-    sql = "p0 AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM hand_over WHERE src <> dst AND qty >= 25)"
+    sql = "p0 AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM hand_over WHERE src <> dst)"
     for i in range(rounds):
         sql += f""", t{i} AS MATERIALIZED (SELECT x.a AS p, x.b AS q, y.b AS r FROM p{i} x JOIN p{i} y ON x.b = y.a JOIN p{i} z ON z.a = x.a AND z.b = y.b),
   p{i + 1} AS MATERIALIZED (SELECT a, b FROM (SELECT p AS a, q AS b FROM t{i} UNION ALL SELECT q, r FROM t{i} UNION ALL SELECT p, r FROM t{i}) GROUP BY ALL HAVING count(*) >= {k - 2})"""
     return sql
 
 
-@query("k_truss", f"WITH {HAND_OVER}, {truss(4, 4)} SELECT a, b FROM p4")
+@query("k_truss", f"WITH {HAND_OVER}, {truss(4, 6)} SELECT a, b FROM p4")
 def _(t):
-    return community.k_truss(hand_over(t).filter("qty >= 25"), 4, 4)
+    return community.k_truss(hand_over(t), 6, 4)
 
 
 @query("cluster_summary", """SELECT c_nationkey AS cluster, count(*) AS size, round(avg(c_acctbal), 6) AS avg_score, round(sum(c_acctbal), 2) AS sum_score FROM customer GROUP BY 1 HAVING count(*) >= 2""")
@@ -252,13 +252,11 @@ def _(t):
     return centrality.degree_centrality(customers(t), hand_over(t))
 
 
-@query("neighbour_labels", f"""WITH {RETURNS}, p AS (SELECT DISTINCT a.c_mktsegment AS x, b.c_mktsegment AS y FROM returns JOIN customer a ON a.c_custkey = src JOIN customer b ON b.c_custkey = dst WHERE a.c_nationkey = b.c_nationkey)
+@query("neighbour_labels", f"""WITH {RETURNS}, p AS (SELECT DISTINCT a.c_mktsegment AS x, b.c_mktsegment AS y FROM returns JOIN customer a ON a.c_custkey = src JOIN customer b ON b.c_custkey = dst)
   SELECT x AS label, 'out' AS direction, y AS neighbour_label FROM p UNION ALL SELECT y, 'in', x FROM p""")
 def _(t):
     nodes = t.customer.select(C("c_custkey").alias("id"), C("c_mktsegment").alias("label"))
-    home = t.customer.select("c_custkey", "c_nationkey")
-    near = returns(t).join(home.toDF("src", "n"), "src").join(home.toDF("dst", "n"), ["dst", "n"])
-    return centrality.neighbour_labels(nodes, near)
+    return centrality.neighbour_labels(nodes, returns(t))
 
 
 @query("jaccard_similarity", f"""WITH {RETURNS}, {BUSIEST}, m AS (SELECT DISTINCT src, dst FROM returns), own AS (SELECT dst FROM m WHERE src = (SELECT id FROM start))
@@ -422,10 +420,11 @@ def _(t):
     return rows.groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query("merge_edges", f"WITH {RETURNS} SELECT src, dst, count(*) AS n FROM (SELECT DISTINCT src, dst FROM returns) GROUP BY ALL")
+@query("merge_edges", f"""WITH {RETURNS} SELECT src, dst, count(*) AS n FROM (SELECT src, dst FROM returns WHERE qty >= 45
+  UNION ALL (SELECT src, dst FROM returns EXCEPT SELECT src, dst FROM returns WHERE qty >= 45)) GROUP BY ALL""")
 def _(t):
-    e = edges_from_dataframe(returns(t), "src", "dst", "c", "c", "HANDS", [], ["eid"])
-    merged = mutate.merge_edges(e.limit(0), e)
+    e = edges_from_dataframe(returns(t), "src", "dst", "c", "c", "HANDS", ["qty"], ["eid"])
+    merged = mutate.merge_edges(e.filter("qty >= 45"), e)
     return merged.groupBy(C("src").cast("bigint").alias("src"), C("dst").cast("bigint").alias("dst")).agg(F.count("*").alias("n"))
 
 

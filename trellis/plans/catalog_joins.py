@@ -79,13 +79,13 @@ def _(t):
     return match.two_hop_not_direct(hand_over(t), ones, ["paths"]).filter("paths > 0")
 
 
-@query("shared_neighbor_pairs", """WITH m AS (SELECT DISTINCT o_custkey AS c, l_partkey AS p FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 40)
-  SELECT a.c AS "left", b.c AS "right", count(*) AS shared FROM m a JOIN m b ON a.p = b.p AND a.c < b.c GROUP BY ALL HAVING count(*) >= 2""")
+@query("shared_neighbor_pairs", """WITH m AS (SELECT DISTINCT o_custkey AS c, l_partkey AS p FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  SELECT a.c AS "left", b.c AS "right", count(*) AS shared FROM m a JOIN m b ON a.p = b.p AND a.c < b.c GROUP BY ALL HAVING count(*) >= 4""")
 def _(t):
-    bought = t.lineitem.filter("l_quantity >= 40").join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
+    bought = t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
         C("o_custkey").alias("c"), C("l_partkey").alias("p")
     )
-    return match.shared_neighbor_pairs(bought, "c", "p", 2)
+    return match.shared_neighbor_pairs(bought, "c", "p", 4)
 
 
 @query("anti_pattern", """SELECT c_custkey AS id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""")
@@ -149,11 +149,11 @@ def _(t):
     return rows.select("l.l_partkey", C("l.l_orderkey").alias("earlier"), C("r.l_orderkey").alias("later"), "l.l_quantity")
 
 
-@query("cycle_match", f"""WITH {HAND_OVER}, e AS (SELECT * FROM hand_over WHERE src <> dst AND qty >= 48)
+@query("cycle_match", f"""WITH {HAND_OVER}, e AS (SELECT * FROM hand_over WHERE src <> dst)
   SELECT a.qty, a.src || '>' || b.src || '>' || c.src AS nodes, count(*) AS cycles FROM e a
   JOIN e b ON a.dst = b.src AND a.qty = b.qty JOIN e c ON b.dst = c.src AND c.dst = a.src AND c.qty = a.qty GROUP BY ALL""")
 def _(t):
-    rows = match.cycle_match(hand_over(t).filter("qty >= 48").withColumnRenamed("eid", "edge_id"), "qty", 3)
+    rows = match.cycle_match(hand_over(t).withColumnRenamed("eid", "edge_id"), "qty", 3)
     path = F.array_join(F.slice(C("nodes").cast("array<string>"), 1, 3), ">")
     return rows.groupBy("qty", path.alias("nodes")).agg(F.count("*").alias("cycles"))
 

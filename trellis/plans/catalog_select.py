@@ -337,11 +337,10 @@ def _(t):
 # --- ordering and set operations --------------------------------------------------------------
 
 
-@query("order_by", """SELECT p_partkey, p_brand, p_size FROM part ORDER BY p_brand DESC NULLS LAST, p_size ASC NULLS LAST, p_partkey LIMIT 500""")
+@query("order_by", """SELECT p_partkey, row_number() OVER (ORDER BY p_brand DESC NULLS LAST, p_size ASC NULLS LAST, p_partkey) AS position FROM part""")
 def _(t):
-    return t.part.select("p_partkey", "p_brand", "p_size").orderBy(
-        C("p_brand").desc_nulls_last(), C("p_size").asc_nulls_last(), "p_partkey"
-    ).limit(500)
+    order = [C("p_brand").desc_nulls_last(), C("p_size").asc_nulls_last(), "p_partkey"]
+    return ordering.global_row_number(t.part.select("p_partkey", "p_brand", "p_size"), order, "position").select("p_partkey", "position")
 
 
 @query("top_k", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20")

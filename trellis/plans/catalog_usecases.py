@@ -54,12 +54,12 @@ def _(t):
     return U.equal_amount_cycle(hand_over(t), "qty", 5)
 
 
-@query("suspicious_in_cycles", f"""WITH {HAND_OVER}, k AS (SELECT *, CAST(row_number() OVER () AS BIGINT) AS id FROM hand_over WHERE src <> dst AND qty >= 45),
+@query("suspicious_in_cycles", f"""WITH {HAND_OVER}, k AS (SELECT *, CAST(row_number() OVER () AS BIGINT) AS id FROM hand_over WHERE src <> dst),
   c AS (SELECT a.id AS i, b.id AS j, c.id AS k FROM k a JOIN k b ON a.dst = b.src AND a.qty = b.qty JOIN k c ON b.dst = c.src AND c.qty = a.qty AND c.dst = a.src),
   ids AS (SELECT i AS id FROM c UNION SELECT j FROM c UNION SELECT k FROM c)
   SELECT count(*) AS edges FROM ids JOIN k USING (id) WHERE price > 30000""")
 def _(t):
-    moved = hand_over(t).filter("qty >= 45").withColumn("edge_id", F.concat_ws(":", "eid", "price"))
+    moved = hand_over(t).withColumn("edge_id", F.concat_ws(":", "eid", "price"))
     rows = U.suspicious_in_cycles(moved, "qty", 3, moved.filter("price > 30000"))
     return rows.agg(F.count("*").alias("edges"))
 
@@ -74,11 +74,11 @@ def _(t):
 
 @query("common_claim_graph")
 def _(t):
-    bought = t.lineitem.filter("l_quantity >= 40").join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
+    bought = t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
         C("o_custkey").alias("c"), C("l_partkey").alias("p")
     )
     scores = t.customer.select(C("c_custkey").alias("id"), C("c_acctbal").alias("rank"))
-    return U.common_claim_graph(bought, "c", "p", 2, scores)
+    return U.common_claim_graph(bought, "c", "p", 4, scores)
 
 
 @query("prior_common_store", """WITH p AS (SELECT o_custkey AS person, l_suppkey AS store, l_shipdate AS ts, l_returnflag = 'R' AND l_quantity >= 49 AS fraud FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
@@ -110,18 +110,18 @@ def _(t):
     )
 
 
-@query("entity_resolution_clusters", """WITH RECURSIVE m AS (SELECT DISTINCT o_custkey AS c, l_partkey AS p, c_mktsegment AS f, c_nationkey AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey WHERE l_quantity >= 30),
+@query("entity_resolution_clusters", """WITH RECURSIVE m AS (SELECT DISTINCT o_custkey AS c, l_partkey AS p, c_mktsegment AS f, c_nationkey AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey),
   pairs AS (SELECT a.c AS x, b.c AS y FROM m a JOIN m b ON a.p = b.p AND a.c < b.c GROUP BY ALL
-    HAVING count(*) + max(CASE WHEN a.f = b.f THEN 1 ELSE 0 END) + max(CASE WHEN a.n = b.n THEN 1 ELSE 0 END) > 2),
+    HAVING count(*) + max(CASE WHEN a.f = b.f THEN 1 ELSE 0 END) + max(CASE WHEN a.n = b.n THEN 1 ELSE 0 END) > 5),
   u AS MATERIALIZED (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
   r(id, l) AS (SELECT c_custkey, c_custkey FROM customer UNION SELECT u.y, r.l FROM r JOIN u ON u.x = r.id WHERE r.l < u.y)
   SELECT id, min(l) AS cluster FROM r GROUP BY 1""")
 def _(t):
-    bought = t.lineitem.filter("l_quantity >= 30").join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
+    bought = t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
         C("o_custkey").alias("c"), C("l_partkey").alias("p")
     )
     people = t.customer.select(C("c_custkey").alias("c"), C("c_mktsegment").alias("f"), C("c_nationkey").alias("n"))
-    return U.entity_resolution_clusters(people, "c", bought, "p", ["f", "n"])
+    return U.entity_resolution_clusters(people, "c", bought, "p", ["f", "n"], 5)
 
 
 @query("customer_nation_graph", "SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")

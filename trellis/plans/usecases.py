@@ -11,8 +11,11 @@ from trellis.functions.scalar import any_in_list, left_text
 from trellis.operators.centrality import pagerank
 from trellis.operators.community import cluster_summary, connected_components, louvain
 from trellis.operators.match import (
+    candidate_pairs,
     closed_walk_counts,
+    count_shared,
     cycle_match,
+    ranked_memberships,
     shared_neighbor_pairs,
     two_hop_not_direct,
 )
@@ -122,24 +125,30 @@ def entity_resolution_clusters(
 ) -> DataFrame:
     """Accounts that share enough links and names, and the component of each.
 
-    The score is the number of shared links plus one per equal name. A pair scores above the
-    limit with 3 links, with 2 links and one equal name, or with 1 link and two: each case is
-    joined on all it requires, so only pairs that qualify are built.
+    The score is the number of shared links plus one per equal name. With a limit of 2 a pair
+    qualifies with 3 links, with 2 links and one equal name, or with 1 link and two: each case is
+    joined on all it requires, so few other pairs are built, and the score is then computed.
     """
     scratch = Scratch(accounts.sparkSession)
-    rows = scratch.put(links.select(account, link).distinct().join(accounts.select(account, *names), account), "rows")
+    rows = links.select(account, link).distinct().join(accounts.select(account, *names), account)
+    ranked = ranked_memberships(rows, account, link, names, scratch)
     needed = score_above + 1
-    found = shared_neighbor_pairs(rows, account, link, needed).select("left", "right")
-    if needed > 1:
-        for name in names:
-            found = found.unionAll(
-                shared_neighbor_pairs(rows, account, link, needed - 1, [name]).select("left", "right")
-            )
-    if needed > 2 and len(names) > 1:
-        found = found.unionAll(
-            shared_neighbor_pairs(rows, account, link, needed - 2, list(names)).select("left", "right")
+    cases = [[], *[[name] for name in names], *([list(names)] if len(names) > 1 else [])]
+    found = None
+    for equal in cases:
+        pairs = candidate_pairs(ranked, account, link, max(needed - len(equal), 1), equal)
+        found = pairs if found is None else found.unionAll(pairs)
+    found = scratch.put(found.distinct(), "candidates")
+    score = F.col("shared")
+    scored = count_shared(found, ranked, account, link)
+    for side in ("left", "right"):
+        scored = scored.join(
+            accounts.select(F.col(account).alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names]), side
         )
-    edges = scratch.put(found.distinct().select(F.col("left").alias("src"), F.col("right").alias("dst")), "similar")
+    for name in names:
+        score = score + (F.col(f"left_{name}") == F.col(f"right_{name}")).cast("int")
+    similar = scored.filter(score > score_above).select(F.col("left").alias("src"), F.col("right").alias("dst"))
+    edges = scratch.put(similar, "similar")
     people = accounts.select(F.col(account).alias("id"))
     return connected_components(people, edges, "cluster")
 

@@ -7,6 +7,8 @@ planner its size, so the next join may be broadcast only when the table really i
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,7 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can read")
     if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="trellis-")
+        path = tempfile.mkdtemp(prefix="trellis-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        _local_dirs[sc.applicationId] = path
     return _local_dirs[sc.applicationId]
 
 
@@ -55,7 +59,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/trellis/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        self.root = f"{_application_dir(spark)}/{uuid.uuid4().hex}"
         self._slots: dict[str, list[str]] = {}
 
     def put(self, df: DataFrame, slot: str = "state") -> DataFrame:
@@ -70,10 +74,22 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
+        _delete(self.spark, path)
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/trellis/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop every table this application wrote between rounds. Results still to be read from them
+    must be saved first, so call it at the end of a job."""
+    _delete(spark, _application_dir(spark))
 
 
 def materialize(df: DataFrame, slot: str = "table") -> DataFrame:
