@@ -96,10 +96,12 @@ def test_two_hop_counts(case):
     assert got == dict(want)
 
 
-def test_shared_neighbours(case):
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_shared_neighbours(case, hot, monkeypatch):
+    monkeypatch.setattr(match, "HOT_NEIGHBOUR", hot)
     _, edges, _, e = case
     near = G.adjacency(edges)
-    for least in (1, 2):
+    for least in (1, 2, 3):
         got = {(r["left"], r["right"]): r["shared"] for r in match.shared_neighbor_pairs(e, "src", "dst", least).collect()}
         want = {(a, b): len(near[a] & near[b]) for a in near for b in near if a < b and len(near[a] & near[b]) >= least}
         assert got == want

@@ -289,14 +289,19 @@ def pairs_within(df: DataFrame, group: Sequence[str], member: str, block: int =
     )
 
 
+HOT_NEIGHBOUR = 1000  # neighbours with more members than this may be left out of candidates
+
+
 def ranked_memberships(
     memberships: DataFrame, member: str, neighbour: str, carry: Sequence[str], scratch: Scratch
 ) -> DataFrame:
-    """Distinct memberships with ``_rank``: 1 for a member's most common neighbour."""
+    """Distinct memberships with ``_rank``: 1, 2, … for a member's hot neighbours from the most
+    common one down, null for all others."""
     base = scratch.put(memberships.select(member, neighbour, *carry).distinct(), "memberships")
-    popularity = base.groupBy(neighbour).agg(F.count("*").alias("_f"))
-    ranked = row_number_within(base.join(popularity, neighbour), [member], [F.col("_f").desc(), neighbour], "_rank")
-    return scratch.put(ranked.drop("_f"), "ranked")
+    hot = base.groupBy(neighbour).agg(F.count("*").alias("_f")).filter(F.col("_f") > HOT_NEIGHBOUR)
+    hot_rows = base.select(member, neighbour).join(hot, neighbour)
+    ranks = row_number_within(hot_rows, [member], [F.col("_f").desc(), neighbour], "_rank").drop("_f")
+    return scratch.put(base.join(ranks, [member, neighbour], "left"), "ranked")
 
 
 def candidate_pairs(
@@ -304,12 +309,19 @@ def candidate_pairs(
 ) -> DataFrame:
     """Pairs ``left < right`` among which are all with at least ``min_shared`` common neighbours.
 
-    Two sets that share t elements share one among all but the t-1 most common elements of each,
-    so pairs are made in those prefixes only; the hottest neighbours drop out unless a member has
-    nothing else.
+    Each member leaves out up to t-1 of its hottest neighbours. Since all rank them alike, two
+    members lose no more common neighbours than the one that left out more, so a pair must still
+    show t minus that many. Without hot neighbours the count shown is the exact one.
     """
-    prefix = ranked.filter(F.col("_rank") > min_shared - 1)
-    return pairs_within(prefix, [neighbour, *also_equal], member).select("left", "right").distinct()
+    left_out = F.col("_rank") <= min_shared - 1
+    kept = ranked.filter(F.col("_rank").isNull() | ~left_out)
+    lost = ranked.filter(left_out).groupBy(member).agg(F.count("*").alias("_lost"))
+    shown = (
+        pairs_within(kept, [neighbour, *also_equal], member).groupBy("left", "right").agg(F.count("*").alias("_shown"))
+    )
+    bounded = shown.join(lost.toDF("left", "_ll"), "left", "left").join(lost.toDF("right", "_lr"), "right", "left")
+    most = F.greatest(F.coalesce("_ll", F.lit(0)), F.coalesce("_lr", F.lit(0)))
+    return bounded.filter(F.col("_shown") + most >= min_shared).select("left", "right")
 
 
 def count_shared(pairs: DataFrame, memberships: DataFrame, member: str, neighbour: str) -> DataFrame:

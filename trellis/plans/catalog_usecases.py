@@ -18,14 +18,14 @@ C = F.col
 
 @query("friend_of_friend_risk", f"""WITH {TWO_HOP}, j AS (SELECT a, c_acctbal AS v, c_acctbal < 0 AS bad, c_mktsegment = 'MACHINERY' AS unv FROM two JOIN customer ON c_custkey = c),
   g AS (SELECT a, avg(v) AS s, count(*) AS n, count(*) FILTER (bad) AS b, count(*) FILTER (unv) AS u FROM j GROUP BY 1)
-  SELECT a AS id, round(s, 5) AS avg_score, round(b / n::DOUBLE, 8) AS bad_share, round(u / n::DOUBLE, 8) AS unverified_share FROM g WHERE b > 0 AND u > 0""")
+  SELECT a AS id, round(s + 1e-9, 5) AS avg_score, round(b / n::DOUBLE, 8) AS bad_share, round(u / n::DOUBLE, 8) AS unverified_share FROM g WHERE b > 0 AND u > 0""")
 def _(t):
     accounts = t.customer.select(C("c_custkey").alias("id"), "c_acctbal", "c_mktsegment")
     rows = U.friend_of_friend_risk(
         hand_over(t), accounts, C("c_acctbal") < 0, C("c_mktsegment") == "MACHINERY", "c_acctbal"
     )
     return rows.select(
-        "id", F.round("avg_score", 5).alias("avg_score"), F.round("bad_share", 8).alias("bad_share"),
+        "id", F.round(C("avg_score") + 1e-9, 5).alias("avg_score"), F.round("bad_share", 8).alias("bad_share"),
         F.round("unverified_share", 8).alias("unverified_share"),
     )
 
