@@ -162,9 +162,9 @@ def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
     words = F.split(F.regexp_replace(body(row[text]), r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
 
     def cut(a: str, b: str) -> Column:
-        return F.slice(words, (F.col(a) + 1).cast("int"), (F.col(b) - F.col(a)).cast("int"))
+        return F.when(F.col(a) < F.col(b), F.array_join(F.slice(words, (F.col(a) + 1).cast("int"), (F.col(b) - F.col(a)).cast("int")), ""))
 
-    part = F.array_join(F.concat(cut("a1", "b1"), cut("a2", "b2")), "")
+    part = F.concat_ws(" ", cut("a1", "b1"), cut("a2", "b2"))  # both if the run goes around its end within one document
     chosen = F.when(F.col("copy") == 1, part).otherwise(row[text])
     listed = whole.join(placed, "number").select("row", "a1", "b1", "a2", "b2", F.explode(copies).alias("copy"))
     columns = [chosen.alias(text) if c == text else row[c].alias(c) for c in docs.columns]
