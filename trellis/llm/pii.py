@@ -114,7 +114,7 @@ def proposals(text: str) -> list[tuple[int, str, int]]:
 def features(text: str, span: tuple[int, str, int]) -> list[float]:
     """Format and context; without the signs that define the base rules."""
     start, kind, end = span
-    piece = text[start:end]
+    piece = text[start:end].removeprefix("+")
     digits = sum(c.isdigit() for c in piece)
     groups = [len(g) for g in re.findall(r"\d+", piece)]
     before, after = text[max(0, start - LEFT_CONTEXT):start], text[end:end + LEFT_CONTEXT]
