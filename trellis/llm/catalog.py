@@ -119,10 +119,12 @@ d AS (
            n_words < 40 OR 200 * n_repeat_words > 30 * n_words OR n_symbols * 10 > n_words OR n_dup_lines > 0 AS strict_failed FROM m
 ), h AS (
     SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM b GROUP BY source
+), o AS (
+    SELECT sum(failed) / sum(n) AS mean, sum(n) AS total, count(*) AS hosts FROM h
 ), p AS (
-    SELECT mean, CASE WHEN mean * (1 - mean) > 0
-        THEN greatest(1.0, mean * (1 - mean) / greatest(coalesce(variance, 0) - mean * (1 - mean) * per_host, mean * (1 - mean) * 1e-4) - 1) ELSE 1.0 END AS strength
-    FROM (SELECT sum(failed) / sum(n) AS mean, var_samp(failed / n) AS variance, avg(1 / n) AS per_host FROM h)
+    SELECT mean, CASE WHEN mean * (1 - mean) > 0 THEN greatest(1.0, mean * (1 - mean) / greatest(
+        (sum(n * (failed / n - mean) ** 2) - mean * (1 - mean) * (hosts - 1)) / total, mean * (1 - mean) * 1e-4) - 1) ELSE 1.0 END AS strength
+    FROM h, o GROUP BY mean, total, hosts
 ), v AS (
     SELECT source, n + strength AS weight, (failed + strength * mean) / (n + strength) AS host_rate FROM h, p
 ), judged AS (

@@ -103,14 +103,16 @@ def host_verdicts(judged: DataFrame, rate: float = HOST_RATE, caution: float = C
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """Mean and strength (in documents) of the prior, by moments: the hosts' mean rate, and the variance of
-    their rates less what counting so few documents would give by itself."""
-    share = F.col("failed") / F.col("n")
-    mean, variance, per_host = hosts.agg(F.sum("failed") / F.sum("n"), F.var_samp(share), F.avg(1 / F.col("n"))).first()
-    spread = (mean or 0.0) * (1 - (mean or 0.0))
+    """Mean and strength (in documents) of the prior, by moments: the rate over all documents, and the variance of the
+    hosts' rates, each host weighing as its documents, less what counting so few documents gives by itself."""
+    total, failed, count = hosts.agg(F.sum("n"), F.sum("failed"), F.count("*")).first()
+    mean = failed / total if total else 0.0
+    spread = mean * (1 - mean)
     if not spread:
-        return mean or 0.0, 1.0
-    between = max((variance or 0.0) - spread * per_host, spread * 1e-4)
+        return mean, 1.0
+    apart = F.col("failed") / F.col("n") - mean
+    (squares,) = hosts.agg(F.sum(F.col("n") * apart * apart)).first()
+    between = max((squares - spread * (count - 1)) / total, spread * 1e-4)
     return mean, max(1.0, spread / between - 1)
 
 
