@@ -73,6 +73,11 @@ class Scratch:
             self._delete(versions.pop(0))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Delete all of this run's tables. What was computed from them must be saved by then."""
+        _delete(self.spark, self.root)
+        self._slots.clear()
+
     def _delete(self, path: str) -> None:
         _delete(self.spark, path)
 
