@@ -29,14 +29,14 @@ def normalised(text):
     return F.regexp_replace(body(text), SPACE, " ")
 
 
-def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """For every row ``row`` (a struct of all its columns), ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Null texts count as empty. Of equal texts the row with the smallest id is kept, null ids last; of rows that also
     share the id, one. ``keep_id`` is the kept row's id, ``group_size`` counts all rows of the text. Nothing is cut or
     dropped, and an empty table gives no rows."""
     spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = scratch or Scratch(spark)
     plain = F.col("row")[text]
     rows = whole_rows(docs).select("row", F.col("row")[id].alias("doc_id"), normalised(plain).alias("content")).select(
         "row", "doc_id", F.substring("content", 1, HEAD).alias("head"), F.sha2(F.col("content").cast("binary"), 256).alias("digest")
@@ -69,6 +69,6 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     )
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    return exact_duplicates(docs, id, text).filter("kept").select("row.*")
+    return exact_duplicates(docs, id, text, scratch).filter("kept").select("row.*")

@@ -30,13 +30,12 @@ SEED = 6
 SHARD_ROWS = 4096
 
 
-def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+def source_targets(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``source, source_size, target`` from rows of ``source, size``; one row per source.
 
     Sources in the order of their code points, null last, take the weights in turn. Their places are counted
     over ranges of the names: a count per range, then numbers within it."""
     spark = sizes.sparkSession
-    scratch = Scratch(spark)
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = totals.repartitionByRange(parts, F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
@@ -77,17 +76,17 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         F.lit(None).cast("long").alias("number"), F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"),
         word_count(F.col(text)).alias("size"),
     )
-    return _placed(Scratch(docs.sparkSession).put(rows, "sizes"), **how).select("doc_id", "size", "source_size", "target", "taken")
+    scratch = Scratch(docs.sparkSession)
+    return _placed(scratch.put(rows, "sizes"), scratch, **how).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _placed(
-    rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED,
+    rows: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``rows`` (``number, doc_id, source, size``, read from a table) with ``taken`` and how it is made up: the whole
     text ``times`` times, and the words in the two intervals ``[a1, b1)`` and ``[a2, b2)``."""
-    scratch = Scratch(rows.sparkSession)
-    targets = scratch.put(source_targets(rows, weights, share, most), "targets")
+    targets = scratch.put(source_targets(rows, scratch, weights, share, most), "targets")
     shards = rows.count() // shard_rows + 1
     dealt = rows.withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard", F.pmod("order", F.lit(shards)))
     cells = dealt.groupBy("shard", "source").agg(F.sum("size").alias("words"))
@@ -141,14 +140,16 @@ def _quotas(cells: DataFrame, block: int) -> DataFrame:
     )
 
 
-def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", scratch: Scratch | None = None, **how
+) -> DataFrame:
     """The mix as rows of ``docs``: a document that is taken twice stands there twice, one taken in part with
     the words taken (white space behind each as in the text), one not taken not at all."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     whole = scratch.put(whole_rows(docs, F.monotonically_increasing_id().alias("number")), "whole")
     row = F.col("row")
     sizes = whole.select("number", row[id].alias("doc_id"), row[source].cast("string").alias("source"), word_count(row[text]).alias("size"))
-    placed = _placed(scratch.put(sizes, "sizes"), **how).filter("taken > 0")
+    placed = _placed(scratch.put(sizes, "sizes"), scratch, **how).filter("taken > 0")
     placed = placed.select("number", "size", "times", "a1", "b1", "a2", "b2")
     full = (F.col("b1") - F.col("a1") == F.col("size")).cast("long")
     placed = scratch.put(placed.select(

@@ -89,9 +89,8 @@ def strict_failed() -> Column:
     )
 
 
-def host_verdicts(judged: DataFrame, rate: float = HOST_RATE, caution: float = CAUTION) -> DataFrame:
+def host_verdicts(judged: DataFrame, scratch: Scratch, rate: float = HOST_RATE, caution: float = CAUTION) -> DataFrame:
     """``host, host_rate, host_failed`` from rows of ``host, base_failed``, one row per host."""
-    scratch = Scratch(judged.sparkSession)
     hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     hosts = scratch.put(hosts, "hosts")
     mean, strength = beta_prior(hosts)
@@ -116,7 +115,7 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean, max(1.0, spread / between - 1)
 
 
-def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", with_row: bool = False) -> DataFrame:
+def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", with_row: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """For every row ``doc_id``, the measures, ``base_failed, host_rate, kept``, and if asked for ``row``, a struct of all
     its columns.
 
@@ -124,13 +123,14 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "
     table gives no rows. Texts are measured whole, and only the counts by host are shuffled."""
     own = [F.col(id).alias("doc_id"), F.col(host).cast("string").alias("host"), body(F.col(text)).alias("text")]
     rows = measured(whole_rows(docs, *own) if with_row else docs.select(*own))
-    rows = Scratch(docs.sparkSession).put(rows.withColumn("base_failed", base_failed()), "judged")
-    hosts = host_verdicts(rows).withColumnRenamed("host", "of_host")
+    scratch = scratch or Scratch(docs.sparkSession)
+    rows = scratch.put(rows.withColumn("base_failed", base_failed()), "judged")
+    hosts = host_verdicts(rows, scratch).withColumnRenamed("host", "of_host")
     joined = rows.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
     kept = ~F.col("base_failed") & ~(F.col("host_failed") & strict_failed())
     return joined.select(*["row"] * with_row, "doc_id", *MEASURES, "base_failed", "host_rate", kept.alias("kept"))
 
 
-def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    return judge(docs, id, text, host, with_row=True).filter("kept").select("row.*")
+    return judge(docs, id, text, host, with_row=True, scratch=scratch).filter("kept").select("row.*")

@@ -230,10 +230,12 @@ def _roots(rows: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
     return scratch.put(own.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+def keep_first(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, scratch: Scratch | None = None
+) -> DataFrame:
     """The rows of ``docs`` with all their columns, of each component only the one with the smallest id,
     null last (of repeated rows, one)."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     whole = scratch.put(whole_rows(docs, F.monotonically_increasing_id().alias("number")), "whole")
     rows = whole.select("number", F.col("row")[id].alias("doc_id"), F.col("row")[text].alias("text"))
     rows = scratch.put(fingerprints(rows, "text", size), "rows")
