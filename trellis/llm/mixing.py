@@ -167,6 +167,7 @@ def mixed_rows(
 
     part = F.concat_ws(" ", cut("a1", "b1"), cut("a2", "b2"))  # both if the run goes around its end within one document
     chosen = F.when(F.col("copy") == 1, part).otherwise(row[text])
-    listed = whole.join(placed, "number").select("row", "a1", "b1", "a2", "b2", F.explode(copies).alias("copy"))
+    # The same join at every size: a plan that broadcasts small inputs would grow faster than they do.
+    listed = whole.join(placed.hint("merge"), "number").select("row", "a1", "b1", "a2", "b2", F.explode(copies).alias("copy"))
     columns = [chosen.alias(text) if c == text else row[c].alias(c) for c in docs.columns]
     return listed.select(*columns)
