@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,12 +90,12 @@ def betweenness_centrality(
     nodes: DataFrame,
     edges: DataFrame,
     num_sources: int | None = None,
-    max_depth: int = 100,
+    max_depth: int | None = None,
     result: str = "betweenness",
 ) -> DataFrame:
     """Unnormalised directed betweenness over shortest hop paths (Brandes), from all nodes or from
     the first ``num_sources`` in md5 order. All sources advance together, level by level, on rows
-    (source, node, paths); the way back adds the dependencies level by level."""
+    (source, node, paths), to the last node reached or to the hop limit that the caller names; the way back adds the dependencies level by level."""
     scratch = Scratch(edges.sparkSession)
     steps = scratch.put(
         edges.filter("src <> dst").select(F.col("src").alias("v"), F.col("dst").alias("w")).distinct(), "edges"
@@ -103,7 +105,7 @@ def betweenness_centrality(
         sources.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).cast("double").alias("paths")), "level_0"
     )
     levels, seen, fresh = [level], [], 0
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         # a node already seen from a source lies on an earlier level
         if depth % 6 == 0:
             seen = [scratch.put(stack([*seen, *[x.select("s", "v") for x in levels[depth - 6 :]]]), "seen")]

@@ -54,6 +54,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[sc.applicationId]
 
 
+class NotConverged(RuntimeError):
+    """An iteration reached the caller's limit before its own end."""
+
+
+def rounds(most: int | None):
+    """Round numbers from 0, without end, or an error after the caller's limit."""
+    turn = 0
+    while most is None or turn < most:
+        yield turn
+        turn += 1
+    raise NotConverged(f"not done after {most} rounds")
+
+
 class Scratch:
     """Tables written under the shared folder by one operator run."""
 
