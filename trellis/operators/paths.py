@@ -167,7 +167,7 @@ def random_walks(
     backward_probability: float = 1.0,
     forward_probability: float = 1.0,
     seed: int = 7,
-    max_turns: int = 50,
+    max_turns: int = 6,
 ) -> DataFrame:
     """Reproducible walks: ``root, walk, path``. A walk ends early at a node without out-edges.
 
@@ -176,7 +176,9 @@ def random_walks(
     by rejection: the step back to the previous node is kept with weight
     ``backward_probability``, a step to a node next to the previous one with weight 1, any other
     with weight ``forward_probability``. A walker draws DRAWS times at once and takes the first
-    draw that is kept; one without any draws again, up to ``max_turns`` times.
+    draw that is kept; one without any draws again, up to ``max_turns`` times. The few that are then left
+    draw from all their weighted out-edges at once, which follows the same law, so no walk is lost; a walk whose
+    out-edges all have weight 0 ends.
     """
     scratch = Scratch(edges.sparkSession)
     numbered = scratch.put(
@@ -213,6 +215,13 @@ def random_walks(
             pending = tried.filter("dst is null").drop("dst")
             if not pending.take(1):
                 break
+        else:
+            rest = scratch.put(
+                pending.join(_weighted_draws(pending, numbered, seed, step, backward_probability, forward_probability, highest), ["root", "walk"], "left")
+                .select(*pending.columns, "dst"), f"drawn_{step}_rest"
+            )
+            kept.append(_longer(rest.filter("dst is not null")))
+            ended.append(rest.filter("dst is null").select("root", "walk", "path"))
         walks = scratch.put(stack(kept), f"walks_{step}")
     return stack([*ended, walks])
 
@@ -221,19 +230,11 @@ def _longer(rows: DataFrame) -> DataFrame:
     return rows.select("root", "walk", F.array_append("path", F.col("dst")).alias("path"))
 
 
-def _biased_draws(
-    pending: DataFrame, numbered: DataFrame, seed: int, step: int, turn: int, back: float, forward: float, highest: float
-) -> DataFrame:
-    """``root, walk, dst``: the first kept draw of each walker that has one."""
-    tries = F.sequence(F.lit(turn * DRAWS), F.lit(turn * DRAWS + DRAWS - 1))
-    draws = pending.withColumn("_try", F.explode(tries)).withColumn(
-        "pos", F.col("first") + F.pmod(F.xxhash64(F.lit(seed), "root", "walk", F.lit(step), "_try"), F.col("degree"))
-    )
+def _bias(steps: DataFrame, numbered: DataFrame, back: float, forward: float, highest: float) -> DataFrame:
+    """The ``_weight`` of each step to ``dst`` of a walker with ``path``."""
     near = numbered.select(F.col("src").alias("_before"), "dst", F.lit(True).alias("_near"))
-    draws = (
-        draws.join(numbered.select("pos", "dst"), "pos")
-        .withColumn("_before", F.when(F.size("path") > 1, F.try_element_at("path", F.lit(-2))))
-        .join(near, ["_before", "dst"], "left")
+    steps = steps.withColumn("_before", F.when(F.size("path") > 1, F.try_element_at("path", F.lit(-2)))).join(
+        near, ["_before", "dst"], "left"
     )
     weight = (
         F.when(F.col("_before").isNull(), F.lit(highest))
@@ -241,9 +242,30 @@ def _biased_draws(
         .when(F.col("_near"), F.lit(1.0))
         .otherwise(F.lit(forward))
     )
+    return steps.withColumn("_weight", weight)
+
+
+def _weighted_draws(
+    pending: DataFrame, numbered: DataFrame, seed: int, step: int, back: float, forward: float, highest: float
+) -> DataFrame:
+    """``root, walk, dst``: one draw by weight for each walker, the smallest of exponential keys."""
+    steps = _bias(pending.join(numbered.select("src", "dst"), "src"), numbered, back, forward, highest).filter("_weight > 0")
+    uniform = (F.pmod(F.xxhash64(F.lit(seed + 2), "root", "walk", F.lit(step), "dst"), F.lit(1 << 30)) + 1) / float((1 << 30) + 1)
+    return steps.groupBy("root", "walk").agg(F.min(F.struct((-F.log(uniform) / F.col("_weight")).alias("_key"), "dst"))["dst"].alias("dst"))
+
+
+def _biased_draws(
+    pending: DataFrame, numbered: DataFrame, seed: int, step: int, turn: int, back: float, forward: float, highest: float
+) -> DataFrame:
+    """``root, walk, dst``: the first kept draw of each walker that has one."""
+    tries = F.sequence(F.lit(turn * DRAWS), F.lit(turn * DRAWS + DRAWS - 1))
+    draws = pending.withColumn("_try", F.explode(tries)).withColumn(
+        "pos", F.col("first") + F.pmod(F.xxhash64(F.lit(seed), "root", "walk", F.lit(step), "_try"), F.col("degree"))
+    )
+    draws = _bias(draws.join(numbered.select("pos", "dst"), "pos"), numbered, back, forward, highest)
     coin = F.pmod(F.xxhash64(F.lit(seed + 1), "root", "walk", F.lit(step), "_try"), F.lit(1 << 30)) / float(1 << 30)
     return (
-        draws.filter(coin < weight / highest)
+        draws.filter(coin < F.col("_weight") / highest)
         .groupBy("root", "walk")
         .agg(F.min(F.struct("_try", "dst"))["dst"].alias("dst"))
     )
