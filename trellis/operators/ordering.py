@@ -69,6 +69,14 @@ def global_row_number(df: DataFrame, order_by: Sequence[str | Column], out: str
     return running_total(df, order_by, {out: F.lit(1).cast("bigint")})
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A join in which a null key meets a null key, as in grouping."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = left.join(named, on, how)
+    return joined if how == "left_semi" else joined.drop(*[f"_key_{k}" for k in keys])
+
+
 def row_number_within(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], out: str = "rn"
 ) -> DataFrame:
@@ -79,12 +87,12 @@ def row_number_within(
     edges = stored.groupBy("_range").agg(F.min(key).alias("_a"), F.max(key).alias("_b"))
     # at most two groups per range partition
     edges = edges.select("_range", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_g")).select("_range", "_g.*")
-    counts = stored.join(F.broadcast(edges), ["_range", *group]).groupBy("_range", *group).agg(F.count("*").alias("_n"))
+    counts = _join_null_safe(stored, F.broadcast(edges), ["_range", *group], "left_semi").groupBy("_range", *group).agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = counts.select("_range", *group, F.sum("_n").over(earlier).alias("_before"))
     within = Window.partitionBy("_range", *group).orderBy(*order_by)
     return (
-        stored.join(F.broadcast(carried), ["_range", *group], "left")
+        _join_null_safe(stored, F.broadcast(carried), ["_range", *group], "left")
         .withColumn(out, F.coalesce("_before", F.lit(0)) + F.row_number().over(within))
         .select(*df.columns, out)
     )
@@ -216,7 +224,7 @@ def exact_quantiles(
         F.sum("_n").alias("_total"), F.min(F.col("_cum") - F.col("_n")).alias("_start")
     )
     if keys:
-        placed = cum.join(span, list(keys))
+        placed = _join_null_safe(cum, span, list(keys), "inner")
     else:
         placed = cum.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one")
     last = F.col("_cum") - F.col("_start")
