@@ -47,14 +47,26 @@ def graph_insert(
     return stack([table, fresh.join(table.select(*key), list(key), "left_anti")])
 
 
-def graph_update(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows matched by key get the non-null new values; new columns are added."""
-    return _merge(table, rows, key, "left")
+def graph_update(
+    table: DataFrame, rows: DataFrame, key: Sequence[str], on_duplicate: str = "keep_first", order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows matched by key get the non-null new values; new columns are added. Of rows with one key the first in
+    ``order_by`` counts (``keep_first``), or it is an error (``fail``)."""
+    return _merge(table, _one_per_key(rows, key, on_duplicate, order_by), key, "left")
+
 
+def graph_upsert(
+    table: DataFrame, rows: DataFrame, key: Sequence[str], on_duplicate: str = "keep_first", order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Update matched rows, insert the others; rows with one key as in ``graph_update``."""
+    return _merge(table, _one_per_key(rows, key, on_duplicate, order_by), key, "full_outer")
 
-def graph_upsert(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Update matched rows, insert the others."""
-    return _merge(table, rows, key, "full_outer")
+
+def _one_per_key(rows: DataFrame, key: Sequence[str], on_duplicate: str, order_by: Sequence[str] | None) -> DataFrame:
+    if on_duplicate == "fail":
+        _require_unique(rows, key)
+        return rows
+    return first_per_key(rows, key, list(order_by or [c for c in rows.columns if c not in key]) or list(key))
 
 
 def _merge(table: DataFrame, rows: DataFrame, key: Sequence[str], how: str) -> DataFrame:
