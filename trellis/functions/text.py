@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from trellis.session import spread
 
-# Extra stop words for product reviews.
-REVIEW_STOP_WORDS = ("br", "amazon", "com", "http", "www", "href", "gp")
-
 
 def tokenize(text: str | Column, stop_words: Sequence[str] = ()) -> Column:
     """Lower-case word tokens in text order, without stop words."""

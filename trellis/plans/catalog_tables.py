@@ -179,17 +179,6 @@ def _(t):
     return _imported(t, "parquet")
 
 
-@query("generate_header_spec")
-def _(t):
-    spec = header.generate_header_spec(
-        {"Customer": (t.customer, ["customers"]), "Nation": (t.nation, ["nations"])},
-        {"Customer": ("c_custkey", "customer"), "Nation": ("n_nationkey", "nation")},
-    )
-    rows = [(line,) for line in spec.splitlines()]
-    counts = t.customer.agg(F.count("*").alias("customers"))
-    return t.spark.createDataFrame(rows, "line string").join(counts.withColumn("k", F.lit(1)), F.lit(1) == C("k")).drop("k")
-
-
 @query("split_combined_export", """SELECT kind, name, count(*) AS n FROM (SELECT 'node' AS kind, 'Customer' AS name FROM customer UNION ALL SELECT 'node', 'Debtor' FROM customer WHERE c_acctbal < 0
   UNION ALL SELECT 'node', 'Nation' FROM nation UNION ALL SELECT 'edge', 'IN_NATION' FROM customer) GROUP BY ALL""")
 def _(t):
@@ -207,14 +196,14 @@ def _(t):
     return n.unionAll(edges.groupBy(F.lit("edge").alias("kind"), C("type")).agg(F.count("*")))
 
 
-@query("read_graphml")
+@query("read_graphml", "SELECT 'n' || CAST(n_nationkey AS VARCHAR) AS _id, ':Nation' AS _labels, n_name AS name, CAST(NULL AS VARCHAR) AS absent FROM nation")
 def _(t):
     path = folder(t) + "/graphml"
     node = F.concat(
         F.lit('<node id="n'), C("n_nationkey").cast("string"), F.lit('" labels=":Nation"><data key="name">'), C("n_name"), F.lit("</data></node>")
     )
-    rows = t.nation.select(node.alias("value"))
-    rows.coalesce(1).write.text(path)
+    rows = t.nation.agg(F.concat(F.lit("<graphml><graph>"), F.array_join(F.array_sort(F.collect_list(node)), "\n"), F.lit("</graph></graphml>")).alias("value"))
+    rows.write.text(path)  # one well-formed file
     return files.read_graphml(t.spark, path, "node", ["name", "absent"])
 
 
@@ -455,16 +444,6 @@ def _(t):
     return clean.graph_quality_rules(nodes, edges, "text", "person", "address", 6, 15)
 
 
-@query("synthetic_graph_batches", """SELECT count(*) AS nodes, 2 * count(*) AS edges, CAST(2 * sum((2 * r + (CASE WHEN r = n - 1 THEN 1 - n ELSE 1 END)) % 50) AS BIGINT) AS weight
-  FROM (SELECT row_number() OVER () - 1 AS r, (SELECT count(*) FROM orders) AS n FROM orders)""")
-def _(t):
-    n = t.orders.count()
-    nodes, edges = clean.synthetic_graph_batches(t.spark, 0, n, "Person")
-    a = nodes.agg(F.count("*").alias("nodes")).withColumn("k", F.lit(1))
-    b = edges.agg(F.count("*").alias("edges"), F.sum("weight").alias("weight")).withColumn("k", F.lit(1))
-    return a.join(b, "k").drop("k")
-
-
 @query("class_balance_split", """SELECT label, split, count(*) AS n, min(vec_id) AS lowest FROM (SELECT *, CASE WHEN rn < 0.9 * size THEN 'train' WHEN rn < 0.95 * size THEN 'val' ELSE 'test' END AS split FROM (
   SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat('5:', CAST(vec_id AS VARCHAR))), vec_id) - 1 AS rn, count(*) OVER (PARTITION BY label) AS size FROM embeddings)) GROUP BY ALL""")
 def _(t):
