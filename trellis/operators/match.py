@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trellis.model import PropertyGraph, has_label, node_keys, stack
 from trellis.operators.mutate import node_keys_of_edges
 from trellis.operators.ordering import collect_lists, row_number_within, running_last
-from trellis.session import Scratch
+from trellis.session import Scratch, turns
 
 
 @dataclass(frozen=True)
@@ -606,13 +606,15 @@ def _hops_to(steps: DataFrame, ends: DataFrame, max_hops: int, scratch: Scratch)
     return reachable_levels(backward, ends, max_hops, scratch).withColumnRenamed("level", "away")
 
 
-def reachable_levels(edges: DataFrame, starts: DataFrame, max_hops: int, scratch: Scratch | None = None) -> DataFrame:
-    """``id, level`` of every node within ``max_hops`` of the start set. Each round joins the new
-    nodes only and stops when none are left."""
+def reachable_levels(
+    edges: DataFrame, starts: DataFrame, max_hops: int | None = None, scratch: Scratch | None = None
+) -> DataFrame:
+    """``id, level`` of every node that the start set reaches, or reaches within ``max_hops``. Each round
+    joins the new nodes only and stops when none are left."""
     scratch = scratch or Scratch(edges.sparkSession)
     seen = scratch.put(starts.select("id", F.lit(0).cast("bigint").alias("level")).distinct(), "reached")
     frontier = seen
-    for level in range(1, max_hops + 1):
+    for level in turns(max_hops):
         fresh = (
             frontier.select(F.col("id").alias("src"))
             .join(edges.select("src", "dst"), "src")
@@ -628,7 +630,7 @@ def reachable_levels(edges: DataFrame, starts: DataFrame, max_hops: int, scratch
     return seen
 
 
-def reachable_set(edges: DataFrame, starts: DataFrame, max_hops: int) -> DataFrame:
+def reachable_set(edges: DataFrame, starts: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Distinct ends reachable from the start set (starts themselves only if reached again are
     not repeated: a start is level 0)."""
     return reachable_levels(edges, starts, max_hops)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trellis.model import stack
 from trellis.operators.match import reachable_levels
 from trellis.operators.ordering import global_row_number
-from trellis.session import Scratch
+from trellis.session import Scratch, turns
 
 
 DRAWS = 8  # draws of a biased walker per round
@@ -34,8 +34,8 @@ def weighted_edges(edges: DataFrame, weight: str | None, null_weights: str = "dr
     return edges.filter(F.col(weight).isNotNull()).groupBy("src", "dst").agg(F.min(weight).alias("w"))
 
 
-def bfs(nodes: DataFrame, edges: DataFrame, source, max_iterations: int, result: str = "level") -> DataFrame:
-    """``id`` and the level from ``source``; null when not reached within ``max_iterations``."""
+def bfs(nodes: DataFrame, edges: DataFrame, source, max_iterations: int | None = None, result: str = "level") -> DataFrame:
+    """``id`` and the level from ``source``; null when not reached, or not within ``max_iterations``."""
     scratch = Scratch(edges.sparkSession)
     steps = scratch.put(edges.select("src", "dst").distinct(), "edges")
     start = nodes.filter(F.col("id") == F.lit(source)).select("id")
@@ -48,11 +48,11 @@ def sssp(
     edges: DataFrame,
     source,
     weight: str | None = None,
-    max_iterations: int = 100,
+    max_iterations: int | None = None,
     result: str = "distance",
     null_weights: str = "drop",
 ) -> DataFrame:
-    """``id`` and the cheapest distance from ``source`` over paths of at most ``max_iterations``
+    """``id`` and the cheapest distance from ``source``, over all paths or those of at most ``max_iterations``
     edges; null when there is none."""
     scratch = Scratch(edges.sparkSession)
     steps = scratch.put(weighted_edges(edges, weight, null_weights), "edges")
@@ -60,11 +60,11 @@ def sssp(
     return nodes.select("id").join(best.withColumnRenamed("dist", result), "id", "left")
 
 
-def _distances(steps: DataFrame, starts: DataFrame, max_iterations: int, scratch: Scratch) -> DataFrame:
+def _distances(steps: DataFrame, starts: DataFrame, max_iterations: int | None, scratch: Scratch) -> DataFrame:
     kind = dict(steps.dtypes)["w"]
     frontier = scratch.put(starts.select("id", F.lit(0).cast(kind).alias("dist")), "start")
     parts = [frontier]
-    for turn in range(max_iterations):
+    for turn in turns(max_iterations):
         offers = (
             frontier.withColumnRenamed("id", "src")
             .join(steps, "src")
@@ -85,7 +85,7 @@ def _distances(steps: DataFrame, starts: DataFrame, max_iterations: int, scratch
 
 
 def shortest_path_tree(
-    nodes: DataFrame, edges: DataFrame, source, weight: str | None = None, max_iterations: int = 100
+    nodes: DataFrame, edges: DataFrame, source, weight: str | None = None, max_iterations: int | None = None
 ) -> DataFrame:
     """``id, distance, predecessor``: the predecessor is the smallest id that lies on a cheapest
     path. Weights must be positive."""

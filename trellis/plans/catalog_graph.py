@@ -15,17 +15,23 @@ from trellis.sources.frames import edges_from_dataframe, nodes_from_dataframe
 C = F.col
 
 
-def busiest(t):
-    """The customer with the most outgoing return hand-overs, smallest id on a tie."""
-    return returns(t).groupBy("src").agg(F.count("*").alias("n")).orderBy(C("n").desc(), "src").first()[0]
+def busiest(edges):
+    """The customer with the most outgoing hand-overs, smallest id on a tie."""
+    return edges.groupBy("src").agg(F.count("*").alias("n")).orderBy(C("n").desc(), "src").first()[0]
 
 
-BUSIEST = "start AS (SELECT src AS id FROM returns GROUP BY src ORDER BY count(*) DESC, src LIMIT 1)"
+def busiest_sql(edges: str = "hand_over") -> str:
+    return f"start AS (SELECT src AS id FROM {edges} GROUP BY src ORDER BY count(*) DESC, src LIMIT 1)"
 
 
-def relax(rounds: int, weight: str) -> str:
-    """Bellman-Ford rounds as CTEs d0..dN over ``returns``."""
-    steps = f"w AS MATERIALIZED (SELECT src, dst, min({weight}) AS w FROM returns GROUP BY ALL), d0 AS MATERIALIZED (SELECT id, CAST(0 AS BIGINT) AS d FROM start)"
+def unchanged(before: str, after: str) -> str:
+    """An error should the last round of an unrolled iteration still change something."""
+    return f"CASE WHEN (SELECT count(*) FROM (FROM {after} EXCEPT FROM {before})) = 0 THEN true ELSE error('not at its fixpoint') END"
+
+
+def relax(rounds: int, weight: str, edges: str = "hand_over") -> str:
+    """Bellman-Ford rounds as CTEs d0..dN over the edges."""
+    steps = f"w AS MATERIALIZED (SELECT src, dst, min({weight}) AS w FROM {edges} GROUP BY ALL), d0 AS MATERIALIZED (SELECT id, CAST(0 AS BIGINT) AS d FROM start)"
     for i in range(rounds):
         steps += f""", d{i + 1} AS MATERIALIZED (SELECT id, min(d) AS d FROM (SELECT id, d FROM d{i}
   UNION ALL SELECT dst, d + w FROM d{i} JOIN w ON src = id) GROUP BY id)"""
@@ -40,41 +46,46 @@ def _(t):
     )
 
 
-@query("sssp_hops", f"WITH {RETURNS}, {BUSIEST}, {relax(6, '1')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d6 ON id = c_custkey")
+# Enough rounds for all inputs here, which the last one proves.
+ROUNDS = 24
+AT_END = unchanged(f"d{ROUNDS - 1}", f"d{ROUNDS}")
+
+
+@query("sssp_hops", f"WITH {HAND_OVER}, {busiest_sql()}, {relax(ROUNDS, '1')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d{ROUNDS} ON id = c_custkey WHERE {AT_END}")
 def _(t):
-    return paths.sssp(customers(t), returns(t), busiest(t), None, 6)
+    return paths.sssp(customers(t), hand_over(t), busiest(hand_over(t)))
 
 
-@query("sssp_weighted", f"WITH {RETURNS}, {BUSIEST}, {relax(10, 'qty')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d10 ON id = c_custkey")
+@query("sssp_weighted", f"WITH {HAND_OVER}, {busiest_sql()}, {relax(ROUNDS, 'qty')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d{ROUNDS} ON id = c_custkey WHERE {AT_END}")
 def _(t):
-    return paths.sssp(customers(t), returns(t), busiest(t), "qty", 10)
+    return paths.sssp(customers(t), hand_over(t), busiest(hand_over(t)), "qty")
 
 
-@query("sssp_null_weights", f"WITH returns0 AS (WITH {RETURNS} SELECT * FROM returns), returns AS (SELECT * FROM returns0 WHERE price >= 30000), start AS (SELECT src AS id FROM returns0 GROUP BY src ORDER BY count(*) DESC, src LIMIT 1), {relax(5, 'qty')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d5 ON id = c_custkey")
+@query("sssp_null_weights", f"""WITH {HAND_OVER}, dear AS (SELECT * FROM hand_over WHERE price >= 30000), {busiest_sql()}, {relax(ROUNDS, 'qty', 'dear')}
+  SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance FROM customer LEFT JOIN d{ROUNDS} ON id = c_custkey WHERE {AT_END}""")
 def _(t):
-    partly = returns(t).withColumn("w", F.when(C("price") >= 30000, C("qty")))
-    return paths.sssp(customers(t), partly, busiest(t), "w", 5)
+    partly = hand_over(t).withColumn("w", F.when(C("price") >= 30000, C("qty")))
+    return paths.sssp(customers(t), partly, busiest(hand_over(t)), "w")
 
 
-@query("shortest_path_tree", f"""WITH {RETURNS}, {BUSIEST}, {relax(8, 'qty')},
-  p AS (SELECT w.dst AS id, min(w.src) AS predecessor FROM w JOIN d8 a ON a.id = w.src JOIN d8 b ON b.id = w.dst
+@query("shortest_path_tree", f"""WITH {HAND_OVER}, {busiest_sql()}, {relax(ROUNDS, 'qty')},
+  p AS (SELECT w.dst AS id, min(w.src) AS predecessor FROM w JOIN d{ROUNDS} a ON a.id = w.src JOIN d{ROUNDS} b ON b.id = w.dst
         WHERE a.d + w.w = b.d AND w.dst <> (SELECT id FROM start) GROUP BY 1)
-  SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance, predecessor FROM customer LEFT JOIN d8 ON d8.id = c_custkey LEFT JOIN p ON p.id = c_custkey""")
+  SELECT c_custkey AS id, CAST(d AS BIGINT) AS distance, predecessor FROM customer LEFT JOIN d{ROUNDS} e ON e.id = c_custkey LEFT JOIN p ON p.id = c_custkey WHERE {AT_END}""")
 def _(t):
-    return paths.shortest_path_tree(customers(t), returns(t), busiest(t), "qty", 8)
+    return paths.shortest_path_tree(customers(t), hand_over(t), busiest(hand_over(t)), "qty")
 
 
-@query("bfs", f"""WITH RECURSIVE {RETURNS}, {BUSIEST}, r AS (SELECT id, 0 AS level FROM start UNION SELECT dst, level + 1 FROM r JOIN returns ON src = id WHERE level < 6)
-  SELECT c_custkey AS id, CAST(level AS BIGINT) AS level FROM customer LEFT JOIN (SELECT id, min(level) AS level FROM r GROUP BY 1) ON id = c_custkey""")
+@query("bfs", f"WITH {HAND_OVER}, {busiest_sql()}, {relax(ROUNDS, '1')} SELECT c_custkey AS id, CAST(d AS BIGINT) AS level FROM customer LEFT JOIN d{ROUNDS} ON id = c_custkey WHERE {AT_END}")
 def _(t):
-    return paths.bfs(customers(t), returns(t), busiest(t), 6)
+    return paths.bfs(customers(t), hand_over(t), busiest(hand_over(t)))
 
 
-# the target is the largest id at the greatest distance within four hops
+# Lists paths, so it asks about the returns. The target is the largest id at the greatest distance within four hops
 FAR = "far AS (SELECT id FROM d4 WHERE d = (SELECT max(d) FROM d4) ORDER BY id DESC LIMIT 1)"
 
 
-@query("ksssp", f"""WITH RECURSIVE {RETURNS}, {BUSIEST}, {relax(4, '1')}, {FAR},
+@query("ksssp", f"""WITH RECURSIVE {RETURNS}, {busiest_sql("returns")}, {relax(4, '1', 'returns')}, {FAR},
   light AS (SELECT src, dst, min(qty) AS q FROM returns GROUP BY ALL),
   walk AS (SELECT id AS tip, CAST(0 AS BIGINT) AS cost, [id] AS nodes FROM start
     UNION ALL SELECT dst, cost + q, list_append(nodes, dst) FROM walk JOIN light ON src = tip
@@ -82,7 +93,7 @@ FAR = "far AS (SELECT id FROM d4 WHERE d = (SELECT max(d) FROM d4) ORDER BY id D
   done AS (SELECT CAST(cost AS BIGINT) AS cost, CAST(len(nodes) - 1 AS BIGINT) AS hops, array_to_string(nodes, '>') AS path FROM walk WHERE tip = (SELECT id FROM far))
   SELECT row_number() OVER (ORDER BY cost, path) AS rank, * FROM done ORDER BY cost, path LIMIT 5""")
 def _(t):
-    start = busiest(t)
+    start = busiest(returns(t))
     levels = paths.sssp(customers(t), returns(t), start, None, 4)
     far = levels.filter("distance is not null").orderBy(C("distance").desc(), C("id").desc()).first()[0]
     return paths.ksssp(returns(t), start, far, 5, "qty", 6)
@@ -90,66 +101,58 @@ def _(t):
 
 @query("random_walks")
 def _(t):
-    walks = paths.random_walks(returns(t), customers(t), 5, 2)
+    walks = paths.random_walks(hand_over(t), customers(t), 5, 2)
     return walks.select("root", "walk", F.array_join("path", ">").alias("path"))
 
 
 @query("random_walks_biased")
 def _(t):
-    roots = returns(t).select(C("src").alias("id")).distinct()
-    walks = paths.random_walks(returns(t), roots, 3, 1, backward_probability=0.5, forward_probability=2.0)
+    roots = hand_over(t).select(C("src").alias("id")).distinct()
+    walks = paths.random_walks(hand_over(t), roots, 3, 1, backward_probability=0.5, forward_probability=2.0)
     return walks.select("root", "walk", F.array_join("path", ">").alias("path"))
 
 
 # --- communities ------------------------------------------------------------------------------
 
-SPARSE = f"{RETURNS}, sparse AS (SELECT * FROM returns WHERE qty >= 47)"
-
-
-def sparse(t):
-    """Returns of 47 pieces or more: falls apart into several components."""
-    return returns(t).filter("qty >= 47")
-
-
 def spread(rounds: int) -> str:
-    """Smallest-label rounds as CTEs l0..lN over ``sparse``; each round also jumps a pointer."""
-    sql = "u AS MATERIALIZED (SELECT src AS a, dst AS b FROM sparse UNION SELECT dst, src FROM sparse), l0 AS MATERIALIZED (SELECT c_custkey AS id, c_custkey AS l FROM customer)"
+    """Smallest-label rounds as CTEs l0..lN over ``hand_over``; each round also jumps a pointer."""
+    sql = "u AS MATERIALIZED (SELECT src AS a, dst AS b FROM hand_over UNION SELECT dst, src FROM hand_over), l0 AS MATERIALIZED (SELECT c_custkey AS id, c_custkey AS l FROM customer)"
     for i in range(rounds):
         sql += f""", m{i} AS MATERIALIZED (SELECT id, min(l) AS l FROM (SELECT id, l FROM l{i} UNION ALL SELECT b, l FROM l{i} JOIN u ON a = id) GROUP BY id),
   l{i + 1} AS MATERIALIZED (SELECT m{i}.id, least(m{i}.l, k.l) AS l FROM m{i} JOIN m{i} k ON k.id = m{i}.l)"""
     return sql
 
 
-@query("connected_components", f"WITH {SPARSE}, {spread(20)} SELECT id, l AS component FROM l20")
+@query("connected_components", f"WITH {HAND_OVER}, {spread(20)} SELECT id, l AS component FROM l20 WHERE {unchanged('l19', 'l20')}")
 def _(t):
-    return community.connected_components(customers(t), sparse(t))
+    return community.connected_components(customers(t), hand_over(t))
 
 
 def lpa(rounds: int) -> str:
-    sql = "u AS MATERIALIZED (SELECT src AS a, dst AS b FROM returns UNION ALL SELECT dst, src FROM returns), l0 AS MATERIALIZED (SELECT c_custkey AS id, c_custkey AS l FROM customer)"
+    sql = "u AS MATERIALIZED (SELECT src AS a, dst AS b FROM hand_over UNION ALL SELECT dst, src FROM hand_over), l0 AS MATERIALIZED (SELECT c_custkey AS id, c_custkey AS l FROM customer)"
     for i in range(rounds):
         sql += f""", v{i} AS MATERIALIZED (SELECT b AS id, l, count(*) AS n FROM l{i} JOIN u ON a = id GROUP BY ALL),
   l{i + 1} AS MATERIALIZED (SELECT l{i}.id, coalesce(x.l, l{i}.l) AS l FROM l{i} LEFT JOIN (SELECT id, l FROM v{i} QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, l) = 1) x ON x.id = l{i}.id)"""
     return sql
 
 
-@query("label_propagation", f"WITH {RETURNS}, {lpa(4)} SELECT id, l AS label FROM l4")
+@query("label_propagation", f"WITH {HAND_OVER}, {lpa(10)} SELECT id, l AS label FROM l10")
 def _(t):
-    return community.label_propagation(customers(t), returns(t), 4)
+    return community.label_propagation(customers(t), hand_over(t), 10)
 
 
 @query("louvain")
 def _(t):
-    return community.louvain(customers(t), returns(t), "qty", max_levels=2, max_rounds=4)
+    return community.louvain(customers(t), hand_over(t), "qty")
 
 
-@query("modularity", f"""WITH {RETURNS}, a AS (SELECT src AS i, dst AS j, qty AS w FROM returns UNION ALL SELECT dst, src, qty FROM returns),
+@query("modularity", f"""WITH {HAND_OVER}, a AS (SELECT src AS i, dst AS j, qty AS w FROM hand_over UNION ALL SELECT dst, src, qty FROM hand_over),
   x AS (SELECT ci.c_nationkey AS c, sum(w) AS tot, sum(CASE WHEN ci.c_nationkey = cj.c_nationkey THEN w ELSE 0 END) AS ins
         FROM a JOIN customer ci ON ci.c_custkey = i JOIN customer cj ON cj.c_custkey = j GROUP BY 1)
   SELECT round(sum(ins) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 8) AS modularity FROM x""")
 def _(t):
     nations = t.customer.select(C("c_custkey").alias("id"), C("c_nationkey").alias("community"))
-    return community.modularity(returns(t), nations, "qty").select(F.round("modularity", 8).alias("modularity"))
+    return community.modularity(hand_over(t), nations, "qty").select(F.round("modularity", 8).alias("modularity"))
 
 
 SIMPLE = f"{HAND_OVER}, u AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM hand_over WHERE src <> dst)"
@@ -171,16 +174,16 @@ def _(t):
 
 
 def peel(rounds: int, k: int) -> str:
-    sql = "p0 AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM returns WHERE src <> dst)"
+    sql = "p0 AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM hand_over WHERE src <> dst)"
     for i in range(rounds):
         sql += f""", g{i} AS MATERIALIZED (SELECT id FROM (SELECT a AS id FROM p{i} UNION ALL SELECT b FROM p{i}) GROUP BY id HAVING count(*) >= {k}),
   p{i + 1} AS MATERIALIZED (SELECT a, b FROM p{i} WHERE a IN (SELECT id FROM g{i}) AND b IN (SELECT id FROM g{i}))"""
     return sql
 
 
-@query("k_core", f"WITH {RETURNS}, {peel(30, 3)} SELECT c_custkey AS id, CAST(CASE WHEN c_custkey IN (SELECT a FROM p30 UNION SELECT b FROM p30) THEN 1 ELSE 0 END AS BIGINT) AS in_core FROM customer")
+@query("k_core", f"WITH {HAND_OVER}, {peel(30, 40)} SELECT c_custkey AS id, CAST(CASE WHEN c_custkey IN (SELECT a FROM p30 UNION SELECT b FROM p30) THEN 1 ELSE 0 END AS BIGINT) AS in_core FROM customer WHERE {unchanged('p30', 'p29')}")
 def _(t):
-    return community.k_core(customers(t), returns(t), 3)
+    return community.k_core(customers(t), hand_over(t), 40)
 
 
 def truss(rounds: int, k: int) -> str:
@@ -221,16 +224,16 @@ def _(t):
     return r.withColumn("rank", F.round("rank", 6))
 
 
-@query("pagerank_damping_85", f"WITH {RETURNS}, {ranks(9, 0.85, 'returns')} SELECT id, round(r, 6) AS rank FROM r9")
+@query("pagerank_damping_85", f"WITH {HAND_OVER}, {ranks(9, 0.85, 'hand_over')} SELECT id, round(r, 6) AS rank FROM r9")
 def _(t):
-    r = centrality.pagerank(customers(t), returns(t), 9, alpha=0.85, tolerance=None)
+    r = centrality.pagerank(customers(t), hand_over(t), 9, alpha=0.85, tolerance=None)
     return r.withColumn("rank", F.round("rank", 6))
 
 
 def brandes(levels: int, sources: int) -> str:
-    """Forward levels f0..fN and backward sums b0..bN over ``returns``, as CTEs."""
+    """Forward levels f0..fN and backward sums b0..bN over ``hand_over``, as CTEs."""
     sql = f"""s AS (SELECT c_custkey AS s FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT {sources}),
-  e AS MATERIALIZED (SELECT DISTINCT src AS v, dst AS w FROM returns WHERE src <> dst), f0 AS MATERIALIZED (SELECT s, s AS v, CAST(1 AS DOUBLE) AS p, 0 AS d FROM s), all0 AS MATERIALIZED (SELECT s, v FROM f0)"""
+  e AS MATERIALIZED (SELECT DISTINCT src AS v, dst AS w FROM hand_over WHERE src <> dst), f0 AS MATERIALIZED (SELECT s, s AS v, CAST(1 AS DOUBLE) AS p, 0 AS d FROM s), all0 AS MATERIALIZED (SELECT s, v FROM f0)"""
     for i in range(levels):
         sql += f""", f{i + 1} AS MATERIALIZED (SELECT s, w AS v, sum(p) AS p FROM f{i} JOIN e USING (v) WHERE (s, w) NOT IN (SELECT (s, v) FROM all{i}) GROUP BY ALL),
   all{i + 1} AS MATERIALIZED (SELECT * FROM all{i} UNION ALL SELECT s, v FROM f{i + 1})"""
@@ -242,9 +245,10 @@ def brandes(levels: int, sources: int) -> str:
     return sql + f", total AS (SELECT v, sum(x) AS x FROM ({rest}) GROUP BY 1)"
 
 
-@query("betweenness_centrality", f"WITH {RETURNS}, {brandes(5, 20)} SELECT c_custkey AS id, round(coalesce(x, 0), 6) AS betweenness FROM customer LEFT JOIN total ON v = c_custkey")
+@query("betweenness_centrality", f"""WITH {HAND_OVER}, {brandes(12, 20)} SELECT c_custkey AS id, round(coalesce(x, 0), 6) AS betweenness
+  FROM customer LEFT JOIN total ON v = c_custkey WHERE CASE WHEN (SELECT count(*) FROM f12) = 0 THEN true ELSE error('not at its last level') END""")
 def _(t):
-    rows = centrality.betweenness_centrality(customers(t), returns(t), 20, max_depth=5)
+    rows = centrality.betweenness_centrality(customers(t), hand_over(t), 20)
     return rows.withColumn("betweenness", F.round("betweenness", 6))
 
 
@@ -254,19 +258,19 @@ def _(t):
     return centrality.degree_centrality(customers(t), hand_over(t))
 
 
-@query("neighbour_labels", f"""WITH {RETURNS}, p AS (SELECT DISTINCT a.c_mktsegment AS x, b.c_mktsegment AS y FROM returns JOIN customer a ON a.c_custkey = src JOIN customer b ON b.c_custkey = dst)
+@query("neighbour_labels", f"""WITH {HAND_OVER}, p AS (SELECT DISTINCT a.c_mktsegment AS x, b.c_mktsegment AS y FROM hand_over JOIN customer a ON a.c_custkey = src JOIN customer b ON b.c_custkey = dst)
   SELECT x AS label, 'out' AS direction, y AS neighbour_label FROM p UNION ALL SELECT y, 'in', x FROM p""")
 def _(t):
     nodes = t.customer.select(C("c_custkey").alias("id"), C("c_mktsegment").alias("label"))
-    return centrality.neighbour_labels(nodes, returns(t))
+    return centrality.neighbour_labels(nodes, hand_over(t))
 
 
-@query("jaccard_similarity", f"""WITH {RETURNS}, {BUSIEST}, m AS (SELECT DISTINCT src, dst FROM returns), own AS (SELECT dst FROM m WHERE src = (SELECT id FROM start))
+@query("jaccard_similarity", f"""WITH {HAND_OVER}, {busiest_sql()}, m AS (SELECT DISTINCT src, dst FROM hand_over), own AS (SELECT dst FROM m WHERE src = (SELECT id FROM start))
   SELECT src AS id, count(*) FILTER (dst IN (SELECT dst FROM own)) AS shared,
   round(count(*) FILTER (dst IN (SELECT dst FROM own)) / (count(*) + (SELECT count(*) FROM own) - count(*) FILTER (dst IN (SELECT dst FROM own)))::DOUBLE, 8) AS similarity
   FROM m WHERE src <> (SELECT id FROM start) GROUP BY 1""")
 def _(t):
-    rows = similarity.jaccard_similarity(returns(t), busiest(t))
+    rows = similarity.jaccard_similarity(hand_over(t), busiest(hand_over(t)))
     return rows.withColumn("similarity", F.round("similarity", 8))
 
 
@@ -338,9 +342,9 @@ def _(t):
     return new.edges.groupBy("type").agg(F.count("*").alias("n"))
 
 
-@query("create_reverse_edges", f"""WITH {RETURNS} SELECT src, dst, count(*) AS n, count(q) AS with_qty FROM (SELECT src, dst, qty AS q FROM returns UNION ALL SELECT dst, src, NULL FROM returns) GROUP BY ALL""")
+@query("create_reverse_edges", f"""WITH {HAND_OVER} SELECT src, dst, count(*) AS n, count(q) AS with_qty FROM (SELECT src, dst, qty AS q FROM hand_over UNION ALL SELECT dst, src, NULL FROM hand_over) GROUP BY ALL""")
 def _(t):
-    e = edges_from_dataframe(returns(t), "src", "dst", "c", "c", "HANDS", ["qty"], ["eid"])
+    e = edges_from_dataframe(hand_over(t), "src", "dst", "c", "c", "HANDS", ["qty"], ["eid"])
     both = mutate.create_reverse_edges(e)
     return both.groupBy(C("src").cast("bigint").alias("src"), C("dst").cast("bigint").alias("dst")).agg(
         F.count("*").alias("n"), F.count("qty").alias("with_qty")
@@ -422,10 +426,10 @@ def _(t):
     return rows.groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query("merge_edges", f"""WITH {RETURNS} SELECT src, dst, count(*) AS n FROM (SELECT src, dst FROM returns WHERE qty >= 45
-  UNION ALL (SELECT src, dst FROM returns EXCEPT SELECT src, dst FROM returns WHERE qty >= 45)) GROUP BY ALL""")
+@query("merge_edges", f"""WITH {HAND_OVER} SELECT src, dst, count(*) AS n FROM (SELECT src, dst FROM hand_over WHERE qty >= 45
+  UNION ALL (SELECT src, dst FROM hand_over EXCEPT SELECT src, dst FROM hand_over WHERE qty >= 45)) GROUP BY ALL""")
 def _(t):
-    e = edges_from_dataframe(returns(t), "src", "dst", "c", "c", "HANDS", ["qty"], ["eid"])
+    e = edges_from_dataframe(hand_over(t), "src", "dst", "c", "c", "HANDS", ["qty"], ["eid"])
     merged = mutate.merge_edges(e.filter("qty >= 45"), e)
     return merged.groupBy(C("src").cast("bigint").alias("src"), C("dst").cast("bigint").alias("dst")).agg(F.count("*").alias("n"))
 

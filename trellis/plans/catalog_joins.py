@@ -199,11 +199,11 @@ def _(t):
     return match.path_listing(returns(t).withColumnRenamed("eid", "edge_id"), starts, 3, ends)
 
 
-@query("reachable_set", f"""WITH RECURSIVE {RETURNS}, {STARTS}, r AS (SELECT id, 0 AS level FROM starts
-  UNION SELECT dst, level + 1 FROM r JOIN returns ON src = id WHERE level < 5)
-  SELECT id, CAST(min(level) AS BIGINT) AS level FROM r GROUP BY 1""")
+@query("reachable_set", f"""WITH RECURSIVE {HAND_OVER}, {STARTS}, r AS (SELECT id, 0 AS level FROM starts
+  UNION SELECT dst, level + 1 FROM r JOIN hand_over ON src = id WHERE level < 12), first AS (SELECT id, CAST(min(level) AS BIGINT) AS level FROM r GROUP BY 1)
+  SELECT * FROM first WHERE CASE WHEN (SELECT max(level) FROM first) < 12 THEN true ELSE error('not at its end') END""")
 def _(t):
-    return match.reachable_set(returns(t), _path_ends(t)[0], 5)
+    return match.reachable_set(hand_over(t), _path_ends(t)[0])
 
 
 @query("merge_left_indicator", """SELECT merge_flag, count(*) AS n FROM (SELECT CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'both'

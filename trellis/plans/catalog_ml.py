@@ -12,7 +12,7 @@ from trellis.operators import evaluation as V
 from trellis.operators import features as E
 from trellis.operators import models as M
 from trellis.plans.catalog_tables import BUCKET
-from trellis.plans.graphs import HAND_OVER, RETURNS, customers, hand_over, returns
+from trellis.plans.graphs import HAND_OVER, customers, hand_over
 from trellis.plans.registry import query
 from trellis.session import Scratch
 from trellis.sources.frames import edges_from_dataframe, nodes_from_dataframe
@@ -77,9 +77,9 @@ def _(t):
     return E.split_shares(rows).withColumn("share", F.round("share", 6))
 
 
-@query("supervised_pairs", f"WITH {RETURNS} SELECT src AS source, dst AS target, CAST(price > 30000 AS INTEGER) AS label FROM returns")
+@query("supervised_pairs", f"WITH {HAND_OVER} SELECT src AS source, dst AS target, CAST(price > 30000 AS INTEGER) AS label FROM hand_over")
 def _(t):
-    return E.supervised_pairs(returns(t), "price", 30000)
+    return E.supervised_pairs(hand_over(t), "price", 30000)
 
 
 @query("neighbour_feature_aggregate", f"""WITH {HAND_OVER}, one AS (SELECT dst AS id, round(avg(c_acctbal) + 1e-9, 6) AS bal_mean1, max(c_acctbal) AS bal_max1, min(c_acctbal) AS bal_min1, round(stddev_pop(c_acctbal) + 1e-9, 6) AS bal_std1, avg(c_acctbal) AS raw
@@ -108,12 +108,12 @@ def _(t):
 
 @query("graph_feature_columns")
 def _(t):
-    return E.graph_feature_columns(customers(t), returns(t), 5, 3)
+    return E.graph_feature_columns(customers(t), hand_over(t), 5, 3)
 
 
 @query("baseline_vs_enhanced")
 def _(t):
-    ranks = E.graph_feature_columns(customers(t), returns(t), 5, 3)
+    ranks = E.graph_feature_columns(customers(t), hand_over(t), 5, 3)
     rows = t.customer.withColumn("label", (C("c_acctbal") > 5000).cast("int")).join(ranks, C("id") == C("c_custkey"))
     return M.baseline_vs_enhanced(rows, "c_custkey", "label", ["c_nationkey"], ["pagerank", "betweenness"])
 

@@ -8,7 +8,7 @@ from trellis.functions import text as X
 from trellis.model import PropertyGraph
 from trellis.operators import clean, stats
 from trellis.operators.mutate import batch_ingest_report
-from trellis.plans.graphs import RETURNS, returns, supply
+from trellis.plans.graphs import HAND_OVER, hand_over, supply
 from trellis.plans.registry import query
 from trellis.session import Scratch
 from trellis.sources import files, frames, header
@@ -223,9 +223,9 @@ def _(t):
     return PropertyGraph(nodes, edges).resolved().edges.select("src", "dst", "type")
 
 
-@query("add_reverse_edges", f"WITH {RETURNS} SELECT type, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty FROM (SELECT 'HANDS_TO' AS type, qty FROM returns UNION ALL SELECT 'GOT_FROM', qty FROM returns) GROUP BY 1")
+@query("add_reverse_edges", f"WITH {HAND_OVER} SELECT type, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty FROM (SELECT 'HANDS_TO' AS type, qty FROM hand_over UNION ALL SELECT 'GOT_FROM', qty FROM hand_over) GROUP BY 1")
 def _(t):
-    e = frames.edges_from_dataframe(returns(t), "src", "dst", "c", "c", "HANDS_TO", ["qty"], ["eid"])
+    e = frames.edges_from_dataframe(hand_over(t), "src", "dst", "c", "c", "HANDS_TO", ["qty"], ["eid"])
     return frames.add_reverse_edges(e, "GOT_FROM").groupBy("type").agg(F.count("*").alias("n"), F.sum("qty").alias("qty"))
 
 

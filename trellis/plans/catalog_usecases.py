@@ -9,7 +9,7 @@ from trellis.operators import community
 from trellis.operators.match import Hop, Node, match_path, reachable_set
 from trellis.plans import usecases as U
 from trellis.plans.catalog_joins import TWO_HOP
-from trellis.plans.graphs import HAND_OVER, RETURNS, customers, hand_over, returns, supply
+from trellis.plans.graphs import HAND_OVER, customers, hand_over, supply
 from trellis.plans.registry import query
 from trellis.sources.frames import edges_from_dataframe, promote_column_to_nodes, relational_to_graph
 
@@ -91,12 +91,12 @@ def _(t):
     return U.prior_common_store(bought, "person", "store", "ts", "fraud")
 
 
-@query("supply_chain_reach", f"""WITH RECURSIVE {RETURNS}, r AS (SELECT c_custkey AS id, 0 AS level FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9800
-  UNION SELECT src, level + 1 FROM r JOIN returns ON dst = id WHERE level < 4)
+@query("supply_chain_reach", f"""WITH RECURSIVE {HAND_OVER}, r AS (SELECT c_custkey AS id, 0 AS level FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9800
+  UNION SELECT src, level + 1 FROM r JOIN hand_over ON dst = id WHERE level < 4)
   SELECT c_name, CAST(min(level) AS BIGINT) AS hops FROM r JOIN customer ON c_custkey = id GROUP BY 1""")
 def _(t):
     targets = t.customer.filter((C("c_mktsegment") == "MACHINERY") & (C("c_acctbal") > 9800)).select(C("c_custkey").alias("id"))
-    backward = returns(t).select(C("dst").alias("src"), C("src").alias("dst"))
+    backward = hand_over(t).select(C("dst").alias("src"), C("src").alias("dst"))
     reached = reachable_set(backward, targets, 4)
     return reached.join(t.customer, C("id") == C("c_custkey")).select("c_name", C("level").alias("hops"))
 
@@ -293,8 +293,8 @@ def _(t):
 
 @query("ranked_clusters", None)
 def _(t):
-    nodes, edges = customers(t), returns(t)
-    parts = community.label_propagation(nodes, edges, 3, "cluster")
+    nodes, edges = customers(t), hand_over(t)
+    parts = community.label_propagation(nodes, edges, 10, "cluster")
     return U.ranked_clusters(nodes, edges, parts, 10)
 
 

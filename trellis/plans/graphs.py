@@ -1,7 +1,7 @@
 """Graphs derived from the input tables, each with the SQL that derives the same rows.
 
 * ``hand_over``: a part passes from one buyer to its next buyer (customer -> customer).
-* ``returns``: the same over returned items of 40 or more pieces; sparse.
+* ``returns``: the same over returned items of 40 or more pieces, for queries that list every path.
 * ``trade``: customer nation -> supplier nation with counts.
 * ``supply``: the property graph of customers, orders, parts, suppliers, nations and regions.
 
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from trellis.model import PropertyGraph
 from trellis.operators.ordering import next_row_pairs
 from trellis.plans.registry import Tables
-from trellis.session import materialize
+from trellis.session import forget_on_clear, materialize
 from trellis.sources.frames import edges_from_dataframe, edges_from_fk, nodes_from_dataframe
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = forget_on_clear({})
 
 HAND_OVER = """
 hand_over AS (

@@ -100,7 +100,7 @@ def common_claim_graph(memberships: DataFrame, member: str, claim: str, min_comm
     pairs = scratch.put(shared_neighbor_pairs(memberships, member, claim, min_common), "pairs")
     edges = pairs.select(F.col("left").alias("src"), F.col("right").alias("dst"), F.col("shared").alias("w"))
     people = memberships.select(F.col(member).alias("id")).distinct()
-    clusters = louvain(people, edges, "w", max_levels=2, max_rounds=4, result="cluster")
+    clusters = louvain(people, edges, "w", result="cluster")
     return cluster_summary(clusters.join(ranks, "id"), "cluster", "rank")
 
 

@@ -8,6 +8,7 @@ planner its size, so the next join may be broadcast only when the table really i
 from __future__ import annotations
 
 import atexit
+import itertools
 import shutil
 import tempfile
 import uuid
@@ -67,6 +68,20 @@ def rounds(most: int | None):
     raise NotConverged(f"not done after {most} rounds")
 
 
+def turns(most: int | None):
+    """Numbers from 1 without end, or to the limit that the caller names as part of the question."""
+    return itertools.count(1) if most is None else range(1, most + 1)
+
+
+_on_clear: list = []
+
+
+def forget_on_clear(cache: dict) -> dict:
+    """Empty ``cache`` whenever the scratch tables go: its frames read them."""
+    _on_clear.append(cache)
+    return cache
+
+
 class Scratch:
     """Tables written under the shared folder by one operator run."""
 
@@ -107,6 +122,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 def clear_scratch(spark: SparkSession) -> None:
     """Drop every table this application wrote between rounds. Results still to be read from them
     must be saved first, so call it at the end of a job."""
+    for cache in _on_clear:
+        cache.clear()
     _delete(spark, _application_dir(spark))
 
 
