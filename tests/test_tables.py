@@ -297,3 +297,40 @@ def test_stream_ingest_makes_versions_once(spark, tmp_path):
     spark.createDataFrame([("delete", "u2", None), ("upsert", "u3", "b")], "operation string, u string, t string").coalesce(1).write.mode("append").parquet(str(source))
     run()
     assert store.versions() == [1, 2] and sizes(store.load()) == (4, 2)
+
+
+def test_stream_edges_wait_for_their_nodes(spark, tmp_path):
+    source, schema = tmp_path / "in", "operation string, kind string, a string, b string"
+    store = GraphStore(spark, str(tmp_path / "g"), "db", "late")
+
+    def nodes(df):
+        return nodes_from_dataframe(df.filter("kind = 'node'").select("a"), "a", "u", "User", property_columns=[])
+
+    def edges(df):
+        return df.filter("kind = 'edge'").select(
+            F.lit("u").alias("src_space"), F.col("a").alias("src"), F.lit("u").alias("dst_space"), F.col("b").alias("dst"),
+            F.lit("KNOWS").alias("type"), F.concat("a", "b").alias("edge_id"),
+        )
+
+    sized = []
+    batches = (
+        [("upsert", "node", "x", None), ("upsert", "edge", "x", "y"), ("upsert", "edge", "x", "y"), ("upsert", "edge", "x", "z")],
+        [("upsert", "node", "w", None)],
+        [("upsert", "node", "y", None)],
+        [("delete", "node", "z", None)],
+        [("upsert", "node", "z", None)],
+    )
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
+        stream = streams.read_stream(spark, str(source), spark.read.parquet(str(source)).schema)
+        streams.stream_graph_ingest(stream, store, str(tmp_path / "log"), nodes, edges).awaitTermination()
+        sized.append(sizes(store.load()))
+    # x-y joins when y comes, x-z falls away with the deletion of z
+    assert sized == [(1, 0), (2, 0), (3, 1), (3, 1), (4, 1)]
+
+
+def test_empty_stream_has_no_rows(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    stream = streams.read_stream(spark, str(tmp_path / "none"), spark.createDataFrame([], "k string, ts timestamp").schema)
+    counted = streams.stream_windowed_counts(stream, "ts", ["k"], "1 hour")
+    assert streams.complete_result(counted, "empty", str(tmp_path / "log")).count() == 0

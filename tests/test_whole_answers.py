@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trellis.operators import centrality, community, mutate, ordering, paths
-from trellis.session import NotConverged
+from trellis.plans import usecases
+from trellis.session import NotConverged, clear_scratch
 
 
 def chain(spark, n):
@@ -63,3 +64,47 @@ def test_repeated_keys_do_not_multiply_rows(spark):
     assert sorted(map(tuple, mutate.graph_update(table, batch, ["id"], order_by=["v"]).collect())) == [(1, "y"), (2, "b")]
     with pytest.raises(mutate.DuplicateKeys):
         mutate.graph_upsert(table, batch, ["id"], on_duplicate="fail")
+
+
+def test_paths_and_cores_go_to_their_end(spark):
+    nodes, edges = chain(spark, 30)
+    assert paths.sssp(nodes, edges, 0).agg(F.max("distance")).first()[0] == 29
+    assert paths.bfs(nodes, edges, 0).filter("level is null").count() == 0
+    assert paths.sssp(nodes, edges, 0, max_iterations=5).filter("distance is not null").count() == 6
+    clique = [(a, b) for a in range(100, 106) for b in range(a + 1, 106)]
+    both = edges.unionAll(spark.createDataFrame([*clique, (29, 100)], "src long, dst long"))
+    ends = both.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    core = {r.id for r in community.k_core(ends, both, 4).filter("in_core = 1").collect()}
+    assert core == set(range(100, 106))
+    assert {(r.a, r.b) for r in community.k_truss(both, 5).collect()} == set(clique)
+
+
+def test_louvain_ends_by_its_own_rule(spark):
+    cliques = [(g * 10 + a, g * 10 + b) for g in range(4) for a in range(6) for b in range(a)]
+    edges = spark.createDataFrame([*cliques, *[(g * 10, g * 10 + 10) for g in range(3)]], "src long, dst long")
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    found = community.louvain(nodes, edges)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.community, set()).add(r.id // 10)
+    assert len(groups) == 4 and all(len(g) == 1 for g in groups.values())
+    spreading = community.label_propagation(nodes, edges).withColumnRenamed("label", "community")
+    quality = [community.modularity(edges, parts).first()[0] for parts in (found, spreading)]
+    assert quality[0] >= quality[1]
+
+
+def test_any_subset_of_equal_names_counts(spark):
+    accounts = spark.createDataFrame([(1, "x", "y", "p"), (2, "x", "y", "q"), (3, "z", "z", "z")], "id long, a string, b string, c string")
+    links = spark.createDataFrame([(1, "l"), (2, "l"), (3, "l")], "id long, link string")
+    got = {r.id: r.cluster for r in usecases.entity_resolution_clusters(accounts, "id", links, "link", ["a", "b", "c"]).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_derived_graphs_are_built_anew_after_a_clearing(spark):
+    from trellis.plans.graphs import hand_over
+    from trellis.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    before = hand_over(t).count()
+    clear_scratch(spark)
+    assert hand_over(t).count() == before

@@ -143,7 +143,7 @@ def _(t):
 
 @query("louvain")
 def _(t):
-    return community.louvain(customers(t), hand_over(t), "qty")
+    return community.louvain(customers(t), hand_over(t), "qty", threshold=1e-3)
 
 
 @query("modularity", f"""WITH {HAND_OVER}, a AS (SELECT src AS i, dst AS j, qty AS w FROM hand_over UNION ALL SELECT dst, src, qty FROM hand_over),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,14 +127,15 @@ def entity_resolution_clusters(
     """Accounts that share enough links and names, and the component of each.
 
     The score is the number of shared links plus one per equal name. With a limit of 2 a pair
-    qualifies with 3 links, with 2 links and one equal name, or with 1 link and two: each case is
+    qualifies with 3 links, with 2 links and any one equal name, or with 1 link and any two: each case is
     joined on all it requires, so few other pairs are built, and the score is then computed.
     """
     scratch = Scratch(accounts.sparkSession)
     rows = links.select(account, link).distinct().join(accounts.select(account, *names), account)
     ranked = ranked_memberships(rows, account, link, names, scratch)
     needed = score_above + 1
-    cases = [[], *[[name] for name in names], *([list(names)] if len(names) > 1 else [])]
+    # a pair shares one link at least, so more equal names than that leaves over need not be asked for
+    cases = [list(case) for size in range(min(len(names), max(needed - 1, 0)) + 1) for case in combinations(names, size)]
     found = None
     for equal in cases:
         pairs = candidate_pairs(ranked, account, link, max(needed - len(equal), 1), equal)

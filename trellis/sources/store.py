@@ -32,9 +32,10 @@ class GraphStore:
                 found.append(int(name[2:]))
         return sorted(found)
 
-    def save(self, graph: PropertyGraph, version: int | None = None) -> int:
+    def save(self, graph: PropertyGraph, version: int | None = None, waiting: DataFrame | None = None) -> int:
         """Write the next version (or a given one, which makes a replay of the same batch
-        overwrite its own half-written files and skip a finished one)."""
+        overwrite its own half-written files and skip a finished one). ``waiting`` are edges whose ends are
+        still to come; they are kept beside the graph."""
         known = self.versions()
         number = (known[-1] + 1 if known else 1) if version is None else version
         if number in known:
@@ -42,6 +43,8 @@ class GraphStore:
         base = f"{self.path}/v={number}"
         graph.nodes.write.mode("overwrite").parquet(f"{base}/nodes")
         graph.edges.write.mode("overwrite").parquet(f"{base}/edges")
+        if waiting is not None:
+            waiting.write.mode("overwrite").parquet(f"{base}/waiting")
         fs, marker = self._fs(f"{base}/_DONE")
         fs.create(marker, True).close()
         return number
@@ -56,6 +59,12 @@ class GraphStore:
             self.spark.read.parquet(f"{base}/nodes"), self.spark.read.parquet(f"{base}/edges")
         )
 
+    def waiting(self, version: int) -> DataFrame | None:
+        """The edges that wait for their ends since that version or an earlier one."""
+        path = f"{self.path}/v={version}/waiting"
+        fs, target = self._fs(path)
+        return self.spark.read.parquet(path) if fs.exists(target) else None
+
     def version_counts(self) -> DataFrame:
         """``version, num_nodes, num_edges`` of every version."""
         return stack(

@@ -68,7 +68,8 @@ def stream_graph_ingest(
 ) -> StreamingQuery:
     """Mini-batches with an operation column (upsert or delete) become graph versions. The version
     of a batch is ``base_version`` (the version the stream starts from) plus its batch id plus one;
-    a finished version is never written again, so a replayed batch changes nothing."""
+    a finished version is never written again, so a replayed batch changes nothing. An edge that
+    arrives before its nodes waits beside the graph and joins it when they have come."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = base_version + batch_id + 1
@@ -78,12 +79,15 @@ def stream_graph_ingest(
         deletes = batch.filter(F.col(operation) == "delete")
         known = store.versions()
         nodes, edges = to_nodes(upserts), to_edges(upserts)
+        old = PropertyGraph(nodes.limit(0), edges.limit(0))
         if known:
-            graph = store.load(known[-1])
-            nodes = graph_upsert(graph.nodes, nodes, NODE_KEY)
-            edges = graph_upsert(graph.edges, edges, ["edge_id"])
-        graph = graph_delete(PropertyGraph(nodes, edges), to_nodes(deletes))
-        store.save(graph.resolved(), version)
+            old = store.load(known[-1])
+            waiting = store.waiting(known[-1])
+            if waiting is not None:
+                old = PropertyGraph(old.nodes, old.edges.unionByName(waiting, allowMissingColumns=True))
+        graph = PropertyGraph(graph_upsert(old.nodes, nodes, NODE_KEY), graph_upsert(old.edges, edges, ["edge_id"]))
+        graph = graph_delete(graph, to_nodes(deletes))
+        store.save(graph.resolved(), version, graph.unresolved_edges())
 
     return (
         batches.writeStream.foreachBatch(apply)
@@ -117,6 +121,8 @@ def complete_result(stream: DataFrame, name: str, checkpoint: str) -> DataFrame:
         .outputMode("complete").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    if not last:  # nothing has arrived
+        return stream.sparkSession.createDataFrame([], stream.schema)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/{last[-1]}")
 
 
