@@ -289,6 +289,30 @@ def test_boosting_adds_only_what_looks_certain(spark):
     assert pii.find(table.limit(0)).count() == 0
 
 
+def test_other_forms_of_certain_spans_are_added(spark):
+    rng = random.Random(12)
+    rows, added = [], set()
+    for i in range(4000):
+        name, number = f"{rng.choice('kim lee ana ben'.split())}{rng.randint(1, 99)}", f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        other = rng.random() < 0.3  # far more than 5% of the true ones have no base form
+        text = {
+            0: f"please mail {name}{' (at) ' if other else '@'}example{' (dot) ' if other else '.'}com today",
+            1: f"please call {'' if other else '+'}1 {number} today", 2: f"order {rng.randint(10**7, 10**8)} of stock",
+            3: f"we met at noon at {rng.choice('north south east west'.split())}.side in town",
+        }[i % 4]
+        rows.append((i, text))
+        if other and i % 4 < 2:
+            added.add(i)
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, r in got.items() if r.spans and r.n_email + r.n_phone == 0} == added
+    assert all(got[i].spans.startswith(("email:12:", "phone:12:")) for i in added)
+
+
+def test_calibration_takes_uncovered_proposals_as_unlabelled():
+    assert pii.calibrated([(9, 300, 200), (-9, 0, 5000)]) == 9  # two of five look-alikes without a label
+    assert pii.calibrated([(9, 19, 0)]) == float("inf")
+
+
 def test_proposals_stay_linear():
     for text in ("1" * 50_000, "1." * 30_000, "a@" * 30_000, "1 " * 30_000, "at " * 30_000, "x@y." * 20_000, "1.1.1.1" * 8_000):
         pii.all_spans(text, pii.base_spans(text), None)

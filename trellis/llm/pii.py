@@ -3,22 +3,25 @@
 The base spans follow exact rules and always stand. Beside them generators propose anything shaped
 like an address, a network address, a card or a telephone number, written with other marks, spelled-out signs or failing
 a check; proposals may overlap. Gradient-boosted trees, fitted on a bounded sample of documents, judge each proposal by
-its format and the text around it. They learn from the base spans: a proposal that covers one is a positive. What
-defines the base rules (plus sign, check digit, number range) is withheld from the features, so proposals are selected for looking
-and standing like the certain ones. Each kind's threshold is calibrated on held-out documents: the lowest
-score from which on ``PRECISION`` of the proposals are positives. Of overlapping selected ones the best stays.
+its shape and the text around it. They tell the proposals that cover a base span from all others, which are unlabelled and not
+negative: true ones may be among them. What sets a base form apart from its other forms (signs and separators, plus sign, check digit,
+number range) is withheld from the features, so a true proposal in another form scores as the certain ones do. Each kind's threshold is calibrated
+on all documents not learned from, by counts of scores: as many unlabelled ones are taken to be true at a score as the covering
+ones there let expect (Elkan and Noto), and from the threshold on that is ``PRECISION`` of them. Of overlapping selected ones the best stays.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trellis.llm.common import body, text_chunks
@@ -27,7 +30,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 8_000  # documents learned from, about
 LEAST_PROPOSALS = 100
 PRECISION = 0.95
-LEAST_CONFIDENT = 20  # held-out proposals that a threshold must rest on
+LEAST_CONFIDENT = 20  # certain proposals, not learned from, that a threshold must rest on
+LEVELS = 4  # of scores, per unit of log odds
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
 
 # Base rules. Equivalent to their plain forms (see ``base_spans``), but linear on long runs.
@@ -42,6 +46,7 @@ MAYBE = re.compile(r"[0-9@]")
 AT = re.compile(r"[@＠]|\s?[(\[{<]\s?at\s?[)\]}>]\s?|\sat\s", re.IGNORECASE)
 AT_LEFT = re.compile(r"[\w.%+-]{1,64}$")
 AT_RIGHT = re.compile(r"[\w-]{1,63}(?:(?:\.|\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\sdot\s)[\w-]{1,63})+", re.IGNORECASE)
+DOT = re.compile(r"\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\sdot\s", re.IGNORECASE)
 WIDE = {
     "ip": re.compile(r"(?<![0-9])[0-9]{1,4}+(?:[.,:_-][0-9]{1,4}+){3,7}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])[0-9](?:[ ./_-]?[0-9]){11,18}+(?![0-9])"),
@@ -111,18 +116,26 @@ def proposals(text: str) -> list[tuple[int, str, int]]:
     return in_order(found)
 
 
+def one_form(piece: str, kind: str) -> str:
+    """The piece in the one form that all its forms share: plain signs in an address, groups of digits between single blanks."""
+    if kind == "email":
+        at = AT.search(piece)
+        return f"{piece[:at.start()]}@{DOT.sub('.', piece[at.end():])}" if at else piece
+    groups = " ".join(re.findall(r"\d+", piece))
+    return groups.removeprefix("00").lstrip() if kind == "phone" else groups
+
+
 def features(text: str, span: tuple[int, str, int]) -> list[float]:
-    """Format and context; without the signs that define the base rules."""
+    """Shape and context; without what sets a base form apart from its other forms."""
     start, kind, end = span
-    piece = text[start:end].removeprefix("+")
+    piece = one_form(text[start:end], kind)
     digits = sum(c.isdigit() for c in piece)
     groups = [len(g) for g in re.findall(r"\d+", piece)]
     before, after = text[max(0, start - LEFT_CONTEXT):start], text[end:end + LEFT_CONTEXT]
     near, here = before.lower(), before[-1:]
     return [
-        len(piece), digits, digits / len(piece), len(groups), max(groups, default=0), min(groups, default=0), groups[-1] if groups else 0,
-        piece.count(" "), piece.count("."), piece.count("-"), piece.count("/") + piece.count("_") + piece.count(","), piece.count("("),
-        piece.count(":"), sum(c.isalpha() for c in piece), len(set(piece)), piece.count("at"), float("@" in piece),
+        len(piece), digits, digits / max(1, len(piece)), len(groups), max(groups, default=0), min(groups, default=0), groups[-1] if groups else 0,
+        piece.count("."), piece.count("-"), sum(c.isalpha() for c in piece), len(set(piece)),
         float(here.isalnum()), float(here.isspace()), float(bool(here) and not here.isalnum() and not here.isspace()),
         float(after[:1].isalnum()), float(after[:1].isspace()), sum(c.isalpha() for c in before), sum(c.isdigit() for c in before),
         sum(c.isalpha() for c in after), sum(c.isdigit() for c in after), float(any(cue in near for cue in CUES[kind])),
@@ -208,43 +221,90 @@ class Boosted:
         return 1 / (1 + np.exp(-z))
 
 
-def _sampled(docs: DataFrame, most: int) -> np.ndarray:
-    """Rows of features, label and whether held out, of the proposals in about ``most`` documents."""
-    share = min(1.0, most / max(1, docs.count()))
-    by_id = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    sample = docs.filter(by_id < int(share * 1_000_000)).select((by_id % 4 == 0).cast("double").alias("held_out"), "text")
+def _proposed(text: str) -> tuple[list[list[float]], list[bool]]:
+    """Features of the text's proposals, and whether each covers a base span."""
+    base, found = Taken(base_spans(text)), proposals(text)
+    return [features(text, s) for s in found], [base.overlaps(s) for s in found]
+
+
+def _sampled(docs: DataFrame, learned: Column) -> np.ndarray:
+    """Rows of features and label of the proposals in the documents to learn from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text"):
             rows = []
-            for out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                base = Taken(base_spans(text))
-                rows.extend([*features(text, s), float(base.overlaps(s)), out] for s in proposals(text))
+            for text in batch.column(0).to_pylist():
+                rows.extend([*x, float(y)] for x, y in zip(*_proposed(text)))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["row"])
 
+    sample = docs.filter(learned).select("text")
     return np.array(sorted(r["row"] for r in sample.mapInArrow(run, "row array<double>").collect()))
 
 
+def level(scores: np.ndarray) -> np.ndarray:
+    """Scores in steps of their log odds."""
+    clipped = np.clip(scores, 1e-9, 1 - 1e-9)
+    return np.floor(LEVELS * np.log(clipped / (1 - clipped))).astype(np.int64)
+
+
+def _counted(docs: DataFrame, learned: Column, trees: Boosted) -> dict[int, list[tuple[int, int, int]]]:
+    """By kind ``(level, certain, unlabelled)``, counted over all documents not learned from."""
+    model = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, "text"):
+            counts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                x, certain = _proposed(text)
+                if x:
+                    levels = level(model.value(np.array(x))).tolist()
+                    counts.update((int(row[-1]), at, covers) for row, at, covers in zip(x, levels, certain))
+            columns = list(zip(*[(*key, n) for key, n in counts.items()])) or [(), (), (), ()]
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "level", "certain", "n"])
+
+    found = docs.filter(~learned).select("text").mapInArrow(run, "kind long, level long, certain boolean, n long")
+    both = found.groupBy("kind", "level").agg(
+        F.coalesce(F.sum(F.when(F.col("certain"), F.col("n"))), F.lit(0)).alias("certain"),
+        F.coalesce(F.sum(F.when(~F.col("certain"), F.col("n"))), F.lit(0)).alias("unlabelled"),
+    )
+    counts: dict[int, list[tuple[int, int, int]]] = {k: [] for k in range(len(KINDS))}
+    for row in both.collect():  # a few dozen levels
+        counts[row["kind"]].append((row["level"], row["certain"], row["unlabelled"]))
+    return counts
+
+
 def fit(docs: DataFrame, most: int = SAMPLE) -> tuple[Boosted, list[float]] | None:
-    """The trees and the threshold of each kind; none if the sample has too little to learn from."""
-    rows = _sampled(docs, most)
+    """The trees and the least level of each kind; none if the sample has too little to learn from."""
+    share = min(1.0, most / max(1, docs.count()))
+    by_id = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    learned = (by_id < int(share * 1_000_000)) & (by_id % 4 != 0)
+    rows = _sampled(docs, learned)
     if len(rows) < LEAST_PROPOSALS:
         return None
-    x, y, out = rows[:, :-2], rows[:, -2], rows[:, -1] > 0
-    if not 0 < y[~out].sum() < (~out).sum():
+    x, y = rows[:, :-1], rows[:, -1]
+    if not 0 < y.sum() < len(y):
         return None
-    model = Boosted(x[~out], y[~out])
-    scores, kinds = model(x[out]), x[out][:, -1]
-    return model, [calibrated(scores[kinds == k], y[out][kinds == k]) for k in range(len(KINDS))]
+    trees = Boosted(x, y)
+    counts = _counted(docs, learned, trees)
+    return trees, [calibrated(counts[k]) for k in range(len(KINDS))]
+
 
+def calibrated(counts: list[tuple[int, int, int]]) -> float:
+    """The lowest level from which on ``PRECISION`` of the unlabelled proposals are true by estimate; else infinite.
 
-def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The lowest score from which on ``PRECISION`` of the held-out proposals are positives; else over 1."""
-    order = np.argsort(-scores, kind="stable")
-    precision = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
-    last_of_score = np.append(np.diff(scores[order]) != 0, True) if len(order) else np.zeros(0, dtype=bool)
-    good = np.flatnonzero((precision >= PRECISION) & last_of_score & (np.arange(1, len(order) + 1) >= LEAST_CONFIDENT))
-    return float(scores[order][good[-1]]) if len(good) else 2.0
+    ``counts`` are ``(level, certain, unlabelled)``. The share of certain ones among all true ones is the mean, over the certain, of
+    their share at their level; it gives how many true ones stand unlabelled for each certain one."""
+    certain = sum(p for _, p, _ in counts)
+    if certain < LEAST_CONFIDENT:
+        return math.inf
+    share = sum(p * p / (p + u) for _, p, u in counts if p) / certain
+    least, above, others = math.inf, 0, 0
+    for at, p, u in sorted(counts, reverse=True):
+        above, others = above + p, others + u
+        if above >= LEAST_CONFIDENT and (1 - share) / share * above >= PRECISION * others * (1 - 1e-9):
+            least = at
+    return least
 
 
 def all_spans(text: str, base: list[tuple[int, str, int]], model: tuple[Boosted, list[float]] | None) -> list[tuple[int, str, int]]:
@@ -253,11 +313,12 @@ def all_spans(text: str, base: list[tuple[int, str, int]], model: tuple[Boosted,
     new = [s for s in proposals(text) if not taken.overlaps(s)] if model else []
     if not new:
         return base
-    trees, thresholds = model
+    trees, least = model
     scores = trees(np.array([features(text, s) for s in new]))
+    levels = level(scores)
     chosen = list(base)
     for i in sorted(range(len(new)), key=lambda i: (-scores[i], new[i][0], KINDS.index(new[i][1]))):
-        if scores[i] >= thresholds[KINDS.index(new[i][1])] and not taken.overlaps(new[i]):
+        if levels[i] >= least[KINDS.index(new[i][1])] and not taken.overlaps(new[i]):
             taken.add(new[i])
             chosen.append(new[i])
     return in_order(chosen)
