@@ -172,6 +172,24 @@ def test_article_and_nothing_else(wrap):
     assert html_text.main_text(PAGE % (wrap % ARTICLE)) == WANT
 
 
+BODY = "".join(f"<p>Paragraph {i} of the text goes on for quite some words, as paragraphs do, and ends here.</p>" for i in range(6))
+LINES = [f"Paragraph {i} of the text goes on for quite some words, as paragraphs do, and ends here." for i in range(6)]
+
+
+@pytest.mark.parametrize("page", [
+    "<head><title>T</title><body><article>%s</article>", "<head><title>T</title><meta charset=utf-8><div>%s</div>", "<body><div class='has-sidebar'>%s</div>",
+    "<body><div id='content-form'><nav>Menu</nav><div>%s</div></div>", "<body><form action=x><input><div>%s</div></form>",
+    "<body><form><article>%s</article></form>", "<body><div class='no-sidebar'><form>%s<div class='sidebar'><p>Side text of some length</p></div></form></div>",
+])
+def test_wrappers_do_not_hide_the_page(page):
+    assert html_text.main_text(page % BODY).split("\n\n") == LINES
+
+
+def test_names_within_the_article_hide_nothing():
+    page = f"<body><article>{BODY}<section id='related-work'><h2 id='legal-notice'>Legal notice</h2><p>Earlier work.</p></section><div class='ad-hoc'>Ad hoc</div><div class='ad'>Buy</div></article>"
+    assert html_text.main_text(page).split("\n\n") == [*LINES, "Legal notice", "Earlier work.", "Ad hoc"]
+
+
 def test_pages_of_every_kind(spark):
     odd = [(1, "u", None), (2, None, ""), (3, "u", "   "), (4, "u", "plain &amp; text"), (5, "u", "<p>a<p>b<div>c"), (None, "u", "<<<>><p"),
            (6, "u", "<p>" + "w " * 50000), (7, "u", "<div>" * 3000 + "deep"), (1, "u", None)]

@@ -7,7 +7,8 @@ lines over a threshold between the cluster means are content. Regions are chosen
 holds most of the characters of the content lines, an ``article`` or ``main`` first. All lines of the region
 are the main text, short ones too, except those in elements that are never the article: menus, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments, scripts and styles, known by
-element, ARIA role or words of the class or id.
+element, ARIA role or words of the class or id. Forms and such words exclude an element only if it does not hold most of
+the page's content, and words exclude no heading or section within the region.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter output q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr br".split()
 )
+HEAD = set("base basefont bgsound link meta title noscript script style template head html".split())  # what does not close the head
 HIDDEN = set("script style noscript template head title iframe object svg canvas audio video math".split())
 # Elements and roles that are never the article.
-OUTSIDE = set("nav aside form button select textarea input dialog menu fieldset".split())
-ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar note".split())
+OUTSIDE = set("nav aside button select textarea input dialog menu fieldset".split())
+ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar note".split())
 # Parts of a page that its article may also have: they are outside unless they stand in the article.
 PAGE_PARTS = {"header", "footer"}
 # Words of a class or id, split at what is no letter and at changes of case.
@@ -61,32 +63,36 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.0
 # A region holds at least this share of the content lines' characters: of articles, and of any other element.
 ARTICLE_SHARE, OTHER_SHARE = 0.5, 0.9
-# How surely an element is not the article: not at all, by its class (an article in it counts all the same), surely.
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# A marked element that holds more than this share of the page's content is not outside for its mark.
+MOST = 0.5
+# How surely an element is not the article: not at all, by its class or as a form (an article in it counts all the same), surely.
 WITHIN, MARKED_OUT, OUT = 0, 1, 2
 
 
 class Lines(HTMLParser):
-    """Parser events to lines ``(text, tags, outside, path)``; ``path`` numbers the open elements."""
+    """Parser events to lines ``(text, tags, path)``; ``path`` numbers the open elements, whose own marks stand in ``marks``."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool, int]] = []  # element, number, hidden, outside
+        self.stack: list[tuple[str, int, bool]] = []  # element, number, hidden
         self.names: list[str] = ["#page"]
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.marks, self.parents = [WITHIN], [0]
+        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.parts: list[str] = []
         self.tags = 0
 
     def _hidden(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
 
-    def _outside(self) -> int:
-        return self.stack[-1][3] if self.stack else WITHIN
+    def _in_head(self) -> bool:
+        return bool(self.stack) and self.stack[-1][0] == "head"
 
     def end_line(self) -> None:
         text = BLANKS.sub(" ", "".join(self.parts)).strip()
         self.parts = []
         if text:
-            self.lines.append((text, self.tags, self._outside(), (0, *(e[1] for e in self.stack))))
+            self.lines.append((text, self.tags, (0, *(e[1] for e in self.stack))))
             self.tags = 0
 
     def _pop(self, tag: str, stop: set[str]) -> None:
@@ -105,6 +111,10 @@ class Lines(HTMLParser):
         if tag == "br":
             self.parts.append(" ")
             return
+        if tag == "body" or self._in_head() and tag not in HEAD:
+            self._pop("head", {"template"})
+        if tag == "head" and (self.lines or any(e[0] == "body" for e in self.stack)):
+            return
         if tag in CLOSES_P:
             self._pop("p", {"table", "td", "th", "button", "object"} | OUTSIDE)
         if tag in CLOSES_OWN:
@@ -116,19 +126,21 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         known = dict(attrs)
-        outside = self._outside()
-        if tag in ROOTS and outside == MARKED_OUT:
-            outside = WITHIN
+        mark = WITHIN
         if tag in OUTSIDE or (known.get("role") or "").lower() in ROLES:
-            outside = OUT
+            mark = OUT
         elif tag in PAGE_PARTS and not any(e[0] in ROOTS for e in self.stack):
-            outside = OUT
+            mark = OUT
         elif tag not in ("html", "body", "main"):
             words = {w.lower() for w in NAME_PARTS.findall(f"{known.get('class') or ''} {known.get('id') or ''}")}
-            outside = max(outside, OUT if words & COMMENTS else MARKED_OUT if words & MARKED else WITHIN)
+            words -= {"ad"} if "hoc" in words else set()
+            form = tag == "form" or (known.get("role") or "").lower() == "form"
+            mark = OUT if words & COMMENTS else MARKED_OUT if form or words & MARKED else WITHIN
         hidden = self._hidden() or tag in HIDDEN or "hidden" in known or (known.get("aria-hidden") or "").lower() == "true"
+        self.parents.append(self.stack[-1][1] if self.stack else 0)
         self.names.append(tag)
-        self.stack.append((tag, len(self.names) - 1, hidden, outside))
+        self.marks.append(mark)
+        self.stack.append((tag, len(self.names) - 1, hidden))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash of an element that is not void
@@ -141,6 +153,8 @@ class Lines(HTMLParser):
             self._pop(tag, set())
 
     def handle_data(self, data: str) -> None:
+        if self._in_head() and not data.isspace():
+            self._pop("head", set())
         if not self._hidden():
             self.parts.append(data)
 
@@ -164,31 +178,65 @@ def threshold(values: np.ndarray) -> float:
         split = moved
 
 
+def outside(parser: Lines, void: set[int]) -> list[int]:
+    """How surely each element is outside, the marks of ``void`` not counted."""
+    found = [WITHIN]
+    for number in range(1, len(parser.names)):
+        own = WITHIN if number in void else parser.marks[number]
+        above = found[parser.parents[number]]
+        found.append(max(own, WITHIN if above == MARKED_OUT and parser.names[number] in ROOTS else above))
+    return found
+
+
+def wrappers(parser: Lines, lines: list[tuple]) -> set[int]:
+    """Elements that are marked, but hold most characters of the lines."""
+    held: dict[int, int] = {}
+    for text, _, path in lines:
+        for number in path:
+            if parser.marks[number] == MARKED_OUT:
+                held[number] = held.get(number, 0) + len(text)
+    return {number for number, size in held.items() if size > MOST * sum(len(line[0]) for line in lines)}
+
+
 def main_text(page: str) -> str:
     parser = Lines()
     parser.feed(page)
     parser.close()
     parser.end_line()
-    shown = [line for line in parser.lines if not line[2]]
-    if not shown:
+    if not parser.lines:
         return ""
-    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in parser.lines], dtype=float))
+    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines], dtype=float))
     least = threshold(ratios)
-    content = [line for line, ratio in zip(parser.lines, ratios) if ratio >= least and not line[2]] or shown
+    surely = outside(parser, set())
+    possible = [(line, ratio >= least) for line, ratio in zip(parser.lines, ratios) if surely[line[2][-1]] != OUT]
+    # A wrapper holds most of the content and most of all text: a long aside of a short article is none.
+    void = wrappers(parser, [line for line, _ in possible])
+    void &= wrappers(parser, [line for line, over in possible if over] or [line for line, _ in possible])
+    out = outside(parser, void)
+    shown = [line for line in parser.lines if not out[line[2][-1]]]
+    if not shown:
+        return ""
+    content = [line for line, over in possible if over and not out[line[2][-1]]] or shown
     # Characters of content under each element; elements are numbered in page order, so the last that
     # holds enough is the innermost.
     held: dict[int, int] = {}
-    for text, _, _, path in content:
+    for text, _, path in content:
         for number in path:
             held[number] = held.get(number, 0) + len(text)
     total = sum(len(line[0]) for line in content)
     roots = {number for number, size in held.items() if parser.names[number] in ROOTS and size > 0}
-    if roots and sum(len(t) for t, _, _, path in content if roots.intersection(path)) >= ARTICLE_SHARE * total:
-        region = {min(path_root) for path_root in (roots.intersection(line[3]) for line in content) if path_root}
+    if roots and sum(len(t) for t, _, path in content if roots.intersection(path)) >= ARTICLE_SHARE * total:
+        region = {min(path_root) for path_root in (roots.intersection(line[2]) for line in content) if path_root}
     else:
         whole = [n for n, size in held.items() if size >= OTHER_SHARE * total and parser.names[n] not in LINE_ELEMENTS]
         region = {max(whole)} if whole else {0}
-    return "\n\n".join(text for text, _, _, path in shown if region.intersection(path))
+    # Headings and sections of the region are the article's, whatever they are called.
+    inner = {n for n in region if parser.names[n] not in ("#page", "html", "body")}
+    named = {n for n, tag in enumerate(parser.names) if parser.marks[n] == MARKED_OUT and (tag in HEADINGS or tag == "section")}
+    if inner and named:
+        void |= {n for _, _, path in parser.lines for n in named.intersection(path) if inner.intersection(path[:path.index(n)])}
+        out = outside(parser, void)
+    return "\n\n".join(text for text, _, path in parser.lines if not out[path[-1]] and region.intersection(path))
 
 
 # Elements that are a line by themselves: a region is one that may hold several.
