@@ -190,6 +190,16 @@ def test_names_within_the_article_hide_nothing():
     assert html_text.main_text(page).split("\n\n") == [*LINES, "Legal notice", "Earlier work.", "Ad hoc"]
 
 
+def test_no_content_line_is_dropped():
+    lead = "The lead says in one long sentence what all of the text below is about, and why it matters, and goes on to name those who were there and what they did."
+    long = BODY * 5
+    page = f"<body><nav>Menu</nav><div id=page><div class=lead><h1>Headline</h1><p>{lead}</p></div><div class=text>{long}</div></div>"
+    assert html_text.main_text(page).split("\n\n") == ["Headline", lead, *LINES * 5]
+    page = f"<body><nav>Menu</nav><div class=lead><h1>Headline</h1><p>{lead}</p></div><article>{long}</article><article><p>Short.</p></article><div>Imprint</div>"
+    assert html_text.main_text(page).split("\n\n") == ["Headline", lead, *LINES * 5, "Short."]
+    assert html_text.main_text(f"<body><p>{lead}</p><main>{long}</main><div>Imprint</div>").split("\n\n") == [lead, *LINES * 5]
+
+
 def test_pages_of_every_kind(spark):
     odd = [(1, "u", None), (2, None, ""), (3, "u", "   "), (4, "u", "plain &amp; text"), (5, "u", "<p>a<p>b<div>c"), (None, "u", "<<<>><p"),
            (6, "u", "<p>" + "w " * 50000), (7, "u", "<div>" * 3000 + "deep"), (1, "u", None)]

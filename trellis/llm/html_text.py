@@ -3,9 +3,9 @@
 One pass of the standard library's event parser turns a page into lines: a block element's own text, white
 space turned into single spaces, in page order. Each line has a text-to-tag ratio (its characters over the
 tags opened or closed while it was read). The ratios, smoothed with a Gaussian, fall in two clusters:
-lines over a threshold between the cluster means are content. Regions are chosen from them: the smallest element that
-holds most of the characters of the content lines, an ``article`` or ``main`` first. All lines of the region
-are the main text, short ones too, except those in elements that are never the article: menus, headers and
+lines over a threshold between the cluster means are content. Regions hold all of them: every ``article`` or ``main``, if these hold
+most of the content's characters, with the smallest elements around the content lines elsewhere; else the smallest
+element that holds all content lines. All lines of the regions are the main text, short ones too, except those in elements that are never the article: menus, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments, scripts and styles, known by
 element, ARIA role or words of the class or id. Forms and such words exclude an element only if it does not hold most of
 the page's content, and words exclude no heading or section within the region.
@@ -61,8 +61,8 @@ ROOTS = ("article", "main")
 BLANKS = re.compile(r"\s+")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.0
-# A region holds at least this share of the content lines' characters: of articles, and of any other element.
-ARTICLE_SHARE, OTHER_SHARE = 0.5, 0.9
+# Articles are the main regions if they hold this share of the content lines' characters.
+ARTICLE_SHARE = 0.5
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # A marked element that holds more than this share of the page's content is not outside for its mark.
 MOST = 0.5
@@ -198,6 +198,28 @@ def wrappers(parser: Lines, lines: list[tuple]) -> set[int]:
     return {number for number, size in held.items() if size > MOST * sum(len(line[0]) for line in lines)}
 
 
+def regions(parser: Lines, shown: list[int], content: list[int]) -> tuple[set[int], set[int]]:
+    """Elements whose lines are the main text, and content lines that stand in none of them."""
+    lines, names = parser.lines, parser.names
+    roots = {n for i in shown for n in lines[i][2] if names[n] in ROOTS}
+    elsewhere = [i for i in content if not roots.intersection(lines[i][2])]
+    rest, total = sum(len(lines[i][0]) for i in elsewhere), sum(len(lines[i][0]) for i in content)
+    if not roots or rest > (1 - ARTICLE_SHARE) * total:
+        # Elements are numbered in page order, so the last that holds all content is the innermost.
+        common = set(lines[content[0]][2]).intersection(*(lines[i][2] for i in content))
+        return roots | {max(n for n in common if names[n] not in LINE_ELEMENTS)}, set()
+    # Content beside the articles brings the lines of its element, unless that is around an article or the page.
+    around = {n for i in shown if roots.intersection(lines[i][2]) for n in lines[i][2]}
+    found, single = set(roots), set()
+    for i in elsewhere:
+        own = max(n for n in lines[i][2] if names[n] not in LINE_ELEMENTS)
+        if own in around or names[own] in ("#page", "html", "body"):
+            single.add(i)
+        else:
+            found.add(own)
+    return found, single
+
+
 def main_text(page: str) -> str:
     parser = Lines()
     parser.feed(page)
@@ -213,30 +235,18 @@ def main_text(page: str) -> str:
     void = wrappers(parser, [line for line, _ in possible])
     void &= wrappers(parser, [line for line, over in possible if over] or [line for line, _ in possible])
     out = outside(parser, void)
-    shown = [line for line in parser.lines if not out[line[2][-1]]]
+    shown = [i for i, line in enumerate(parser.lines) if not out[line[2][-1]]]
     if not shown:
         return ""
-    content = [line for line, over in possible if over and not out[line[2][-1]]] or shown
-    # Characters of content under each element; elements are numbered in page order, so the last that
-    # holds enough is the innermost.
-    held: dict[int, int] = {}
-    for text, _, path in content:
-        for number in path:
-            held[number] = held.get(number, 0) + len(text)
-    total = sum(len(line[0]) for line in content)
-    roots = {number for number, size in held.items() if parser.names[number] in ROOTS and size > 0}
-    if roots and sum(len(t) for t, _, path in content if roots.intersection(path)) >= ARTICLE_SHARE * total:
-        region = {min(path_root) for path_root in (roots.intersection(line[2]) for line in content) if path_root}
-    else:
-        whole = [n for n, size in held.items() if size >= OTHER_SHARE * total and parser.names[n] not in LINE_ELEMENTS]
-        region = {max(whole)} if whole else {0}
+    content = [i for i in shown if ratios[i] >= least] or shown
+    region, single = regions(parser, shown, content)
     # Headings and sections of the region are the article's, whatever they are called.
     inner = {n for n in region if parser.names[n] not in ("#page", "html", "body")}
     named = {n for n, tag in enumerate(parser.names) if parser.marks[n] == MARKED_OUT and (tag in HEADINGS or tag == "section")}
     if inner and named:
         void |= {n for _, _, path in parser.lines for n in named.intersection(path) if inner.intersection(path[:path.index(n)])}
         out = outside(parser, void)
-    return "\n\n".join(text for text, _, path in parser.lines if not out[path[-1]] and region.intersection(path))
+    return "\n\n".join(line[0] for i, line in enumerate(parser.lines) if not out[line[2][-1]] and (i in single or region.intersection(line[2])))
 
 
 # Elements that are a line by themselves: a region is one that may hold several.
