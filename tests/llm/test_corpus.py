@@ -207,6 +207,24 @@ def test_mixed_rows_are_what_was_taken(spark):
     assert mixing.mixed_rows(cases.empty(spark)).count() == 0
 
 
+def test_a_source_of_short_texts_meets_its_target_over_many_shards(spark):
+    rows = [(i, "long", "w " * 200) for i in range(4000)] + [(10_000 + i, "titles", "one two three") for i in range(300)]
+    rows += [(20_000 + i, None, "a b c d e f g h") for i in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    placed = mixing._placed(
+        table.selectExpr("CAST(NULL AS LONG) AS number", "doc_id", "source", "CAST(size(split(trim(text), ' ')) AS LONG) AS size"),
+        Scratch(spark), shard_rows=30,
+    ).collect()
+    by_id, taken, target = {r[0]: r for r in rows}, Counter(), {}
+    for r in placed:
+        source = by_id[r.doc_id][1]
+        taken[source] += r.taken
+        target[source] = r.target
+        assert 0 <= r.taken <= 2 * r.size
+    assert len(placed) == len(rows)
+    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] for s in target), (taken, target)
+
+
 # ---- quality
 
 

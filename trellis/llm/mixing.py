@@ -4,14 +4,15 @@ Targets first: the sources share ``share`` times all words by weight, no source
 size, and what that cuts off goes to the others by weight, until none is above (water filling; each round
 is one small aggregate over the table of sources).
 
-Then the corpus is dealt into shards by a seeded hash of the id. In a shard each source has a stream of
-words, its documents in seeded order, cut into blocks of ``block`` words. The shard's number of blocks goes to its
-sources by highest quotients ``target / (2k + 1)``, which gives integer quotas. Candidates for the ranking
-are only the quotients near the end of the list: with ``n`` sources and ``N`` blocks, a source with share ``p`` ends within ``n * p + 2``
-blocks of ``target / block``, all quotients below that are in.
-
-A quota of ``q`` out of ``b`` blocks takes every block ``q div b`` times and, once more, the ``q mod b`` blocks that follow a seeded
-start, around the end. So a document's taken words follow from its place in the stream, without listing blocks.
+Then the corpus is dealt into shards by a seeded hash of the id, each source into as many of them as its own size fills with ``CELL``
+blocks or ``SHARD_ROWS`` rows. In a shard each source has a stream of words, its documents in seeded order, cut into blocks of
+``block`` words. The shard's number of blocks goes to its sources by highest quotients ``target / (2k + 1)``, which gives integer
+quotas. Candidates for the ranking are only the quotients near the end of the list: with ``n`` sources and ``N`` blocks, a source
+with share ``p`` ends within ``n * p + 2`` blocks of ``target / block``, all quotients below that are in.
+
+A quota is taken at its real words: the whole stream as often as it goes in, and once more the words that follow a seeded start, around
+the end of the stream. A source at its bound gives all its words that often. So a document's taken words follow from
+its place in the stream, without listing blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ MOST = 2.0
 BLOCK = 16
 SEED = 6
 SHARD_ROWS = 4096
+CELL = 1024  # blocks of a source in a shard, at least
 
 
 def source_targets(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -82,27 +84,43 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
 def _placed(
     rows: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED,
-    shard_rows: int = SHARD_ROWS,
+    shard_rows: int = SHARD_ROWS, cell: int = CELL,
 ) -> DataFrame:
     """``rows`` (``number, doc_id, source, size``, read from a table) with ``taken`` and how it is made up: the whole
     text ``times`` times, and the words in the two intervals ``[a1, b1)`` and ``[a2, b2)``."""
     targets = scratch.put(source_targets(rows, scratch, weights, share, most), "targets")
     shards = rows.count() // shard_rows + 1
-    dealt = rows.withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard", F.pmod("order", F.lit(shards)))
-    cells = dealt.groupBy("shard", "source").agg(F.sum("size").alias("words"))
+    dealt = rows.withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("part", F.pmod("order", F.lit(shards)))
+    cells = dealt.groupBy("part", "source").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
     targets = targets.withColumnRenamed("source", "of_source")
     cells = cells.join(targets, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    quotas = _quotas(cells.filter("words > 0"), block).withColumnsRenamed({"shard": "in_shard", "source": "of_source"})
+    # A source of few words has several parts in one shard, one behind the other in its stream. Parts are at most as many as shards.
+    filled = F.greatest(F.col("source_size") / (cell * block), F.sum("n").over(Window.partitionBy("source")) / shard_rows)
+    own = F.least(F.lit(shards), F.floor(filled).cast("long") + 1)
+    cells = cells.withColumn("shard", F.pmod(F.pmod("part", own) + F.pmod(F.xxhash64(F.lit(seed + 2), "source"), F.lit(shards)), F.lit(shards)))
+    together = Window.partitionBy("shard", "source")
+    earlier = together.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = scratch.put(cells.select(
+        "part", "shard", "source", "source_size", "target", F.sum("words").over(together).alias("words"),
+        F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"),
+    ), "parts")
+    streams = cells.filter("words > 0").select("shard", "source", "words", "source_size", "target").distinct()
+    quotas = _quotas(streams, block).withColumnsRenamed({"shard": "in_shard", "source": "of_source"})
+    start = F.pmod(F.xxhash64(F.lit(seed + 1), "shard", "source"), F.col("blocks")) * block
+    bound = F.floor(F.col("words") * most).cast("long")
+    at_bound = F.col("target") >= F.col("source_size") * most * (1 - 1e-9)
+    given = F.when(at_bound, bound).otherwise(F.least(F.col("quota") * block, bound))
     same = (F.col("shard") == F.col("in_shard")) & F.col("source").eqNullSafe(F.col("of_source"))
-    start = F.pmod(F.xxhash64(F.lit(seed + 1), "shard", "source"), F.col("blocks"))
     cells = scratch.put(cells.join(quotas, same, "left").select(
-        F.col("shard").alias("in_shard"), F.col("source").alias("of_source"), "source_size", "target",
-        F.coalesce((F.col("quota") / F.col("blocks")).cast("long"), F.lit(0)).alias("times"), (start * block).alias("extra_from"),
-        ((start + F.pmod("quota", F.col("blocks"))) * block).alias("extra_to"), (F.col("blocks") * block).alias("around"),
+        F.col("part").alias("in_part"), F.col("source").alias("of_source"), "source_size", "target", "before",
+        F.coalesce(F.floor(given / F.col("words")).cast("long"), F.lit(0)).alias("times"), start.alias("extra_from"),
+        (start + F.pmod(given, F.col("words"))).alias("extra_to"), F.col("words").alias("around"),
     ), "cells")
-    stream = Window.partitionBy("shard", "source").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", "number")
-    last = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = dealt.withColumn("last", last).join(cells, same).withColumn("first", F.col("last") - F.col("size"))
+    stream = Window.partitionBy("part", "source").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", "number")
+    running = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    in_cell = (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("of_source"))
+    placed = dealt.withColumn("running", running).join(cells, in_cell)
+    placed = placed.withColumn("last", F.col("before") + F.col("running")).withColumn("first", F.col("last") - F.col("size"))
 
     def within(low: Column, high: Column) -> tuple[Column, Column]:
         """The part of [low, high) of the stream that lies in the document, counted from its first word."""
