@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import trellis.llm.exact_dedup as exact_dedup
 import trellis.llm.html_text as html_text
 import trellis.llm.mixing as mixing
 import trellis.llm.packing as packing
+import trellis.llm.periodic as periodic
 import trellis.llm.pii as pii
 import trellis.llm.quality as quality
 import trellis.llm.simhash as simhash
 import trellis.llm.token_counts as token_counts
 import trellis.llm.toxicity as toxicity
 import trellis.llm.warc as warc
+from trellis.llm.common import SPACE, WORD, body
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +143,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """)
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("host_rate")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the ids, chosen by crc32, repeat a unit of their own words from some word on."""
+    blanks = F.lit(" \t\n\x0b\f\r")
+    code = F.crc32(F.col("doc_id").cast("string"))
+    words = F.split(F.btrim(body(F.col("text")), blanks), SPACE)
+    rows = docs.select("doc_id", body(F.col("text")).alias("text"), code.alias("h"))
+    chosen = (F.col("h") % 10 == 0) & F.col("text").rlike(WORD)
+    rows = rows.withColumn("words", F.when(chosen, words)).withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), F.col("n") - F.col("a"))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find(with_planted_periods(table(spark, folder, "documents")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    found = found.select(F.col("row.doc_id").alias("doc_id"), F.array_max(order).alias("best"), F.size("runs").cast("long").alias("n_runs"),
+                         listed.alias("listed"), "collapsed")
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
