@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import trellis.llm.centroids as centroids
 import trellis.llm.exact_dedup as exact_dedup
 import trellis.llm.html_text as html_text
 import trellis.llm.mixing as mixing
@@ -19,6 +20,7 @@ import trellis.llm.token_counts as token_counts
 import trellis.llm.toxicity as toxicity
 import trellis.llm.warc as warc
 from trellis.llm.common import SPACE, WORD, body
+from trellis.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -176,3 +178,40 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+def _lloyd_sql(k: int = 16, rounds: int = 3) -> str:
+    """Lloyd's rounds written out: assignment ``a<i>`` to centroids ``c<i>``, and the next centroids from it."""
+    parts = [f"""
+v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))::BIGINT) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+    SELECT c, x FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x FROM v) WHERE c < {k}
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min(d * {k} + c) AS best FROM (
+        SELECT r, vec_id, v.x AS x, c,
+               list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - m.x[i]) * (v.x[i] - m.x[i])))::BIGINT AS d FROM v, c{i} AS m
+    ) GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+    SELECT c, list((s - (((s % n) + n) % n)) // n ORDER BY p)::BIGINT[] AS x
+    FROM (SELECT c, p, sum(e) AS s, count(*) AS n FROM (SELECT best % {k} AS c, unnest(x) AS e, unnest(range(64)) AS p FROM a{i}) GROUP BY c, p) GROUP BY c
+), c{i + 1} AS (SELECT o.c, coalesce(s.x, o.x) AS x FROM c{i} AS o LEFT JOIN s{i} AS s ON o.c = s.c)""")
+    return f"""
+WITH {", ".join(parts)}
+SELECT vec_id, CAST(best % {k} AS INTEGER) AS cluster, best // {k} AS distance,
+       CAST(sum(best // {k}) OVER (PARTITION BY best % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(best // {k}) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} AS m ON best % {k} = m.c
+"""
+
+
+@query(_lloyd_sql())
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    found, centres = centroids.cluster(table(spark, folder, "embeddings"), k=16, rounds=3, dimensions=64, scratch=scratch)
+    return centroids.with_inertia(found, centres, scratch)
