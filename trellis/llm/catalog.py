@@ -11,6 +11,7 @@ import trellis.llm.centroids as centroids
 import trellis.llm.exact_dedup as exact_dedup
 import trellis.llm.html_text as html_text
 import trellis.llm.mixing as mixing
+import trellis.llm.mixture as mixture
 import trellis.llm.packing as packing
 import trellis.llm.periodic as periodic
 import trellis.llm.pii as pii
@@ -215,3 +216,8 @@ def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     found, centres = centroids.cluster(table(spark, folder, "embeddings"), k=16, rounds=3, dimensions=64, scratch=scratch)
     return centroids.with_inertia(found, centres, scratch)
+
+
+@query()
+def op13_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.scored(table(spark, folder, "documents"))
