@@ -181,9 +181,9 @@ def test_fuzzy_names_lose_no_pair(spark):
         assert got == want
 
 
-def test_long_lists_come_in_parts(spark):
+def test_a_list_of_a_hot_key_is_one_row(spark):
     from trellis.operators.ordering import collect_lists
 
     rows = spark.range(25).selectExpr("if(id < 20, 'hot', 'cold') as k", "id as v")
-    got = {(r["k"], r["part"]): r["l"] for r in collect_lists(rows, ["k"], ["v"], "l", per_row=8).collect()}
-    assert got == {("hot", 0): list(range(8)), ("hot", 1): list(range(8, 16)), ("hot", 2): list(range(16, 20)), ("cold", 0): list(range(20, 25))}
+    got = {r["k"]: r["l"] for r in collect_lists(rows, ["k"], ["v"], "l").collect()}
+    assert got == {"hot": list(range(20)), "cold": list(range(20, 25))}

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer, OneHotEncoder, StandardScaler, StringIndexer, Tokenizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +52,7 @@ def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None)
     if categories is None:
         seen = df.select(column).distinct().dropna().orderBy(column).take(1001)
         if len(seen) > 1000:
-            raise ValueError(f"{column} has more than 1000 categories; use encode_by_descriptor")
+            raise ValueError(f"{column} has more than 1000 categories; use vocabulary.encode_by_descriptor")
         categories = [r[0] for r in seen]
     return df.withColumns(
         {f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in sorted(categories)}
@@ -68,32 +66,6 @@ def pad_vector(vector: str | Column, size: int) -> Column:
     return F.when(F.size(c) > size, F.raise_error(F.lit(f"vector is wider than {size}"))).otherwise(fits)
 
 
-def encode_by_descriptor(spec: Sequence[tuple[str, str]], out: str = "features") -> Pipeline:
-    """A pipeline from (column, kind): number, category or text -> one vector."""
-    stages, parts = [], []
-    numbers = [c for c, kind in spec if kind == "number"]
-    if numbers:
-        stages += [
-            VectorAssembler(inputCols=numbers, outputCol="_numbers", handleInvalid="keep"),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True),
-        ]
-        parts.append("_scaled")
-    for c, kind in spec:
-        if kind == "category":
-            stages += [
-                StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc"),
-                OneHotEncoder(inputCol=f"_i_{c}", outputCol=f"_o_{c}"),
-            ]
-            parts.append(f"_o_{c}")
-        elif kind == "text":
-            stages += [
-                Tokenizer(inputCol=c, outputCol=f"_t_{c}"),
-                CountVectorizer(inputCol=f"_t_{c}", outputCol=f"_v_{c}", vocabSize=1000),
-            ]
-            parts.append(f"_v_{c}")
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol=out)])
-
-
 def hash_split(df: DataFrame, key: str, shares: dict[str, float], seed: int = 0, out: str = "split") -> DataFrame:
     """Random split by hash of the key: the same rows on any partitioning."""
     bucket = hash_bucket(key, seed)

@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IDF, PCA, CountVectorizer, HashingTF, RegexTokenizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -111,26 +111,6 @@ def pca_reduce(df: DataFrame, vector: str, components: int, out: str = "componen
     return model.transform(staged).withColumn(out, vector_to_array("_pca")).drop("_raw", "_centred", "_pca")
 
 
-def text_features(df: DataFrame, text: str, how: str = "tfidf", vocabulary: int = 2000, out: str = "features") -> Pipeline:
-    """Unfitted stages: ``bow`` counts, ``tfidf`` counts with idf, ``hashed`` hashed counts with idf."""
-    tokens = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+")
-    if how == "bow":
-        return Pipeline(stages=[tokens, CountVectorizer(inputCol="_tokens", outputCol=out, vocabSize=vocabulary)])
-    count = (
-        CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocabulary)
-        if how == "tfidf"
-        else HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=vocabulary)
-    )
-    return Pipeline(stages=[tokens, count, IDF(inputCol="_tf", outputCol=out)])
-
-
-def text_classifier(df: DataFrame, text: str, label: str, vocabulary: int = 2000):
-    """Fitted tokens -> tf-idf -> multinomial naive Bayes."""
-    features = text_features(df, text, "tfidf", vocabulary)
-    model = NaiveBayes(modelType="multinomial", labelCol=label)
-    return Pipeline(stages=[*features.getStages(), model]).fit(df)
-
-
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
     return df.agg(F.avg((F.col(label).cast("double") == F.col(prediction).cast("double")).cast("double"))).first()[0]
 

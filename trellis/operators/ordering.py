@@ -98,13 +98,8 @@ def row_number_within(
     )
 
 
-TOP_ROWS = 100_000  # up to here a range is cut from the sorted top, beyond it by position
-
-
 def row_range(df: DataFrame, order_by: Sequence[str | Column], start: int, stop: int) -> DataFrame:
     """Rows at positions start..stop (0-based, stop not included) of a total order."""
-    if stop <= TOP_ROWS:
-        return df.orderBy(*order_by).limit(stop).offset(start)
     numbered = global_row_number(df, order_by, "_rn")
     return numbered.filter((F.col("_rn") > start) & (F.col("_rn") <= stop)).drop("_rn")
 
@@ -146,16 +141,18 @@ def running_last(
     )
 
 
-def collect_lists(
-    df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str, per_row: int = 100_000
-) -> DataFrame:
-    """COLLECT per key, in the order of ``values``: ``keys, part, <out>``. A group above
-    ``per_row`` values comes as several rows (part 0, 1, …), so no row grows without bound."""
-    numbered = row_number_within(df.select(*keys, *values), keys, values, "_rn")
-    rows = numbered.withColumn("part", F.floor((F.col("_rn") - 1) / per_row).cast("bigint"))
-    lists = rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("_rn", *values))).alias("_l"))
-    pick = (lambda e: e[values[0]]) if len(values) == 1 else (lambda e: F.struct(*[e[v].alias(v) for v in values]))
-    return lists.select(*keys, "part", F.transform("_l", pick).alias(out))
+def collect_lists(df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str) -> DataFrame:
+    """COLLECT per key, in the order of ``values``: ``keys, <out>``, one row per key.
+
+    Two levels: rows are range-partitioned on keys and values, so a hot key spans many ranges, and each range sorts the part of a
+    list that it holds. The parts of a key are then put behind each other in the order of their ranges; the last step
+    moves one row per key and range and sorts nothing but these. Null keys are a key, null values stay in the list."""
+    stored = _ranges(df.select(*keys, *values), [*keys, *values])
+    parts = stored.groupBy("_range", *keys).agg(F.sort_array(F.collect_list(F.struct(*values))).alias("_l"))
+    if len(values) == 1:
+        parts = parts.withColumn("_l", F.transform("_l", lambda e: e[values[0]]))
+    lists = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_range", "_l"))).alias("_parts"))
+    return lists.select(*keys, F.flatten(F.transform("_parts", lambda p: p["_l"])).alias(out))
 
 
 def drop_every_second(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:

@@ -103,7 +103,7 @@ def _(t):
     return match.semi_pattern(t.orders, flagged, ["o_custkey"]).select("o_orderkey")
 
 
-@query("optional_match", """SELECT c_custkey, CAST(0 AS BIGINT) AS part, coalesce(list_aggregate(list_sort(list(o_orderkey) FILTER (o_orderkey IS NOT NULL)), 'string_agg', ','), '') AS orders
+@query("optional_match", """SELECT c_custkey, coalesce(list_aggregate(list_sort(list(o_orderkey) FILTER (o_orderkey IS NOT NULL)), 'string_agg', ','), '') AS orders
   FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 450000 GROUP BY 1""")
 def _(t):
     dear = t.orders.filter("o_totalprice > 450000").select(C("o_custkey").alias("c_custkey"), "o_orderkey")
@@ -322,11 +322,11 @@ def _(t):
     )
 
 
-@query("collect", """SELECT o_custkey, CAST(0 AS BIGINT) AS part, string_agg(strftime(o_orderdate, '%Y-%m-%d') || ':' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS orders FROM orders GROUP BY 1""")
+@query("collect", """SELECT o_custkey, string_agg(strftime(o_orderdate, '%Y-%m-%d') || ':' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS orders FROM orders GROUP BY 1""")
 def _(t):
     lists = collect_lists(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "l")
     text = F.transform("l", lambda s: F.concat_ws(":", F.date_format(s["o_orderdate"], "yyyy-MM-dd"), s["o_orderkey"]))
-    return lists.select("o_custkey", "part", F.array_join(text, ",").alias("orders"))
+    return lists.select("o_custkey", F.array_join(text, ",").alias("orders"))
 
 
 @query("collect_distinct", """SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types, count(DISTINCT p_size) AS sizes FROM part GROUP BY 1""")
@@ -336,10 +336,10 @@ def _(t):
     )
 
 
-@query("string_agg", """SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(role, ' ' ORDER BY turn, role) AS roles FROM conversations GROUP BY 1""")
+@query("string_agg", """SELECT conv_id, string_agg(role, ' ' ORDER BY turn, role) AS roles FROM conversations GROUP BY 1""")
 def _(t):
     lists = collect_lists(t.conversations, ["conv_id"], ["turn", "role"], "l")
-    return lists.select("conv_id", "part", F.array_join(F.transform("l", lambda s: s["role"]), " ").alias("roles"))
+    return lists.select("conv_id", F.array_join(F.transform("l", lambda s: s["role"]), " ").alias("roles"))
 
 
 @query("unwind", """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY 1""")

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from trellis.functions import udf as D
 from trellis.model import stack
 from trellis.operators import evaluation as V
 from trellis.operators import features as E
+from trellis.functions.scalar import hash_bucket
 from trellis.operators import models as M
-from trellis.plans.catalog_tables import BUCKET
+from trellis.operators import vocabulary as W
+from trellis.plans.catalog_tables import BUCKET, TOKENS
 from trellis.plans.graphs import HAND_OVER, customers, hand_over
 from trellis.plans.registry import query
 from trellis.session import Scratch
@@ -62,10 +63,23 @@ def _(t):
     )
 
 
-@query("encode_by_descriptor")
+@query("encode_by_descriptor", """WITH w AS (SELECT unnest(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}_]+')) AS token, p_partkey FROM part),
+  d AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS i FROM (SELECT DISTINCT token FROM w)),
+  c AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS i FROM (SELECT DISTINCT p_type FROM part)),
+  k AS (SELECT (SELECT count(*) FROM c) AS cats, (SELECT count(*) FROM d) AS words),
+  t AS (SELECT p_partkey, count(DISTINCT token) AS n, sum(2 + cats + i) AS at, count(*) AS words FROM w JOIN d USING (token), k GROUP BY 1),
+  z AS (SELECT p_partkey, p_type, (p_size - avg(p_size) OVER ()) / stddev(p_size) OVER () + (p_retailprice - avg(p_retailprice) OVER ()) / stddev(p_retailprice) OVER () AS s FROM part)
+  SELECT z.p_partkey, CAST(2 + cats + k.words AS BIGINT) AS width, CAST(3 + n AS BIGINT) AS n_set, CAST(1 + 2 + c.i + t.at AS BIGINT) AS places,
+    round(s + 1 + t.words, 6) AS total FROM z JOIN c USING (p_type) JOIN t USING (p_partkey), k""")
 def _(t):
-    model = E.encode_by_descriptor([("p_size", "number"), ("p_retailprice", "number"), ("p_type", "category"), ("p_name", "text")]).fit(t.part)
-    return model.transform(t.part).select("p_partkey", F.size(vector_to_array("features")).alias("width"))
+    rows, width = W.encode_by_descriptor(
+        t.part, "p_partkey", [("p_size", "number"), ("p_retailprice", "number"), ("p_type", "category"), ("p_name", "text")]
+    )
+    places = F.aggregate(F.zip_with("indices", "values", lambda i, v: F.when(i < 2, i).otherwise(i * v.cast("bigint"))), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return rows.select(
+        "p_partkey", F.lit(width).cast("bigint").alias("width"), F.size("indices").cast("bigint").alias("n_set"), places.alias("places"),
+        F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
+    )
 
 
 SPLIT = f"CASE WHEN {BUCKET.format(seed=0, key='vec_id', n=1000)} < 700 THEN 'train' WHEN {BUCKET.format(seed=0, key='vec_id', n=1000)} < 800 THEN 'val' ELSE 'test' END"
@@ -157,29 +171,45 @@ def _(t):
     return _scored(t, lambda: M.naive_bayes("gaussian"))
 
 
-def _word_rows(t):
-    """Labelled documents with word counts."""
-    rows = t.documents.join(t.labels, "doc_id").select("doc_id", "text", C("quality").cast("double").alias("label"))
-    return M.text_features(rows, "text", "bow", 500).fit(rows).transform(rows)
+def _bayes_sql(kind: str) -> str:
+    """Naive Bayes over all tokens with two folds: counts by fold left out, token and class; scores; accuracies."""
+    if kind == "multinomial":
+        # A token unknown to the training folds is not in g and counts for nothing.
+        score = """SELECT x.fold, x.doc_id, x.y, k.c, ln((k.docs + 1) / (k.total + 2)) + coalesce(sum(n * (ln(g.t + 1) - ln(k.terms + k.v))), 0) AS s
+          FROM x JOIN k ON k.fold = x.fold LEFT JOIN tok ON tok.doc_id = x.doc_id LEFT JOIN g ON g.fold = x.fold AND g.token = tok.token AND g.c = k.c
+          GROUP BY x.fold, x.doc_id, x.y, k.c, k.docs, k.total"""
+    else:
+        score = """SELECT x.fold, x.doc_id, x.y, k.c, ln((k.docs + 1) / (k.total + 2)) + k.absent + coalesce(sum(ln(g.d + 1) - ln(k.docs - g.d + 1)), 0) AS s
+          FROM x JOIN k ON k.fold = x.fold LEFT JOIN tok ON tok.doc_id = x.doc_id LEFT JOIN g ON g.fold = x.fold AND g.token = tok.token AND g.c = k.c
+          GROUP BY x.fold, x.doc_id, x.y, k.c, k.docs, k.total, k.absent"""
+    return f"""WITH x AS MATERIALIZED (SELECT doc_id, text, quality AS y, {BUCKET.format(seed=0, key="doc_id", n=2)} AS fold FROM documents JOIN labels USING (doc_id)),
+  tok AS MATERIALIZED (SELECT doc_id, y, fold, token, count(*) AS n FROM (SELECT doc_id, y, fold, unnest({TOKENS}) AS token FROM x) GROUP BY ALL),
+  f AS (SELECT DISTINCT fold FROM x),
+  words AS (SELECT f.fold, token, sum(n) FILTER (y = 0) AS t0, sum(n) FILTER (y = 1) AS t1, count(*) FILTER (y = 0) AS d0, count(*) FILTER (y = 1) AS d1
+    FROM f JOIN tok ON tok.fold <> f.fold GROUP BY ALL),
+  g AS MATERIALIZED (SELECT fold, token, 0 AS c, coalesce(t0, 0) AS t, d0 AS d FROM words UNION ALL SELECT fold, token, 1, coalesce(t1, 0), d1 FROM words),
+  sizes AS (SELECT f.fold, y AS c, count(*) AS docs FROM f JOIN x ON x.fold <> f.fold GROUP BY ALL),
+  k AS MATERIALIZED (SELECT s.fold, s.c, s.docs, sum(s.docs) OVER (PARTITION BY s.fold) AS total, q.terms, q.v, q.absent FROM sizes s JOIN
+    (SELECT g.fold, g.c, sum(t) AS terms, count(*) AS v, sum(ln((z.docs - d + 1) / (z.docs + 2))) AS absent FROM g JOIN sizes z ON z.fold = g.fold AND z.c = g.c GROUP BY ALL) q
+    ON q.fold = s.fold AND q.c = s.c),
+  score AS ({score}),
+  best AS (SELECT fold, doc_id, y, c FROM score QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, c) = 1)
+  SELECT CAST(fold AS BIGINT) AS fold, count(*) AS num_test, avg((y = c)::INT) AS accuracy FROM best GROUP BY 1"""
 
 
-@query("naive_bayes_multinomial")
-def _(t):
-    rows = _word_rows(t)
-    return M.kfold_eval(rows, "doc_id", lambda: M.naive_bayes("multinomial"), 2)
+def _bayes(t, kind: str):
+    rows = t.documents.join(t.labels, "doc_id").select("doc_id", "text", C("quality").alias("label"))
+    return W.naive_bayes_folds(rows, "doc_id", "text", "label", hash_bucket("doc_id", 0, 2), 2, kind)
 
 
-@query("naive_bayes_bernoulli")
+@query("naive_bayes_multinomial", _bayes_sql("multinomial"))
 def _(t):
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
-    from pyspark.ml import Pipeline
+    return _bayes(t, "multinomial")
 
-    rows = t.documents.join(t.labels, "doc_id").select("doc_id", "text", C("quality").cast("double").alias("label"))
-    words = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="w", pattern=r"[^\p{L}\p{N}_]+"),
-        CountVectorizer(inputCol="w", outputCol="features", vocabSize=500, binary=True),
-    ])
-    return M.kfold_eval(words.fit(rows).transform(rows), "doc_id", lambda: M.naive_bayes("bernoulli"), 2)
+
+@query("naive_bayes_bernoulli", _bayes_sql("bernoulli"))
+def _(t):
+    return _bayes(t, "bernoulli")
 
 
 @query("decision_tree")
@@ -226,24 +256,43 @@ def _(t):
     return M.grid_search(vectors(t), "vec_id", lr, {lr.regParam: [0.0, 0.1]}, 2, "binary")
 
 
-@query("bag_of_words_features")
+DICTIONARY = f"""tok AS MATERIALIZED (SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({TOKENS}) AS token FROM documents) GROUP BY ALL),
+  d AS MATERIALIZED (SELECT token, count(*) AS documents, row_number() OVER (ORDER BY token) - 1 AS i FROM tok GROUP BY 1)"""
+
+
+@query("bag_of_words_features", f"""WITH {DICTIONARY}, b AS (SELECT doc_id, sum(n) AS words, count(*) AS n, sum(i) AS places FROM tok JOIN d USING (token) GROUP BY 1)
+  SELECT doc_id, CAST(coalesce(words, 0) AS DOUBLE) AS words, coalesce(n, 0) AS different_words, CAST(coalesce(places, 0) AS BIGINT) AS places FROM documents LEFT JOIN b USING (doc_id)""")
 def _(t):
-    rows = t.documents.select("doc_id", "text")
-    out = M.text_features(rows, "text", "bow", 1000).fit(rows).transform(rows)
-    return out.select("doc_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("words"))
+    rows, _words = W.bag_of_words(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return rows.select(
+        "doc_id", F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("words"), F.size("indices").cast("bigint").alias("different_words"),
+        F.aggregate("indices", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("places"),
+    )
 
 
-@query("tfidf_features")
+@query("tfidf_features", f"""WITH {DICTIONARY}, b AS (SELECT doc_id, max(n * ln(((SELECT count(*) FROM documents) + 1) / (documents + 1))) AS top, sum(n * ln(((SELECT count(*) FROM documents) + 1) / (documents + 1))) AS total
+  FROM tok JOIN d USING (token) GROUP BY 1)
+  SELECT doc_id, round(top, 6) AS top_weight, round(coalesce(total, 0), 4) AS total_weight FROM documents LEFT JOIN b USING (doc_id)""")
 def _(t):
-    rows = t.documents.select("doc_id", "text")
-    out = M.text_features(rows, "text", "hashed", 1024).fit(rows).transform(rows)
-    return out.select("doc_id", F.array_max(vector_to_array("features")).alias("top_weight"))
+    rows, _words = W.tfidf(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return rows.select(
+        "doc_id", F.round(F.array_max("values"), 6).alias("top_weight"),
+        F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 4).alias("total_weight"),
+    )
 
 
-@query("text_classifier")
+@query("text_classifier", f"""WITH {DICTIONARY}, x AS (SELECT doc_id, coalesce((lang = 'en')::INT, -1) AS y FROM documents),
+  w AS MATERIALIZED (SELECT doc_id, token, n * ln(((SELECT count(*) FROM documents) + 1) / (documents + 1)) AS n FROM tok JOIN d USING (token)),
+  words AS (SELECT token, coalesce(sum(n) FILTER (y = 0), 0) AS t0, coalesce(sum(n) FILTER (y = 1), 0) AS t1 FROM w JOIN x USING (doc_id) GROUP BY 1),
+  g AS MATERIALIZED (SELECT token, 0 AS c, t0 AS t FROM words UNION ALL SELECT token, 1, t1 FROM words),
+  k AS (SELECT c, docs, total, terms, v FROM (SELECT y AS c, count(*) AS docs, (SELECT count(*) FROM x) AS total FROM x GROUP BY 1) JOIN (SELECT c, sum(t) AS terms, count(*) AS v FROM g GROUP BY 1) USING (c)),
+  score AS (SELECT x.doc_id, x.y, k.c, ln((k.docs + 1) / (k.total + 2)) + coalesce(sum(n * (ln(g.t + 1) - ln(k.terms + k.v))), 0) AS s
+    FROM x CROSS JOIN k LEFT JOIN w ON w.doc_id = x.doc_id LEFT JOIN g ON g.token = w.token AND g.c = k.c GROUP BY x.doc_id, x.y, k.c, k.docs, k.total),
+  best AS (SELECT doc_id, y, c FROM score QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, c) = 1)
+  SELECT CAST(y AS BIGINT) AS label, CAST(c AS BIGINT) AS prediction, count(*) AS n FROM best GROUP BY 1, 2""")
 def _(t):
-    rows = t.documents.select("doc_id", "text", (C("lang") == "en").cast("double").alias("label"))
-    return M.text_classifier(rows, "text", "label", 500).transform(rows).groupBy("label", "prediction").agg(F.count("*").alias("n"))
+    rows = t.documents.select("doc_id", "text", F.coalesce((C("lang") == "en").cast("bigint"), F.lit(-1)).cast("bigint").alias("label"))
+    return W.text_classifier(rows, "doc_id", "text", "label").groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
 # --- evaluation -------------------------------------------------------------------------------
