@@ -546,41 +546,60 @@ def variable_length_paths(
     """Paths of ``min_hops..max_hops`` edges that use no edge twice, one row each:
     ``start, end, hops, nodes, edge_ids``.
 
-    ``edges``: src, dst, edge_id; ``starts`` and ``ends``: id. With ``ends`` the distance of every
-    node to the end set is found first, and a prefix is kept only while it can still arrive.
+    ``edges``: src, dst, edge_id; ``starts`` and ``ends``: id. With ``ends`` the search goes from both sides: distances from the starts
+    and to the ends are found first, half-paths grow from either side over nodes that still lie on a way of ``max_hops`` edges, and
+    the halves meet on their middle node. So the rows before the last join are those of half the length.
     """
     scratch = Scratch(edges.sparkSession)
     steps = scratch.put(_plain(edges, direction), "edges")
-    still = None if ends is None else scratch.put(_hops_to(steps, ends, max_hops, scratch), "distance")
-    rows = starts.select(
-        F.col("id").alias("start"),
-        F.col("id").alias("end"),
-        F.array("id").alias("nodes"),
-        F.expr("cast(array() as array<string>)").alias("edge_ids"),
-    )
-    if still is not None:
-        rows = rows.join(still.select(F.col("id").alias("end")), "end", "left_semi")
-    found = []
-    for hop in range(1, max_hops + 1):
-        grown = rows.join(steps.withColumnRenamed("src", "end"), "end").filter(
-            ~F.array_contains("edge_ids", F.col("edge_id"))
+    if ends is None:
+        halves = _grown_paths(steps, starts, max_hops, None, scratch, "out")
+        return stack(rows.withColumn("hops", F.lit(hop).cast("bigint")) for hop, rows in enumerate(halves) if hop >= max(min_hops, 1)).select(
+            F.col("first").alias("start"), F.col("last").alias("end"), "hops", "nodes", "edge_ids"
         )
-        if still is not None:
-            left = still.select(F.col("id").alias("dst"), "away").filter(F.col("away") <= max_hops - hop)
-            grown = grown.join(left.select("dst"), "dst", "left_semi")
-        rows = scratch.put(
-            grown.select(
-                "start",
-                F.col("dst").alias("end"),
-                F.array_append("nodes", F.col("dst")).alias("nodes"),
-                F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids"),
-            ),
-            f"paths_{hop}",
+    backward = steps.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_id")
+    to_go = scratch.put(_hops_to(steps, ends, max_hops, scratch), "to_go")
+    gone = scratch.put(_hops_to(backward, starts, max_hops, scratch), "gone")
+    on_way = to_go.withColumnRenamed("away", "_to").join(gone.withColumnRenamed("away", "_from"), "id").filter(F.col("_to") + F.col("_from") <= max_hops)
+    on_way = scratch.put(on_way, "on_way")
+    forth = (max_hops + 1) // 2
+    out = _grown_paths(steps, starts, forth, on_way.select("id", F.col("_to").alias("_left")), scratch, "out", max_hops)
+    back = _grown_paths(backward, ends, max_hops - forth, on_way.select("id", F.col("_from").alias("_left")), scratch, "back", max_hops)
+    found = []
+    for hop in range(max(min_hops, 1), max_hops + 1):
+        half = (hop + 1) // 2
+        tail = back[hop - half].select(
+            F.col("first").alias("end"), F.col("last").alias("_middle"), F.reverse("nodes").alias("_nodes"), F.reverse("edge_ids").alias("_edges")
         )
-        if hop >= min_hops:
-            done = rows if ends is None else rows.join(ends.select(F.col("id").alias("end")), "end", "left_semi")
-            found.append(done.withColumn("hops", F.lit(hop).cast("bigint")))
-    return stack(f.select("start", "end", "hops", "nodes", "edge_ids") for f in found)
+        met = out[half].join(tail, F.col("last") == F.col("_middle")).filter(~F.arrays_overlap("edge_ids", "_edges"))
+        found.append(met.select(
+            F.col("first").alias("start"), "end", F.lit(hop).cast("bigint").alias("hops"),
+            F.concat("nodes", F.slice("_nodes", F.lit(2), F.size("_nodes"))).alias("nodes"), F.concat("edge_ids", "_edges").alias("edge_ids"),
+        ))
+    return stack(found)
+
+
+def _grown_paths(
+    steps: DataFrame, starts: DataFrame, most: int, left: DataFrame | None, scratch: Scratch, name: str, within: int = 0
+) -> list[DataFrame]:
+    """For 0 to ``most`` edges the paths from ``starts``: ``first, last, nodes, edge_ids``. ``left``: ``id, _left``, the only nodes to
+    visit and the edges that at least follow, of ``within`` in all."""
+    rows = starts.select(
+        F.col("id").alias("first"), F.col("id").alias("last"), F.array("id").alias("nodes"), F.expr("cast(array() as array<string>)").alias("edge_ids")
+    )
+    if left is not None:
+        rows = rows.join(left.select(F.col("id").alias("last")), "last", "left_semi").select("first", "last", "nodes", "edge_ids")
+    grown = [scratch.put(rows, f"{name}_0")]
+    for hop in range(1, most + 1):
+        further = grown[-1].join(steps.withColumnRenamed("src", "last"), "last").filter(~F.array_contains("edge_ids", F.col("edge_id")))
+        if left is not None:
+            alive = left.filter(F.col("_left") <= within - hop).select(F.col("id").alias("dst"))
+            further = further.join(alive, "dst", "left_semi")
+        grown.append(scratch.put(further.select(
+            "first", F.col("dst").alias("last"), F.array_append("nodes", F.col("dst")).alias("nodes"),
+            F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids"),
+        ), f"{name}_{hop}"))
+    return grown
 
 
 def path_listing(*args, **kwargs) -> DataFrame:

@@ -107,18 +107,71 @@ def shortest_path_tree(
     )
 
 
+def _next_steps(steps: DataFrame, away: DataFrame) -> DataFrame:
+    """``src, next``: from every node that reaches the target the smallest next node on a cheapest way there."""
+    return (
+        steps.join(away.select(F.col("id").alias("dst"), F.col("dist").alias("_to")), "dst")
+        .join(away.select(F.col("id").alias("src"), F.col("dist").alias("_from")), "src")
+        .filter(F.col("w") + F.col("_to") == F.col("_from"))
+        .groupBy("src")
+        .agg(F.min("dst").alias("next"))
+    )
+
+
+def _followed(rows: DataFrame, tree: DataFrame, target, most: int | None, scratch: Scratch) -> DataFrame:
+    """``cost, nodes`` of the rows (``at, cost, nodes``) that reach the target along the tree, without a loop and with
+    at most ``most`` edges."""
+    there = None
+    for turn in turns(most):
+        arrived = rows.filter((F.col("at") == F.lit(target)) & ((F.size("nodes") - 1 <= most) if most else F.lit(True))).select("cost", "nodes")
+        there = arrived if there is None else there.unionByName(arrived)
+        going = rows.filter(F.col("at") != F.lit(target)).join(tree.withColumnRenamed("src", "at"), "at")
+        going = going.filter(~F.array_contains("nodes", F.col("next")))
+        rows = scratch.put(
+            going.select(F.col("next").alias("at"), "cost", F.array_append("nodes", F.col("next")).alias("nodes")), f"followed_{turn}"
+        )
+        if not rows.take(1):
+            return there
+    return there.unionByName(rows.filter((F.col("at") == F.lit(target)) & (F.size("nodes") - 1 <= most)).select("cost", "nodes"))
+
+
+def _deviations(steps: DataFrame, away: DataFrame, start, target, most: int | None, scratch: Scratch) -> DataFrame:
+    """``cost, nodes`` of the tree's path from start to target and of the loopless paths that leave it once: along some other edge,
+    and from that edge's end along the tree again."""
+    kinds = dict(steps.dtypes)
+    tree = scratch.put(_next_steps(steps, away), "tree")
+    first = steps.sparkSession.range(1).select(
+        F.lit(start).cast(kinds["src"]).alias("at"), F.lit(0).cast(kinds["w"]).alias("cost"), F.array(F.lit(start).cast(kinds["src"])).alias("nodes")
+    ).join(away.select(F.col("id").alias("at"), F.col("dist").alias("_d")), "at").select("at", F.col("_d").alias("cost"), "nodes")
+    main = scratch.put(_followed(first, tree, target, most, scratch), "main")
+    # One row per node of the path but the last, with the path up to there; each is joined with its edges.
+    places = main.select("cost", "nodes", F.posexplode("nodes").alias("_i", "at")).filter(F.col("at") != F.lit(target)).select(
+        "cost", "at", F.slice("nodes", F.lit(1), F.col("_i") + 1).alias("before"), F.get("nodes", F.col("_i") + 1).alias("_on")
+    )
+    sides = (
+        places.join(steps.withColumnRenamed("src", "at"), "at").filter((F.col("dst") != F.col("_on")) & ~F.array_contains("before", F.col("dst")))
+        .join(away.select(F.col("id").alias("dst"), F.col("dist").alias("_to")), "dst")
+        .join(away.select(F.col("id").alias("at"), F.col("dist").alias("_from")), "at")
+        .select(F.col("dst").alias("at"), (F.col("cost") + F.col("w") + F.col("_to") - F.col("_from")).alias("cost"), F.array_append("before", F.col("dst")).alias("nodes"))
+    )
+    left = _followed(scratch.put(sides, "sides"), tree, target, most, scratch)
+    return scratch.put(main.unionByName(left).distinct(), "deviations")
+
+
 def ksssp(
-    edges: DataFrame, start, target, k: int, weight: str | None = None, max_iterations: int = 20
+    edges: DataFrame, start, target, k: int, weight: str | None = None, max_iterations: int | None = None
 ) -> DataFrame:
-    """The ``k`` cheapest loopless paths of at most ``max_iterations`` edges: ``rank, cost, hops,
-    path``, ties in path order.
+    """The ``k`` cheapest loopless paths, of at most ``max_iterations`` edges if given: ``rank, cost, hops, path``, ties in path order.
 
-    Prefixes grow edge by edge. A prefix is kept while its cost plus the distance from its end to
-    the target is no more than the cost of the k-th complete path known, so no answer is lost.
+    First the tree of cheapest ways to the target, over reversed edges. It gives every node's distance to go, and complete paths at
+    once: the tree's own from the start, and all that leave it along one edge and follow the tree again. The cost of the k-th of these is
+    a bound before any search. Prefixes then grow edge by edge, and one is kept only while its cost plus the distance to go is
+    within the bound, which paths that arrive lower further; so no answer is lost, and where the bound is tight few prefixes are
+    looked at however large the graph. If fewer than ``k`` such paths exist, there is no bound until ``k`` have arrived.
     """
     scratch = Scratch(edges.sparkSession)
     spark = edges.sparkSession
-    steps = scratch.put(weighted_edges(edges, weight), "edges")
+    steps = scratch.put(weighted_edges(edges, weight).filter("src <> dst"), "edges")
     kinds = dict(steps.dtypes)
     backward = steps.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
     end = spark.range(1).select(F.lit(target).cast(kinds["src"]).alias("id"))
@@ -127,9 +180,10 @@ def ksssp(
         F.lit(start).cast(kinds["src"]).alias("at"), F.lit(0).cast(kinds["w"]).alias("cost"),
         F.array(F.lit(start).cast(kinds["src"])).alias("nodes"),
     )
+    known = _deviations(steps, away, start, target, max_iterations, scratch).orderBy("cost").limit(k).agg(F.count("*"), F.max("cost")).first()
+    bound = known[1] if known[0] == k else None
     done = None
-    bound = None
-    for hop in range(1, max_iterations + 1):
+    for hop in turns(max_iterations):
         grown = (
             rows.withColumnRenamed("at", "src")
             .join(steps, "src")

@@ -8,7 +8,7 @@ from trellis.functions.text import tokenize
 from trellis.model import PropertyGraph
 from trellis.operators import centrality, community, mutate, paths, similarity
 from trellis.operators.match import Hop, Node, match_path
-from trellis.plans.graphs import HAND_OVER, RETURNS, customers, hand_over, returns, supply
+from trellis.plans.graphs import HAND_OVER, customers, hand_over, supply
 from trellis.plans.registry import query
 from trellis.sources.frames import edges_from_dataframe, nodes_from_dataframe
 
@@ -81,22 +81,33 @@ def _(t):
     return paths.bfs(customers(t), hand_over(t), busiest(hand_over(t)))
 
 
-# Lists paths, so it asks about the returns. The target is the largest id at the greatest distance within four hops
-FAR = "far AS (SELECT id FROM d4 WHERE d = (SELECT max(d) FROM d4) ORDER BY id DESC LIMIT 1)"
+# The target is the largest id at the greatest number of hops. Walks are pruned by the distance to go (n0..nN, over reversed edges) and a
+# bound of ``SLACK`` above the cheapest cost, within which there must be five paths.
+FAR = f"far AS (SELECT id FROM d{ROUNDS} WHERE d = (SELECT max(d) FROM d{ROUNDS}) ORDER BY id DESC LIMIT 1)"
+SLACK = 12
 
 
-@query("ksssp", f"""WITH RECURSIVE {RETURNS}, {busiest_sql("returns")}, {relax(4, '1', 'returns')}, {FAR},
-  light AS (SELECT src, dst, min(qty) AS q FROM returns GROUP BY ALL),
+def to_go(rounds: int) -> str:
+    steps = "light AS MATERIALIZED (SELECT src, dst, min(qty) AS q FROM hand_over WHERE src <> dst GROUP BY ALL), n0 AS MATERIALIZED (SELECT id, CAST(0 AS BIGINT) AS n FROM far)"
+    for i in range(rounds):
+        steps += f""", n{i + 1} AS MATERIALIZED (SELECT id, min(n) AS n FROM (SELECT id, n FROM n{i}
+  UNION ALL SELECT src, n + q FROM n{i} JOIN light ON dst = id) GROUP BY id)"""
+    return steps
+
+
+@query("ksssp", f"""WITH RECURSIVE {HAND_OVER}, {busiest_sql()}, {relax(ROUNDS, '1')}, {FAR}, {to_go(ROUNDS)},
+  cheapest AS (SELECT n FROM n{ROUNDS} JOIN start USING (id)),
   walk AS (SELECT id AS tip, CAST(0 AS BIGINT) AS cost, [id] AS nodes FROM start
-    UNION ALL SELECT dst, cost + q, list_append(nodes, dst) FROM walk JOIN light ON src = tip
-    WHERE len(nodes) <= 6 AND NOT list_contains(nodes, dst) AND tip <> (SELECT id FROM far)),
+    UNION ALL SELECT dst, cost + q, list_append(nodes, dst) FROM walk JOIN light ON src = tip JOIN n{ROUNDS} g ON g.id = dst
+    WHERE cost + q + g.n <= (SELECT n FROM cheapest) + {SLACK} AND NOT list_contains(nodes, dst) AND tip <> (SELECT id FROM far)),
   done AS (SELECT CAST(cost AS BIGINT) AS cost, CAST(len(nodes) - 1 AS BIGINT) AS hops, array_to_string(nodes, '>') AS path FROM walk WHERE tip = (SELECT id FROM far))
-  SELECT row_number() OVER (ORDER BY cost, path) AS rank, * FROM done ORDER BY cost, path LIMIT 5""")
+  SELECT row_number() OVER (ORDER BY cost, path) AS rank, * FROM done
+  WHERE CASE WHEN (SELECT count(*) FROM done) >= 5 THEN true ELSE error('fewer than five paths within the bound') END ORDER BY cost, path LIMIT 5""")
 def _(t):
-    start = busiest(returns(t))
-    levels = paths.sssp(customers(t), returns(t), start, None, 4)
-    far = levels.filter("distance is not null").orderBy(C("distance").desc(), C("id").desc()).first()[0]
-    return paths.ksssp(returns(t), start, far, 5, "qty", 6)
+    start = busiest(hand_over(t))
+    levels = paths.bfs(customers(t), hand_over(t), start)
+    far = levels.filter("level is not null").orderBy(C("level").desc(), C("id").desc()).first()[0]
+    return paths.ksssp(hand_over(t), start, far, 5, "qty")
 
 
 @query("random_walks")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trellis.operators import clean, match, stats
 from trellis.operators.match import Hop, Node
 from trellis.operators.ordering import collect_lists
-from trellis.plans.graphs import HAND_OVER, RETURNS, customers, hand_over, returns, supply
+from trellis.plans.graphs import HAND_OVER, HAND_OVER_IDS, customers, hand_over, supply
 from trellis.plans.registry import query
 
 C = F.col
@@ -170,33 +170,37 @@ def _(t):
     return second.select("p_brand", "l_suppkey").distinct().groupBy("p_brand").agg(F.count("*").alias("suppliers"))
 
 
-ENDS = "ends AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9500)"
+# Few starts and ends, chosen by their balance, on the whole hand-over graph.
+ENDS = "ends AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9800)"
 STARTS = "starts AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0)"
-PATHS = f"""WITH RECURSIVE {RETURNS}, {ENDS}, {STARTS}, walk AS (
-  SELECT id AS start, id AS tip, 0 AS hops, [id] AS nodes, CAST([] AS VARCHAR[]) AS eids FROM starts
-  UNION ALL SELECT start, dst, hops + 1, list_append(nodes, dst), list_append(eids, eid) FROM walk JOIN returns ON src = tip
-  WHERE hops < 4 AND NOT list_contains(eids, eid))"""
+LOWEST = "lowest AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal < -950)"
+HOPS = f"""{HAND_OVER_IDS}, {ENDS}, {LOWEST},
+  p1 AS (SELECT id AS start, dst AS tip, [id, dst] AS nodes, [eid] AS eids FROM lowest JOIN hand_over_ids ON src = id),
+  p2 AS (SELECT start, dst AS tip, list_append(nodes, dst) AS nodes, list_append(eids, eid) AS eids FROM p1 JOIN hand_over_ids ON src = tip WHERE NOT list_contains(eids, eid)),
+  p3 AS (SELECT start, dst AS tip, list_append(nodes, dst) AS nodes, list_append(eids, eid) AS eids FROM p2 JOIN hand_over_ids ON src = tip
+    WHERE NOT list_contains(eids, eid) AND dst IN (SELECT id FROM ends)),
+  walk AS (SELECT 1 AS hops, start, tip, nodes FROM p1 UNION ALL SELECT 2, start, tip, nodes FROM p2 UNION ALL SELECT 3, start, tip, nodes FROM p3)"""
 
 
 def _path_ends(t):
-    starts = t.customer.filter("c_acctbal < 0").select(C("c_custkey").alias("id"))
-    ends = t.customer.filter((C("c_mktsegment") == "MACHINERY") & (C("c_acctbal") > 9500)).select(C("c_custkey").alias("id"))
+    starts = t.customer.filter("c_acctbal < -950").select(C("c_custkey").alias("id"))
+    ends = t.customer.filter((C("c_mktsegment") == "MACHINERY") & (C("c_acctbal") > 9800)).select(C("c_custkey").alias("id"))
     return starts, ends
 
 
-@query("variable_length_paths", f"""{PATHS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, count(*) AS paths
-  FROM walk WHERE hops >= 1 AND tip IN (SELECT id FROM ends) GROUP BY ALL""")
+@query("variable_length_paths", f"""WITH {HOPS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, count(*) AS paths
+  FROM walk WHERE tip IN (SELECT id FROM ends) GROUP BY ALL""")
 def _(t):
     starts, ends = _path_ends(t)
-    rows = match.variable_length_paths(returns(t).withColumnRenamed("eid", "edge_id"), starts, 4, ends)
+    rows = match.variable_length_paths(hand_over(t).withColumnRenamed("eid", "edge_id"), starts, 3, ends)
     return rows.groupBy("start", "end", "hops").agg(F.count("*").alias("paths"))
 
 
-@query("path_listing", f"""{PATHS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(nodes, '>') AS path
-  FROM walk WHERE hops >= 1 AND hops <= 3 AND tip IN (SELECT id FROM ends)""")
+@query("path_listing", f"""WITH {HOPS} SELECT start, tip AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(nodes, '>') AS path
+  FROM walk WHERE tip IN (SELECT id FROM ends)""")
 def _(t):
     starts, ends = _path_ends(t)
-    return match.path_listing(returns(t).withColumnRenamed("eid", "edge_id"), starts, 3, ends)
+    return match.path_listing(hand_over(t).withColumnRenamed("eid", "edge_id"), starts, 3, ends)
 
 
 @query("reachable_set", f"""WITH RECURSIVE {HAND_OVER}, {STARTS}, r AS (SELECT id, 0 AS level FROM starts

@@ -1,7 +1,6 @@
 """Graphs derived from the input tables, each with the SQL that derives the same rows.
 
 * ``hand_over``: a part passes from one buyer to its next buyer (customer -> customer).
-* ``returns``: the same over returned items of 40 or more pieces, for queries that list every path.
 * ``trade``: customer nation -> supplier nation with counts.
 * ``supply``: the property graph of customers, orders, parts, suppliers, nations and regions.
 
@@ -31,16 +30,16 @@ hand_over AS (
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   WHERE dst IS NOT NULL)"""
 
-RETURNS = """
-returns AS (
-  SELECT src, dst, qty, price, eid FROM (
+# The same edges with their ids.
+HAND_OVER_IDS = """
+hand_over_ids AS (
+  SELECT src, dst, qty, eid FROM (
     SELECT o_custkey AS src,
            lead(o_custkey) OVER (PARTITION BY l_partkey
              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS dst,
-           CAST(l_quantity AS BIGINT) AS qty, l_extendedprice AS price,
+           CAST(l_quantity AS BIGINT) AS qty,
            concat_ws(':', CAST(l_partkey AS VARCHAR), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS eid
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_returnflag = 'R' AND l_quantity >= 40)
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   WHERE dst IS NOT NULL)"""
 
 TRADE = """
@@ -58,11 +57,8 @@ def _once(t: Tables, name: str, build) -> DataFrame:
     return _written[key]
 
 
-def _next_buyers(t: Tables, returned_only: bool) -> DataFrame:
-    lines = t.lineitem
-    if returned_only:
-        lines = lines.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40))
-    sold = lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+def _next_buyers(t: Tables) -> DataFrame:
+    sold = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "o_custkey"
     )
     pairs = next_row_pairs(
@@ -79,11 +75,7 @@ def _next_buyers(t: Tables, returned_only: bool) -> DataFrame:
 
 
 def hand_over(t: Tables) -> DataFrame:
-    return _once(t, "hand_over", lambda: _next_buyers(t, False))
-
-
-def returns(t: Tables) -> DataFrame:
-    return _once(t, "returns", lambda: _next_buyers(t, True))
+    return _once(t, "hand_over", lambda: _next_buyers(t))
 
 
 def customers(t: Tables) -> DataFrame:
