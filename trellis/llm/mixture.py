@@ -41,7 +41,7 @@ ORDERS = (1, 2, 3, 4)
 LONGEST = 6  # the bytes of the longest context in a word's tail
 HEAD = 3  # bytes of a word that are predicted from the class of the word before, too
 PREDICTORS = len(ORDERS) + 2
-SLOT_BITS = (16, 19, 20, 20, 22, 22)  # by predictor: contexts of few bytes have fewer values
+SLOT_BITS = (16, 18, 19, 20, 21, 21)  # by predictor: contexts of few bytes have fewer values
 STARTS = [0, *itertools.accumulate(1 << b for b in SLOT_BITS)]  # where each predictor's slots begin; their number
 CLASSES = 9  # the start of a text, and eight classes of a word by its last two bytes
 SHARE = 1e-6
@@ -257,7 +257,7 @@ def predictors(words: DataFrame, scratch: Scratch) -> np.ndarray:
 
 
 def odds_of(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.log((n1 + np.float32(PRIOR)) / (n0 + np.float32(PRIOR)))
+    return np.log((n1 + np.float32(PRIOR)) / (n0 + np.float32(PRIOR))).astype(np.float16)
 
 
 def trust_of(table: np.ndarray, less: int) -> np.ndarray:
@@ -280,7 +280,7 @@ class Inputs:
         n = len(bits.bit)
         odds = np.ones((PREDICTORS + 1, n), dtype=np.float32)
         for i, slots in enumerate(bits.slots):
-            np.take(table, 2 * slots + bits.bit if known else slots, out=odds[i], mode="clip")
+            odds[i] = table[2 * slots + bits.bit if known else slots]
         half = np.tile(np.repeat(np.arange(2, dtype=np.uint8), 4), n // 8)
         gate = trust[bits.slots[WHOLE] - STARTS[WHOLE]] * np.uint8(2) + half
         order = np.argsort(gate, kind="stable")
@@ -346,6 +346,7 @@ def mixing(words: DataFrame, table: np.ndarray, scratch: Scratch) -> tuple[np.nd
     sums = np.zeros((width + 1) * GATES + 2 * cells)
     for row in scratch.put(found, "mixing").collect():  # a model of fixed size
         sums[row["place"]] = row["value"]
+    held.unpersist()
     inner = width * GATES
     mass = sums[inner:inner + GATES, None]
     weights = np.where(mass > 0, sums[:inner].reshape(GATES, width) / np.maximum(mass, 1e-300), first_weights())
@@ -382,7 +383,9 @@ def word_scores(words: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
             logs[row, kind] = held.value.logs(bits, bits.unit[-1] + 1)[number] + tail[row]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words.total), *[pa.array(logs[:, i]) for i in range(CLASSES)]], names=["word", "c", *LOGS])
 
-    return scratch.put(words.mapInArrow(run, "word string, c long, " + ", ".join(f"{p} float" for p in LOGS)), "scores")
+    found = scratch.put(words.mapInArrow(run, "word string, c long, " + ", ".join(f"{p} float" for p in LOGS)), "scores")
+    held.unpersist()
+    return found
 
 
 def _summed(docs: DataFrame, id: str, text: str, scores: DataFrame, tokens_seen: int, types_seen: int, scratch: Scratch) -> DataFrame:
