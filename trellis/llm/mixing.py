@@ -71,7 +71,7 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     """``doc_id, size, source_size, target, taken`` for every row: the words of the text, of its source and those its source
     should give, and the words the mix takes of this document, repeats counted.
 
-    Null texts have no words and are never taken; a null source is a source; repeated rows are documents of
+    Null texts have no words and are never taken, and a source of such texts has target 0; a null source is a source; repeated rows are documents of
     their own; no document gives over twice its size; an empty table gives no rows. Results depend on
     the rows and the seed alone."""
     rows = docs.select(
@@ -113,8 +113,10 @@ def _placed(
     same = (F.col("shard") == F.col("in_shard")) & F.col("source").eqNullSafe(F.col("of_source"))
     cells = scratch.put(cells.join(quotas, same, "left").select(
         F.col("part").alias("in_part"), F.col("source").alias("of_source"), "source_size", "target", "before",
-        F.coalesce(F.floor(given / F.col("words")).cast("long"), F.lit(0)).alias("times"), start.alias("extra_from"),
-        (start + F.pmod(given, F.col("words"))).alias("extra_to"), F.col("words").alias("around"),
+        # A cell without words gives nothing.
+        F.when(F.col("words") > 0, F.coalesce(F.floor(F.try_divide(given, F.col("words"))).cast("long"), F.lit(0))).otherwise(0).alias("times"),
+        F.coalesce(start, F.lit(0)).alias("extra_from"),
+        F.coalesce(start + F.when(F.col("words") > 0, F.try_mod(given, F.col("words"))), F.lit(0)).alias("extra_to"), F.col("words").alias("around"),
     ), "cells")
     stream = Window.partitionBy("part", "source").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", "number")
     running = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
