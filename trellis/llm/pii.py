@@ -4,8 +4,10 @@ The base spans follow exact rules and always stand. Beside them generators propo
 like an address, a network address, a card or a telephone number, written with other marks, spelled-out signs or failing
 a check; proposals may overlap. Gradient-boosted trees, fitted on a bounded sample of documents, judge each proposal by
 its shape and the text around it. They tell the proposals that cover a base span from all others, which are unlabelled and not
-negative: true ones may be among them. What sets a base form apart from its other forms (signs and separators, plus sign, check digit,
-number range) is withheld from the features, so a true proposal in another form scores as the certain ones do. Each kind's threshold is calibrated
+negative: true ones may be among them. Only a proposal that fails what every true form must pass (check digit, number range, number of
+digits), or that covers a base span of another kind, is known to be wrong: it is learned as such, left out of the calibration and never
+selected. What sets a base form apart from its other forms (signs and separators, plus sign) is withheld from the features, so a true
+proposal in another form scores as the certain ones do. Each kind's threshold is calibrated
 on all documents not learned from, by counts of scores: as many unlabelled ones are taken to be true at a score as the covering
 ones there let expect (Elkan and Noto), and from the threshold on that is ``PRECISION`` of them. Of overlapping selected ones the best stays.
 """
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from trellis.llm.common import body, text_chunks
 
+PARTS = 1 << 62
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 8_000  # documents learned from, about
 LEAST_PROPOSALS = 100
@@ -125,6 +128,19 @@ def one_form(piece: str, kind: str) -> str:
     return groups.removeprefix("00").lstrip() if kind == "phone" else groups
 
 
+def impossible(piece: str, kind: str) -> bool:
+    """Whether the piece fails a check that every true form of its kind passes: check digit, range or number of digits."""
+    if kind == "email":
+        return False
+    groups = ["".join(str(int(c)) for c in g) for g in re.findall(r"\d+", one_form(piece, kind))]
+    digits = "".join(groups)
+    if kind == "card":
+        return not (12 <= len(digits) <= 19 and luhn(digits))
+    if kind == "ip":
+        return len(groups) != 4 or any(len(g.lstrip("0")) > 3 or int(g) > 255 for g in groups)
+    return not 9 <= len(digits) <= 15
+
+
 def features(text: str, span: tuple[int, str, int]) -> list[float]:
     """Shape and context; without what sets a base form apart from its other forms."""
     start, kind, end = span
@@ -158,6 +174,9 @@ class Taken:
         i = bisect_left(self.starts[kind], end)  # the last that starts before the end
         return i > 0 and self.ends[kind][i - 1] > start
 
+    def overlaps_any(self, span: tuple[int, str, int]) -> bool:
+        return any(self.overlaps((span[0], kind, span[2])) for kind in KINDS)
+
     def add(self, span: tuple[int, str, int]) -> None:
         start, kind, end = span
         i = bisect_left(self.starts[kind], start)
@@ -221,10 +240,18 @@ class Boosted:
         return 1 / (1 + np.exp(-z))
 
 
-def _proposed(text: str) -> tuple[list[list[float]], list[bool]]:
-    """Features of the text's proposals, and whether each covers a base span."""
-    base, found = Taken(base_spans(text)), proposals(text)
-    return [features(text, s) for s in found], [base.overlaps(s) for s in found]
+def _proposed(text: str) -> tuple[list[list[float]], list[int]]:
+    """Features of the text's proposals, and what is known of them: 1 covers a base span of its kind, -1 fails a check or covers one of
+    another kind only, 0 is unlabelled."""
+    spans, found = base_spans(text), proposals(text)
+    base = Taken(spans)
+
+    def known(span: tuple[int, str, int]) -> int:
+        if base.overlaps(span):
+            return 1
+        return -1 if impossible(text[span[0]:span[2]], span[1]) or base.overlaps_any(span) else 0
+
+    return [features(text, s) for s in found], [known(s) for s in found]
 
 
 def _sampled(docs: DataFrame, learned: Column) -> np.ndarray:
@@ -234,7 +261,7 @@ def _sampled(docs: DataFrame, learned: Column) -> np.ndarray:
         for batch in text_chunks(batches, "text"):
             rows = []
             for text in batch.column(0).to_pylist():
-                rows.extend([*x, float(y)] for x, y in zip(*_proposed(text)))
+                rows.extend([*x, float(y > 0)] for x, y in zip(*_proposed(text)))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["row"])
 
     sample = docs.filter(learned).select("text")
@@ -255,10 +282,10 @@ def _counted(docs: DataFrame, learned: Column, trees: Boosted) -> dict[int, list
         for batch in text_chunks(batches, "text"):
             counts: Counter = Counter()
             for text in batch.column(0).to_pylist():
-                x, certain = _proposed(text)
+                x, known = _proposed(text)
                 if x:
                     levels = level(model.value(np.array(x))).tolist()
-                    counts.update((int(row[-1]), at, covers) for row, at, covers in zip(x, levels, certain))
+                    counts.update((int(row[-1]), at, label > 0) for row, at, label in zip(x, levels, known) if label >= 0)
             columns = list(zip(*[(*key, n) for key, n in counts.items()])) or [(), (), (), ()]
             types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "level", "certain", "n"])
@@ -274,11 +301,15 @@ def _counted(docs: DataFrame, learned: Column, trees: Boosted) -> dict[int, list
     return counts
 
 
+def learned_from(rows: int, most: int = SAMPLE) -> Column:
+    """Whether a document is one of about ``3/4 * most``, at any number of rows: its hash lies in a share of 2^62 parts."""
+    by_id = F.xxhash64("doc_id").bitwiseAND(F.lit(PARTS - 1))
+    return (by_id < F.lit(int(PARTS * min(1.0, most / max(1, rows))))) & (by_id % 4 != 0)
+
+
 def fit(docs: DataFrame, most: int = SAMPLE) -> tuple[Boosted, list[float]] | None:
     """The trees and the least level of each kind; none if the sample has too little to learn from."""
-    share = min(1.0, most / max(1, docs.count()))
-    by_id = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    learned = (by_id < int(share * 1_000_000)) & (by_id % 4 != 0)
+    learned = learned_from(docs.count(), most)
     rows = _sampled(docs, learned)
     if len(rows) < LEAST_PROPOSALS:
         return None
@@ -308,9 +339,9 @@ def calibrated(counts: list[tuple[int, int, int]]) -> float:
 
 
 def all_spans(text: str, base: list[tuple[int, str, int]], model: tuple[Boosted, list[float]] | None) -> list[tuple[int, str, int]]:
-    """The base spans and the selected proposals that overlap none of their kind."""
+    """The base spans and the selected proposals that overlap no base span, nor a better one of their kind."""
     taken = Taken(base)
-    new = [s for s in proposals(text) if not taken.overlaps(s)] if model else []
+    new = [s for s in proposals(text) if not taken.overlaps_any(s) and not impossible(text[s[0]:s[2]], s[1])] if model else []
     if not new:
         return base
     trees, least = model
