@@ -5,10 +5,12 @@ space turned into single spaces, in page order. Each line has a text-to-tag rati
 tags opened or closed while it was read). The ratios, smoothed with a Gaussian, fall in two clusters:
 lines over a threshold between the cluster means are content. Regions hold all of them: every ``article`` or ``main``, if these hold
 most of the content's characters, with the smallest elements around the content lines elsewhere; else the smallest
-element that holds all content lines. All lines of the regions are the main text, short ones too, except those in elements that are never the article: menus, headers and
+element that holds all content lines. All lines of the regions are the main text, short ones too, except lines of links under the threshold
+that stand in no running text (menus without a name) and those in elements that are never the article: menus, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments, scripts and styles, known by
 element, ARIA role or words of the class or id. Forms and such words exclude an element only if it does not hold most of
-the page's content, and words exclude no heading or section within the region.
+the page's content, and words exclude no heading or section within the region. An element left open before the article is closed
+by it, or counts for nothing if it holds most of the page and that is not links.
 """
 
 from __future__ import annotations
@@ -66,21 +68,40 @@ ARTICLE_SHARE = 0.5
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # A marked element that holds more than this share of the page's content is not outside for its mark.
 MOST = 0.5
-# How surely an element is not the article: not at all, by its class or as a form (an article in it counts all the same), surely.
-WITHIN, MARKED_OUT, OUT = 0, 1, 2
+# How surely an element is not the article: not at all, by its class or as a form (an article in it counts all the same), by its
+# element or role, as reader comments.
+WITHIN, MARKED_OUT, OUT, SURELY_OUT = 0, 1, 2, 3
+# A line is links if they hold more than this share of its characters.
+LINKS = 0.8
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+# What an opening article or main closes: it never stands in them. The second may hold teasers that are articles.
+ENDED_BY_ARTICLE = set("nav button select textarea menu fieldset".split())
+ENDED_BY_MAIN = ENDED_BY_ARTICLE | {"aside", "dialog"}
+
+
+class Line:
+    """A block element's own text: its tags, its element's number, and how many of its characters stand in links."""
+
+    __slots__ = ("text", "tags", "element", "linked")
+
+    def __init__(self, text: str, tags: int, element: int, linked: int):
+        self.text, self.tags, self.element, self.linked = text, tags, element, linked
 
 
 class Lines(HTMLParser):
-    """Parser events to lines ``(text, tags, path)``; ``path`` numbers the open elements, whose own marks stand in ``marks``."""
+    """Parser events to lines. Elements are numbered in page order, so a parent's number is below its children's; ``names``,
+    ``marks`` and ``parents`` are by number. Every event takes constant time, however many elements are open: ``places`` has
+    for each name where on the stack it is open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # element, number, hidden
+        self.places: dict[str, list[int]] = {}
         self.names: list[str] = ["#page"]
         self.marks, self.parents = [WITHIN], [0]
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def _hidden(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
@@ -88,23 +109,30 @@ class Lines(HTMLParser):
     def _in_head(self) -> bool:
         return bool(self.stack) and self.stack[-1][0] == "head"
 
+    def _place(self, names) -> int:
+        """Where on the stack the innermost open element of these names is; -1 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
     def end_line(self) -> None:
         text = BLANKS.sub(" ", "".join(self.parts)).strip()
         self.parts = []
         if text:
-            self.lines.append((text, self.tags, (0, *(e[1] for e in self.stack))))
+            self.lines.append(Line(text, self.tags, self.stack[-1][1] if self.stack else 0, self.linked))
             self.tags = 0
+        self.linked = 0
+
+    def _close(self, place: int) -> None:
+        if any(e[0] not in INLINE for e in self.stack[place:]):
+            self.end_line()
+        for name, _, _ in reversed(self.stack[place:]):
+            self.places[name].pop()
+        del self.stack[place:]
 
     def _pop(self, tag: str, stop: set[str]) -> None:
         """Close the innermost open ``tag`` and all in it, unless one of ``stop`` is open further in."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if any(e[0] not in INLINE for e in self.stack[i:]):
-                    self.end_line()
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in stop:
-                return
+        place = self._place((tag,))
+        if place >= 0 and place >= self._place(stop):
+            self._close(place)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -113,7 +141,7 @@ class Lines(HTMLParser):
             return
         if tag == "body" or self._in_head() and tag not in HEAD:
             self._pop("head", {"template"})
-        if tag == "head" and (self.lines or any(e[0] == "body" for e in self.stack)):
+        if tag == "head" and (self.lines or self.places.get("body")):
             return
         if tag in CLOSES_P:
             self._pop("p", {"table", "td", "th", "button", "object"} | OUTSIDE)
@@ -121,6 +149,13 @@ class Lines(HTMLParser):
             own, stop = CLOSES_OWN[tag]
             for name in own:
                 self._pop(name, stop - {name})
+        if tag in ROOTS:
+            # Left open before the article; only what is open within an article already is left alone.
+            ended = ENDED_BY_MAIN if tag == "main" else ENDED_BY_ARTICLE
+            inside = self._place(ROOTS)
+            first = min((p for n in ended for p in self.places.get(n, ()) if p > inside), default=-1)
+            if first >= 0:
+                self._close(first)
         if tag not in INLINE:
             self.end_line()
         if tag in VOID:
@@ -129,17 +164,19 @@ class Lines(HTMLParser):
         mark = WITHIN
         if tag in OUTSIDE or (known.get("role") or "").lower() in ROLES:
             mark = OUT
-        elif tag in PAGE_PARTS and not any(e[0] in ROOTS for e in self.stack):
+        elif tag in PAGE_PARTS and self._place(ROOTS) < 0:
             mark = OUT
         elif tag not in ("html", "body", "main"):
             words = {w.lower() for w in NAME_PARTS.findall(f"{known.get('class') or ''} {known.get('id') or ''}")}
             words -= {"ad"} if "hoc" in words else set()
             form = tag == "form" or (known.get("role") or "").lower() == "form"
-            mark = OUT if words & COMMENTS else MARKED_OUT if form or words & MARKED else WITHIN
+            mark = SURELY_OUT if words & COMMENTS else MARKED_OUT if form or words & MARKED else WITHIN
         hidden = self._hidden() or tag in HIDDEN or "hidden" in known or (known.get("aria-hidden") or "").lower() == "true"
+        hidden = hidden or bool(UNSEEN.search(known.get("style") or ""))
         self.parents.append(self.stack[-1][1] if self.stack else 0)
         self.names.append(tag)
         self.marks.append(mark)
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append((tag, len(self.names) - 1, hidden))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -147,7 +184,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        if tag == "p" and not any(e[0] == "p" for e in self.stack):
+        if tag == "p" and not self.places.get("p"):
             self.end_line()
         else:
             self._pop(tag, set())
@@ -157,6 +194,22 @@ class Lines(HTMLParser):
             self._pop("head", set())
         if not self._hidden():
             self.parts.append(data)
+            if self.places.get("a"):
+                self.linked += len(data.strip())
+
+    def below(self, chosen) -> list[bool]:
+        """For every element whether it or one that it stands in is chosen."""
+        found = [0 in chosen]
+        for number in range(1, len(self.names)):
+            found.append(number in chosen or found[self.parents[number]])
+        return found
+
+    def held(self, own: dict[int, int]) -> list[int]:
+        """Sums by element, those of the elements in it included."""
+        total = [own.get(number, 0) for number in range(len(self.names))]
+        for number in range(len(total) - 1, 0, -1):
+            total[self.parents[number]] += total[number]
+        return total
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -188,32 +241,46 @@ def outside(parser: Lines, void: set[int]) -> list[int]:
     return found
 
 
-def wrappers(parser: Lines, lines: list[tuple]) -> set[int]:
-    """Elements that are marked, but hold most characters of the lines."""
-    held: dict[int, int] = {}
-    for text, _, path in lines:
-        for number in path:
-            if parser.marks[number] == MARKED_OUT:
-                held[number] = held.get(number, 0) + len(text)
-    return {number for number, size in held.items() if size > MOST * sum(len(line[0]) for line in lines)}
+def _sizes(lines: list[Line], size=lambda line: len(line.text)) -> dict[int, int]:
+    found: dict[int, int] = {}
+    for line in lines:
+        found[line.element] = found.get(line.element, 0) + size(line)
+    return found
+
+
+def wrappers(parser: Lines, lines: list[Line], mark: int) -> set[int]:
+    """Elements with this mark that hold most characters of the lines, and mostly no links."""
+    held, linked = parser.held(_sizes(lines)), parser.held(_sizes(lines, lambda line: line.linked))
+    total = held[0]
+    return {n for n, m in enumerate(parser.marks) if m == mark and held[n] > MOST * total and (mark == MARKED_OUT or 2 * linked[n] < held[n])}
+
+
+def block_of(parser: Lines, element: int) -> int:
+    """The innermost element around that may hold several lines."""
+    while parser.names[element] in LINE_ELEMENTS:
+        element = parser.parents[element]
+    return element
 
 
 def regions(parser: Lines, shown: list[int], content: list[int]) -> tuple[set[int], set[int]]:
     """Elements whose lines are the main text, and content lines that stand in none of them."""
     lines, names = parser.lines, parser.names
-    roots = {n for i in shown for n in lines[i][2] if names[n] in ROOTS}
-    elsewhere = [i for i in content if not roots.intersection(lines[i][2])]
-    rest, total = sum(len(lines[i][0]) for i in elsewhere), sum(len(lines[i][0]) for i in content)
+    all_roots = {n for n, name in enumerate(names) if name in ROOTS}
+    seen = parser.held({lines[i].element: 1 for i in shown})
+    roots = {n for n in all_roots if seen[n]}
+    rooted = parser.below(roots)
+    elsewhere = [i for i in content if not rooted[lines[i].element]]
+    rest, total = sum(len(lines[i].text) for i in elsewhere), sum(len(lines[i].text) for i in content)
     if not roots or rest > (1 - ARTICLE_SHARE) * total:
         # Elements are numbered in page order, so the last that holds all content is the innermost.
-        common = set(lines[content[0]][2]).intersection(*(lines[i][2] for i in content))
-        return roots | {max(n for n in common if names[n] not in LINE_ELEMENTS)}, set()
+        held = parser.held(_sizes([lines[i] for i in content], lambda line: 1))
+        return roots | {max(n for n, count in enumerate(held) if count == len(content) and names[n] not in LINE_ELEMENTS)}, set()
     # Content beside the articles brings the lines of its element, unless that is around an article or the page.
-    around = {n for i in shown if roots.intersection(lines[i][2]) for n in lines[i][2]}
+    around = parser.held({lines[i].element: 1 for i in shown if rooted[lines[i].element]})
     found, single = set(roots), set()
     for i in elsewhere:
-        own = max(n for n in lines[i][2] if names[n] not in LINE_ELEMENTS)
-        if own in around or names[own] in ("#page", "html", "body"):
+        own = block_of(parser, lines[i].element)
+        if around[own] or names[own] in ("#page", "html", "body"):
             single.add(i)
         else:
             found.add(own)
@@ -225,28 +292,47 @@ def main_text(page: str) -> str:
     parser.feed(page)
     parser.close()
     parser.end_line()
-    if not parser.lines:
+    lines = parser.lines
+    if not lines:
         return ""
-    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines], dtype=float))
+    ratios = smoothed(np.array([len(line.text) / max(1, line.tags) for line in lines], dtype=float))
     least = threshold(ratios)
-    surely = outside(parser, set())
-    possible = [(line, ratio >= least) for line, ratio in zip(parser.lines, ratios) if surely[line[2][-1]] != OUT]
+    over = [line for line, ratio in zip(lines, ratios) if ratio >= least]
+    # An element that is never the article by its name, but holds most of the page that is no links, was left open.
+    void = wrappers(parser, lines, OUT) & wrappers(parser, over or lines, OUT)
+    surely = outside(parser, void)
+    possible = [(line, ratio >= least) for line, ratio in zip(lines, ratios) if surely[line.element] < OUT]
     # A wrapper holds most of the content and most of all text: a long aside of a short article is none.
-    void = wrappers(parser, [line for line, _ in possible])
-    void &= wrappers(parser, [line for line, over in possible if over] or [line for line, _ in possible])
+    marked = wrappers(parser, [line for line, _ in possible], MARKED_OUT)
+    void |= marked & wrappers(parser, [line for line, high in possible if high] or [line for line, _ in possible], MARKED_OUT)
     out = outside(parser, void)
-    shown = [i for i, line in enumerate(parser.lines) if not out[line[2][-1]]]
+    shown = [i for i, line in enumerate(lines) if not out[line.element]]
     if not shown:
         return ""
     content = [i for i in shown if ratios[i] >= least] or shown
     region, single = regions(parser, shown, content)
     # Headings and sections of the region are the article's, whatever they are called.
-    inner = {n for n in region if parser.names[n] not in ("#page", "html", "body")}
-    named = {n for n, tag in enumerate(parser.names) if parser.marks[n] == MARKED_OUT and (tag in HEADINGS or tag == "section")}
-    if inner and named:
-        void |= {n for _, _, path in parser.lines for n in named.intersection(path) if inner.intersection(path[:path.index(n)])}
-        out = outside(parser, void)
-    return "\n\n".join(line[0] for i, line in enumerate(parser.lines) if not out[line[2][-1]] and (i in single or region.intersection(line[2])))
+    inner = parser.below({n for n in region if parser.names[n] not in ("#page", "html", "body")})
+    named = {
+        n for n, tag in enumerate(parser.names)
+        if parser.marks[n] == MARKED_OUT and (tag in HEADINGS or tag == "section") and inner[parser.parents[n]]
+    }
+    if named:
+        out = outside(parser, void | named)
+    within = parser.below(region)
+    kept = [i for i, line in enumerate(lines) if not out[line.element] and (i in single or within[line.element])]
+    return "\n\n".join(lines[i].text for i in without_menus(parser, kept, ratios >= least))
+
+
+def without_menus(parser: Lines, kept: list[int], high: np.ndarray) -> list[int]:
+    """The lines but those under the threshold that are links and do not stand between two lines over it. Headings stay."""
+    found = []
+    for at, i in enumerate(kept):
+        line = parser.lines[i]
+        links = line.linked > LINKS * len(line.text) and not high[i] and parser.names[line.element] not in HEADINGS
+        if not links or 0 < at < len(kept) - 1 and high[kept[at - 1]] and high[kept[at + 1]]:
+            found.append(i)
+    return found
 
 
 # Elements that are a line by themselves: a region is one that may hold several.
