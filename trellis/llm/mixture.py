@@ -53,7 +53,7 @@ LEVELS = 33  # steps of the refinement between odds of e^-8 and e^8
 REACH = 8.0
 TRUST = 64.0  # bits after which the refinement counts as much as the prediction it refines
 FLOOR = 1e-7
-CHUNK = 16 << 20  # bytes of text held at a time
+CHUNK = 10 << 20  # bytes of text held at a time
 WORDS_PER_TASK = 500_000
 BLOCK_BITS = 14
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
