@@ -196,15 +196,23 @@ def _(t):
     return n.unionAll(edges.groupBy(F.lit("edge").alias("kind"), C("type")).agg(F.count("*")))
 
 
-@query("read_graphml", "SELECT 'n' || CAST(n_nationkey AS VARCHAR) AS _id, ':Nation' AS _labels, n_name AS name, CAST(NULL AS VARCHAR) AS absent FROM nation")
-def _(t):
+def _graphml(t) -> str:
+    """All customers and hand-overs as a folder of GraphML files."""
     path = folder(t) + "/graphml"
-    node = F.concat(
-        F.lit('<node id="n'), C("n_nationkey").cast("string"), F.lit('" labels=":Nation"><data key="name">'), C("n_name"), F.lit("</data></node>")
-    )
-    rows = t.nation.agg(F.concat(F.lit("<graphml><graph>"), F.array_join(F.array_sort(F.collect_list(node)), "\n"), F.lit("</graph></graphml>")).alias("value"))
-    rows.write.text(path)  # one well-formed file
-    return files.read_graphml(t.spark, path, "node", ["name", "absent"])
+    nodes = t.customer.select(F.concat(F.lit("n"), "c_custkey").alias("id"), F.lit(":Customer").alias("labels"), C("c_name").alias("name"), C("c_acctbal").cast("string").alias("balance"))
+    edges = hand_over(t).select(F.concat(F.lit("n"), "src").alias("src"), F.concat(F.lit("n"), "dst").alias("dst"), F.lit("HANDED_TO").alias("label"), "qty")
+    files.write_graphml(nodes, edges, path, ["name", "balance"], ["qty"])
+    return path
+
+
+@query("read_graphml", "SELECT 'n' || CAST(c_custkey AS VARCHAR) AS _id, ':Customer' AS _labels, c_name AS name, CAST(NULL AS VARCHAR) AS absent FROM customer")
+def _(t):
+    return files.read_graphml(t.spark, _graphml(t), "node", ["name", "absent"])
+
+
+@query("read_graphml_edges", f"WITH {HAND_OVER} SELECT 'n' || CAST(src AS VARCHAR) AS _source, 'n' || CAST(dst AS VARCHAR) AS _target, 'HANDED_TO' AS _label, CAST(qty AS VARCHAR) AS qty FROM hand_over")
+def _(t):
+    return files.read_graphml(t.spark, _graphml(t), "edge", ["qty"])
 
 
 @query("nodes_from_dataframe", "SELECT 'supplier' AS id_space, CAST(s_suppkey AS VARCHAR) AS id, 'Supplier' AS label, s_name FROM supplier")

@@ -148,7 +148,7 @@ def entity_resolution_clusters(
             accounts.select(F.col(account).alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names]), side
         )
     for name in names:
-        score = score + (F.col(f"left_{name}") == F.col(f"right_{name}")).cast("int")
+        score = score + F.coalesce((F.col(f"left_{name}") == F.col(f"right_{name}")).cast("int"), F.lit(0))  # missing names agree with none
     similar = scored.filter(score > score_above).select(F.col("left").alias("src"), F.col("right").alias("dst"))
     edges = scratch.put(similar, "similar")
     people = accounts.select(F.col(account).alias("id"))

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trellis.model import PropertyGraph
-from trellis.operators.mutate import NODE_KEY, graph_delete, graph_upsert
 from trellis.sources.store import GraphStore
 
 
@@ -64,30 +62,23 @@ def stream_alerts(transactions: DataFrame, flagged: DataFrame, party: str, descr
 
 def stream_graph_ingest(
     batches: DataFrame, store: GraphStore, checkpoint: str, to_nodes: Callable[[DataFrame], DataFrame],
-    to_edges: Callable[[DataFrame], DataFrame], operation: str = "operation", base_version: int = 0,
+    to_edges: Callable[[DataFrame], DataFrame], operation: str = "operation", base_version: int = 0, compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Mini-batches with an operation column (upsert or delete) become graph versions. The version
-    of a batch is ``base_version`` (the version the stream starts from) plus its batch id plus one;
-    a finished version is never written again, so a replayed batch changes nothing. An edge that
-    arrives before its nodes waits beside the graph and joins it when they have come."""
+    """Mini-batches with an operation column (upsert or delete) become graph versions that hold the changes only, so a batch writes
+    as much as it brings. The version of a batch is ``base_version`` (the version the stream starts from) plus its batch id plus one;
+    a finished version is never written again, so a replayed batch changes nothing. An edge that arrives before its nodes waits in
+    the store and joins the graph when they have come. Every ``compact_every`` versions the buckets that changed get a new base."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = base_version + batch_id + 1
         if version in store.versions():
             return
+        batch.persist()
         upserts = batch.filter(F.col(operation) == "upsert")
-        deletes = batch.filter(F.col(operation) == "delete")
-        known = store.versions()
-        nodes, edges = to_nodes(upserts), to_edges(upserts)
-        old = PropertyGraph(nodes.limit(0), edges.limit(0))
-        if known:
-            old = store.load(known[-1])
-            waiting = store.waiting(known[-1])
-            if waiting is not None:
-                old = PropertyGraph(old.nodes, old.edges.unionByName(waiting, allowMissingColumns=True))
-        graph = PropertyGraph(graph_upsert(old.nodes, nodes, NODE_KEY), graph_upsert(old.edges, edges, ["edge_id"]))
-        graph = graph_delete(graph, to_nodes(deletes))
-        store.save(graph.resolved(), version, graph.unresolved_edges())
+        store.append(to_nodes(upserts), to_edges(upserts), to_nodes(batch.filter(F.col(operation) == "delete")), version)
+        batch.unpersist()
+        if compact_every and version % compact_every == 0:
+            store.compact(version)
 
     return (
         batches.writeStream.foreachBatch(apply)
