@@ -195,3 +195,27 @@ def test_cheapest_paths_without_a_hop_limit(spark):
         got = [(r["cost"], r["path"]) for r in paths.ksssp(e, 0, 8, k, "w").orderBy("rank").collect()]
         assert got == want[:k]
     assert paths.ksssp(e.filter(F.col("dst") != 8), 0, 8, 3, "w").count() == 0
+
+
+def test_betweenness_in_blocks_of_sources(spark):
+    from trellis.operators.centrality import betweenness_centrality
+
+    rng = random.Random(3)
+    nodes, edges = spark.range(30), spark.createDataFrame([(rng.randint(0, 29), rng.randint(0, 29)) for _ in range(90)], "src long, dst long")
+    whole = {r[0]: r[1] for r in betweenness_centrality(nodes, edges).collect()}
+    blocks = {r[0]: r[1] for r in betweenness_centrality(nodes, edges, block=7).collect()}
+    assert blocks == pytest.approx(whole)
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.3, 0.5, 1.0])
+def test_similar_sets_are_all_found(spark, threshold):
+    from trellis.operators.similarity import lsh_similarity_search
+
+    rng = random.Random(6)
+    sets = [(i, [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(0, 14))]) for i in range(120)] + [(200, list("abc")), (201, list("cba"))]
+    asked = [(i, [rng.choice("abcdefghijklmnopqrstuvwxyzABC") for _ in range(rng.randint(0, 14))]) for i in range(60)] + [(300, list("bca"))]
+    got = lsh_similarity_search(
+        spark.createDataFrame(sets, "i long, t array<string>"), "i", spark.createDataFrame(asked, "q long, t array<string>"), "q", "t", threshold
+    )
+    want = {(x, y) for x, u in asked for y, v in sets if u and v and len(set(u) & set(v)) / len(set(u) | set(v)) >= threshold}
+    assert {(r["q"], r["i"]) for r in got.collect()} == want

@@ -81,6 +81,9 @@ def pagerank(
     return ranks.select("id", F.col("rank").alias(result))
 
 
+SOURCES = 512  # whose paths are followed at a time
+
+
 def first_sources(nodes: DataFrame, num_sources: int) -> DataFrame:
     """The first ids in md5 order: a fixed choice that does not depend on the partitioning."""
     return nodes.select("id").orderBy(F.md5(F.col("id").cast("string")), "id").limit(num_sources)
@@ -92,15 +95,33 @@ def betweenness_centrality(
     num_sources: int | None = None,
     max_depth: int | None = None,
     result: str = "betweenness",
+    block: int = SOURCES,
 ) -> DataFrame:
     """Unnormalised directed betweenness over shortest hop paths (Brandes), from all nodes or from
-    the first ``num_sources`` in md5 order. All sources advance together, level by level, on rows
-    (source, node, paths), to the last node reached or to the hop limit that the caller names; the way back adds the dependencies level by level."""
+    the first ``num_sources`` in md5 order. About ``block`` sources at a time advance together, level by level, on rows (source,
+    node, paths), to the last node reached or to the hop limit that the caller names; the way back adds the dependencies level by
+    level. A block's tables go when its sums are added to the total, so the state is never more than a block times the nodes."""
     scratch = Scratch(edges.sparkSession)
     steps = scratch.put(
         edges.filter("src <> dst").select(F.col("src").alias("v"), F.col("dst").alias("w")).distinct(), "edges"
     )
-    sources = nodes.select("id") if num_sources is None else first_sources(nodes, num_sources)
+    sources = scratch.put(nodes.select("id") if num_sources is None else first_sources(nodes, num_sources), "sources")
+    blocks = -(-sources.count() // block)
+    total = None
+    for number in range(blocks):
+        own = Scratch(edges.sparkSession)
+        part = _dependencies(steps, sources.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number), max_depth, own)
+        if part is not None:
+            both = part if total is None else stack([total, part]).groupBy("id").agg(F.sum("_b").alias("_b"))
+            total = scratch.put(both, "total")
+        own.drop()
+    if total is None:
+        return nodes.select("id", F.lit(0.0).alias(result))
+    return nodes.select("id").join(total, "id", "left").select("id", F.coalesce("_b", F.lit(0.0)).alias(result))
+
+
+def _dependencies(steps: DataFrame, sources: DataFrame, max_depth: int | None, scratch: Scratch) -> DataFrame | None:
+    """``id, _b``: what the shortest paths from these sources add to each node's betweenness; none if they lead nowhere."""
     level = scratch.put(
         sources.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).cast("double").alias("paths")), "level_0"
     )
@@ -136,9 +157,8 @@ def betweenness_centrality(
             "s", "v", "paths", F.coalesce("delta", F.lit(0.0)).alias("delta")
         )
     if not totals:
-        return nodes.select("id", F.lit(0.0).alias(result))
-    total = stack(totals).groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("_b"))
-    return nodes.select("id").join(total, "id", "left").select("id", F.coalesce("_b", F.lit(0.0)).alias(result))
+        return None
+    return stack(totals).groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("_b"))
 
 
 def degree_centrality(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -70,12 +70,15 @@ def lsh_similarity_search(
     query_id: str,
     tokens: str,
     threshold: float,
-    bands: int = 16,
+    bands: int | None = None,
     rows: int = 2,
 ) -> DataFrame:
     """Corpus items whose token set is similar to a query set: ``<query_id>, <corpus_id>,
-    similarity``. Candidates share a band key; each is then checked exactly. Equal corpus sets are
-    looked up once and spread out at the end, so copies do not crowd a band."""
+    similarity``. Equal corpus sets are looked up once and spread out at the end, so copies do not crowd a key.
+
+    Without ``bands`` the answer is exact: candidates share one of their rarest tokens (``prefix_candidates``). With
+    ``bands`` candidates share a key over ``rows`` min-hashes, so a pair of similarity s is found with probability
+    ``1 - (1 - s**rows)**bands``. Either way each candidate is checked exactly."""
     scratch = Scratch(corpus.sparkSession)
     sets = scratch.put(
         corpus.select(corpus_id, F.sort_array(F.array_distinct(tokens)).alias("c_set"))
@@ -84,10 +87,14 @@ def lsh_similarity_search(
         "sets",
     )
     distinct_sets = sets.groupBy("set_key").agg(F.first("c_set").alias("c_set"))
-    banded = distinct_sets.select("set_key", F.posexplode(minhash_bands(F.col("c_set"), bands, rows)).alias("band", "key"))
     asked = queries.select(query_id, F.sort_array(F.array_distinct(tokens)).alias("q_set")).filter(F.size("q_set") > 0)
-    asked_bands = asked.select(query_id, F.posexplode(minhash_bands(F.col("q_set"), bands, rows)).alias("band", "key"))
-    candidates = asked_bands.join(banded, ["band", "key"]).select(query_id, "set_key").distinct()
+    if bands is None:
+        distinct_sets = scratch.put(distinct_sets, "distinct_sets")
+        candidates = prefix_candidates(distinct_sets, asked, query_id, threshold, scratch)
+    else:
+        banded = distinct_sets.select("set_key", F.posexplode(minhash_bands(F.col("c_set"), bands, rows)).alias("band", "key"))
+        asked_bands = asked.select(query_id, F.posexplode(minhash_bands(F.col("q_set"), bands, rows)).alias("band", "key"))
+        candidates = asked_bands.join(banded, ["band", "key"]).select(query_id, "set_key").distinct()
     scored = (
         candidates.join(asked, query_id)
         .join(distinct_sets, "set_key")
@@ -97,6 +104,36 @@ def lsh_similarity_search(
     return scored.select(query_id, "set_key", "similarity").join(sets.select(corpus_id, "set_key"), "set_key").drop("set_key")
 
 
+def prefix_candidates(corpus: DataFrame, asked: DataFrame, query_id: str, threshold: float, scratch: Scratch) -> DataFrame:
+    """``<query_id>, set_key`` of pairs among which are all of at least the similarity.
+
+    All tokens have one order, from the rarest in the corpus to the most common. Sets of sizes m and n that are similar enough
+    share at least ``t / (1 + t) * (m + n)`` tokens, so each must show a common one among its first ``m - ceil(t * m) + 1``, their
+    sizes are within a factor ``t``, and behind the first common token there must be room for the rest. Common tokens come
+    last and are seldom in a prefix, so they make no pairs."""
+    words = corpus.select(F.explode("c_set").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    order = scratch.put(global_row_number(words, ["n", "token"], "rank").select("token", "rank"), "rarity")
+
+    def prefixes(sets: DataFrame, key: str, column: str, side: str) -> DataFrame:
+        rows = sets.select(key, F.size(column).alias("_size"), F.explode(column).alias("token")).join(order, "token", "left")
+        # Tokens that the corpus lacks come first of all: they take up places and meet nothing.
+        ranks = rows.groupBy(key).agg(F.first("_size").alias("_size"), F.sort_array(F.collect_list("rank")).alias("_ranks"))
+        lacking = F.col("_size") - F.size("_ranks")
+        length = F.col("_size") - F.ceil(F.col("_size") * F.lit(threshold) - 1e-9) + 1
+        shown = F.slice("_ranks", F.lit(1), F.greatest(length - lacking, F.lit(0)).cast("int"))
+        return ranks.select(key, F.col("_size").alias(f"_size_{side}"), lacking.alias("_lacking"), F.posexplode(shown).alias("_p", "rank")).select(
+            key, f"_size_{side}", (F.col("_p") + F.col("_lacking")).alias(f"_place_{side}"), "rank"
+        )
+
+    left = scratch.put(prefixes(asked, query_id, "q_set", "q"), "asked_prefixes")
+    right = scratch.put(prefixes(corpus, "set_key", "c_set", "c"), "corpus_prefixes")
+    t = F.lit(threshold)
+    needed = F.ceil(t / (1 + t) * (F.col("_size_q") + F.col("_size_c")) - 1e-9)
+    room = F.least(F.col("_size_q") - F.col("_place_q"), F.col("_size_c") - F.col("_place_c"))
+    near = (F.col("_size_c") >= t * F.col("_size_q") - 1e-9) & (F.col("_size_q") >= t * F.col("_size_c") - 1e-9)
+    return left.join(right, "rank").filter(near & (room >= needed)).select(query_id, "set_key").distinct()
+
+
 def embedding_topk(
     corpus: DataFrame,
     queries: DataFrame,

@@ -306,14 +306,13 @@ def _(t):
     return rows.withColumn("similarity", F.round("similarity", 8))
 
 
-# 32 one-hash bands find a pair of similarity 0.3 with probability 1 - 0.7^32 > 0.99998
 @query("lsh_similarity_search", f"""WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), q AS (SELECT item_id, {WORDS} AS q FROM benchmark),
   s AS (SELECT item_id, doc_id, len(list_intersect(w, q)) AS i, len(w) + len(q) AS t FROM d, q)
   SELECT item_id, doc_id, round(i / (t - i)::DOUBLE, 8) AS similarity FROM s WHERE i / (t - i)::DOUBLE >= 0.3""")
 def _(t):
     docs = t.documents.select("doc_id", tokenize("text").alias("words"))
     asked = t.benchmark.select("item_id", tokenize("text").alias("words"))
-    rows = similarity.lsh_similarity_search(docs, "doc_id", asked, "item_id", "words", 0.3, bands=32, rows=1)
+    rows = similarity.lsh_similarity_search(docs, "doc_id", asked, "item_id", "words", 0.3)
     return rows.withColumn("similarity", F.round("similarity", 8))
 
 
