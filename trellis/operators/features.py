@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trellis.functions.scalar import hash_bucket
 from trellis.model import stack
 from trellis.operators.centrality import betweenness_centrality, pagerank
+from trellis.operators.ordering import row_number_within
 from trellis.session import Scratch
 
 
@@ -117,21 +118,28 @@ def neighbour_feature_aggregate(
 
 
 def sample_neighbourhood(edges: DataFrame, seeds: DataFrame, fans: Sequence[int], seed: int = 0) -> DataFrame:
-    """Sub-graph around seeds: at hop i every reached node keeps at most ``fans[i]`` out-edges, the
-    first by hash. ``seed_id, hop, src, dst``. The rank is cut before the shuffle as well, so a
-    hub sends only its first edges."""
+    """Sub-graph around seeds: at hop i every reached node keeps at most ``fans[i]`` out-edges. ``seed_id, hop, src, dst``.
+
+    Out-edges are numbered once, by a hash order per node. A seed takes those that follow a place of its own on that ring, which the hash
+    of seed and node gives, so it asks for edges by number: a hub's edges are never joined with all seeds that reach it, only
+    the numbers asked for meet."""
     scratch = Scratch(edges.sparkSession)
-    steps = edges.select("src", "dst").distinct()
+
+    def text(*parts: str) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(p).cast("string") for p in parts]))
+
+    ordered = edges.select("src", "dst").distinct().withColumn("_h", text("src", "dst"))
+    numbered = scratch.put(row_number_within(ordered, ["src"], ["_h", "dst"], "_at").select("src", "dst", "_at"), "numbered")
+    degree = scratch.put(numbered.groupBy("src").agg(F.max("_at").alias("_n")), "degree")
     frontier = seeds.select(F.col("id").alias("seed_id"), F.col("id").alias("src"))
     found = []
     for hop, fan in enumerate(fans, 1):
-        order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("seed_id").cast("string"), F.col("src").cast("string"), F.col("dst").cast("string")))
-        rank = F.row_number().over(Window.partitionBy("seed_id", "src").orderBy(order, "dst"))
-        taken = scratch.put(
-            frontier.join(steps, "src").withColumn("_rn", rank).filter(F.col("_rn") <= fan)
-            .select("seed_id", F.lit(hop).cast("bigint").alias("hop"), "src", "dst"),
-            f"hop_{hop}",
+        first = F.pmod(F.conv(F.substring(text("seed_id", "src"), 1, 8), 16, 10).cast("bigint"), F.col("_n"))
+        places = F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(fan).cast("bigint"), F.col("_n")) - 1)
+        asked = frontier.join(degree, "src").withColumn("_first", first).select(
+            "seed_id", "src", F.explode(F.transform(places, lambda i: (F.col("_first") + i) % F.col("_n") + 1)).alias("_at")
         )
+        taken = scratch.put(asked.join(numbered, ["src", "_at"]).select("seed_id", F.lit(hop).cast("bigint").alias("hop"), "src", "dst"), f"hop_{hop}")
         found.append(taken)
         frontier = taken.select("seed_id", F.col("dst").alias("src")).distinct()
     return stack(found)

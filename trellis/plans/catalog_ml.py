@@ -108,10 +108,13 @@ def _(t):
 
 
 def _sampled(hop: int, fan: int, before: str) -> str:
-    return f"SELECT seed_id, {hop} AS hop, src, dst FROM (SELECT b.seed_id, e.src, e.dst, row_number() OVER (PARTITION BY b.seed_id, e.src ORDER BY md5(concat_ws(':', '0', CAST(b.seed_id AS VARCHAR), CAST(e.src AS VARCHAR), CAST(e.dst AS VARCHAR))), e.dst) AS rn FROM ({before}) b JOIN e ON e.src = b.src) WHERE rn <= {fan}"
+    """Edges that follow, on the ring of the node's numbered edges, the place that the seed has on it."""
+    first = "CAST('0x' || left(md5(concat_ws(':', '0', CAST(b.seed_id AS VARCHAR), CAST(e.src AS VARCHAR))), 8) AS BIGINT) % e.n"
+    return f"SELECT b.seed_id, {hop} AS hop, e.src, e.dst FROM ({before}) b JOIN e ON e.src = b.src WHERE (e.place - {first} + e.n) % e.n < {fan}"
 
 
-@query("sample_neighbourhood", f"""WITH {HAND_OVER}, e AS MATERIALIZED (SELECT DISTINCT src, dst FROM hand_over),
+@query("sample_neighbourhood", f"""WITH {HAND_OVER}, e AS MATERIALIZED (SELECT src, dst, count(*) OVER (PARTITION BY src) AS n,
+    row_number() OVER (PARTITION BY src ORDER BY md5(concat_ws(':', '0', CAST(src AS VARCHAR), CAST(dst AS VARCHAR))), dst) - 1 AS place FROM (SELECT DISTINCT src, dst FROM hand_over)),
   h1 AS MATERIALIZED ({_sampled(1, 3, "SELECT c_custkey AS seed_id, c_custkey AS src FROM customer WHERE c_acctbal < 0")}),
   h2 AS MATERIALIZED ({_sampled(2, 2, "SELECT DISTINCT seed_id, dst AS src FROM h1")})
   SELECT CAST(hop AS BIGINT) AS hop, seed_id, src, dst FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2)""")
