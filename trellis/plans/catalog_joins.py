@@ -207,7 +207,7 @@ def _(t):
   UNION SELECT dst, level + 1 FROM r JOIN hand_over ON src = id WHERE level < 12), first AS (SELECT id, CAST(min(level) AS BIGINT) AS level FROM r GROUP BY 1)
   SELECT * FROM first WHERE CASE WHEN (SELECT max(level) FROM first) < 12 THEN true ELSE error('not at its end') END""")
 def _(t):
-    return match.reachable_set(hand_over(t), _path_ends(t)[0])
+    return match.reachable_set(hand_over(t), t.customer.filter("c_acctbal < 0").select(C("c_custkey").alias("id")))
 
 
 @query("merge_left_indicator", """SELECT merge_flag, count(*) AS n FROM (SELECT CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'both'
