@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from trellis.operators.ordering import global_row_number
 from trellis.session import Scratch
 
-QUERY_BLOCK = 512  # query vectors held by a task at a time
+QUERY_BLOCK = 512  # query vectors in a pack
+CELLS = 64  # cells of the vector search at most
+CELL_ROWS = 1024  # vectors that make a cell worth its own packs
+PACK_BYTES = 1 << 19  # corpus vectors in a pack
+SLOTS = 4  # parts of a cell in the join
+RESCORED = 1 << 16  # pairs scored at a time
 
 
 def jaccard_similarity(memberships: DataFrame, node, member: str = "src", neighbour: str = "dst") -> DataFrame:
@@ -143,80 +148,177 @@ def embedding_topk(
     vector: str,
     metric: str = "cosine",
     exclude_same_id: bool = False,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Exact nearest vectors: ``<query_id>, <corpus_id>, score, rank`` (cosine: highest first;
-    ``sqeuclidean``: lowest first; ties by corpus id).
+    ``sqeuclidean``: lowest first; ties by corpus id). Rows without a vector are left out.
 
-    Queries are numbered and taken in blocks of QUERY_BLOCK vectors; a block is broadcast, every
-    task scans its share of the corpus in Arrow batches and keeps its k best per query, and only
-    those are shuffled. More queries mean more blocks, never a larger broadcast.
+    The corpus is read once and laid out in cells around at most ``cells`` of its vectors, as packs of bounded size that know how
+    near and how far from the centre theirs lie. Queries are packed likewise and meet the packs of a cell by a join: first those of
+    their nearest cell, which gives each a bound, then those of all cells that by the triangle inequality may hold something
+    within the bound. Cosines are compared as distances of unit vectors. No vector but the centres passes the driver.
     """
-    spark = corpus.sparkSession
-    scratch = Scratch(spark)
-    numbered = scratch.put(
-        global_row_number(queries.select(query_id, vector), [query_id], "_n").withColumn(
-            "_block", F.floor((F.col("_n") - 1) / QUERY_BLOCK)
-        ),
-        "queries",
-    )
-    blocks = numbered.agg(F.max("_block")).first()[0]
-    id_type = dict(corpus.dtypes)[corpus_id]
-    query_type = dict(queries.dtypes)[query_id]
-    schema = f"{query_id} {query_type}, {corpus_id} {id_type}, score double"
-    found = None
-    for block in range(int(blocks or 0) + 1):
-        rows = numbered.filter(F.col("_block") == block).select(query_id, vector).toPandas()
-        if rows.empty:
-            continue
-        held = spark.sparkContext.broadcast(
-            (rows[query_id].to_numpy(), np.array(rows[vector].tolist(), dtype="float64"))
-        )
-        part = corpus.select(F.col(corpus_id).alias("_id"), F.col(vector).alias("_vec")).mapInPandas(
-            _best_per_task(held, k, query_id, corpus_id, metric, exclude_same_id), schema
-        )
-        found = part if found is None else found.unionByName(part)
+    scratch = Scratch(corpus.sparkSession)
+    id_type, query_type = dict(corpus.dtypes)[corpus_id], dict(queries.dtypes)[query_id]
+    of = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    asked = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    cells = min(cells, of.count() // CELL_ROWS + 1)
+    # Several times as many as needed: a vector that many rows share is one centre.
+    first = of.select("v", F.xxhash64("id", "v").alias("h")).orderBy("h").limit(4 * cells).collect()
+    found_type = f"q {query_type}, id {id_type}, score double"
+    if not first:
+        return corpus.sparkSession.createDataFrame([], f"{query_id} {query_type}, {corpus_id} {id_type}, score double, rank bigint")
+    centres = _scaled(np.array(list(dict.fromkeys(tuple(row["v"]) for row in first))[:cells]), metric)
+    layout = f"cell int, near double, far double, ids array<{id_type}>, vs binary"
+    packs = scratch.put(of.mapInPandas(_corpus_packs(centres, metric), layout).withColumn("slot", F.pmod(F.xxhash64("vs"), F.lit(SLOTS))), "packs")
+    used = packs.groupBy("cell").agg(F.min("near").alias("near"), F.max("far").alias("far")).orderBy("cell").toPandas()
+    shape = f"cell int, qs array<{query_type}>, qv binary, away array<double>, bound array<double>"
+    slots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLOTS - 1).cast("long")))
+
+    def meet(rows: DataFrame, bounded: bool, slot: str) -> DataFrame:
+        """The best of each pack for the queries whose cells are asked."""
+        sides = scratch.put(rows.mapInPandas(_query_packs(centres, used, metric, bounded), shape), f"asked_{slot}")
+        met = packs.join(sides.withColumn("slot", slots), ["cell", "slot"]).drop("cell", "slot")
+        order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
+        rank = F.row_number().over(Window.partitionBy("q").orderBy(order, "id"))
+        best = met.mapInPandas(_best_of_packs(k, centres.shape[1], metric, exclude_same_id), found_type)
+        return scratch.put(best.withColumn("rank", rank).filter(F.col("rank") <= k), f"found_{slot}")
+
+    nearest = meet(asked.withColumn("bound", F.lit(0.0)), False, "first")
+    worst = F.min("score") if metric == "cosine" else F.max("score")
+    bounds = nearest.groupBy("q").agg(F.when(F.count("*") == k, worst).alias("bound"))
+    limits = asked.join(bounds.withColumnRenamed("q", "id"), "id", "left").select("id", "v", F.coalesce("bound", F.lit(float("nan"))).alias("bound"))
+    others = meet(limits, True, "rest")
     order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(order, corpus_id))
-    return found.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(order, "id"))
+    both = nearest.drop("rank").unionByName(others.drop("rank")).withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
+    return both.select(F.col("q").alias(query_id), F.col("id").alias(corpus_id), "score", "rank")
+
+
+def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    squares = (x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2.0 * (x @ centres.T)
+    return np.sqrt(np.maximum(squares, 0.0))
+
+
+def _vectors(pdf: pd.DataFrame, metric: str) -> np.ndarray:
+    return _scaled(np.array(pdf["v"].tolist(), dtype="float64"), metric)
+
+
+def _packed(size: int):
+    """Collect rows by cell; ``add`` gives every pack that is full, ``rest`` the others."""
+    held: dict[int, list] = {}
+
+    def flush(cell: int):
+        parts = held.pop(cell)
+        return cell, [np.concatenate(column) for column in zip(*parts)]
+
+    def add(cell: int, *columns):
+        held.setdefault(cell, []).append(columns)
+        if sum(len(part[0]) for part in held[cell]) >= size:
+            yield flush(cell)
+
+    def rest():
+        for cell in sorted(held):
+            yield flush(cell)
+
+    return add, rest
 
 
-def _best_per_task(held, k: int, query_id: str, corpus_id: str, metric: str, exclude_same_id: bool):
+def _corpus_packs(centres: np.ndarray, metric: str):
+    size = max(1, PACK_BYTES // (8 * centres.shape[1]))
+
+    def row(cell: int, columns) -> pd.DataFrame:
+        ids, x, d = columns
+        return pd.DataFrame({"cell": [cell], "near": [d.min()], "far": [d.max()], "ids": [ids.tolist()], "vs": [x.tobytes()]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, q = held.value
-        if metric == "cosine":
-            q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        best_score = np.empty((len(ids), 0))
-        best_id = None
+        add, rest = _packed(size)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.array(pdf["_vec"].tolist(), dtype="float64")
-            own = pdf["_id"].to_numpy()
-            if metric == "cosine":
-                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-                loss = -(q @ x.T)
-            else:
-                loss = (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * (q @ x.T)
-            if exclude_same_id:
-                loss[ids[:, None] == own[None, :]] = np.inf
-            names = np.broadcast_to(own, loss.shape)
-            if best_id is not None:
-                loss = np.hstack([best_score, loss])
-                names = np.hstack([best_id, names])
-            # stable order on (loss, id), so ties fall as in the final ranking
-            order = np.lexsort((names, loss), axis=1)[:, : k]
-            best_score = np.take_along_axis(loss, order, 1)
-            best_id = np.take_along_axis(names, order, 1)
-        if best_id is None:
-            return
-        kept = best_score.shape[1]
-        out = pd.DataFrame(
-            {
-                query_id: np.repeat(ids, kept),
-                corpus_id: best_id.ravel(),
-                "score": (-best_score if metric == "cosine" else best_score).ravel(),
-            }
-        )
-        yield out[np.isfinite(out["score"])]
+            for start in range(0, len(pdf), size):
+                part = pdf.iloc[start:start + size]
+                x, ids = _vectors(part, metric), part["id"].to_numpy(dtype=object)
+                away = _distances(x, centres)
+                cell = away.argmin(1)
+                for c in np.unique(cell):
+                    mine = cell == c
+                    for full in add(int(c), ids[mine], x[mine], away[mine, c]):
+                        yield row(*full)
+        for left in rest():
+            yield row(*left)
+
+    return run
+
+
+def _query_packs(centres: np.ndarray, used: pd.DataFrame, metric: str, bounded: bool):
+    """Packs of queries by cell: of the nearest used cell, or of all others that their bound does not rule out."""
+    cells, near, far = used["cell"].to_numpy(), used["near"].to_numpy(), used["far"].to_numpy()
+
+    def row(cell: int, columns) -> pd.DataFrame:
+        ids, x, d, bound = columns
+        return pd.DataFrame({"cell": [cell], "qs": [ids.tolist()], "qv": [x.tobytes()], "away": [d.tolist()], "bound": [bound.tolist()]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        add, rest = _packed(QUERY_BLOCK)
+        for pdf in batches:
+            for start in range(0, len(pdf), QUERY_BLOCK):
+                part = pdf.iloc[start:start + QUERY_BLOCK]
+                x, ids = _vectors(part, metric), part["id"].to_numpy(dtype=object)
+                away = _distances(x, centres[cells])
+                first = away.argmin(1)
+                reach = np.full(len(part), np.inf)
+                if bounded:
+                    score = part["bound"].to_numpy(dtype="float64")
+                    reach = np.sqrt(np.maximum(2 - 2 * score if metric == "cosine" else score, 0.0))
+                    # Room for rounding, in proportion to the lengths that were subtracted.
+                    reach = np.where(np.isnan(score), np.inf, reach + 1e-6 * (1 + np.linalg.norm(x, axis=1)))
+                for c, cell in enumerate(cells):
+                    mine = first == c
+                    if bounded:
+                        low = np.maximum(away[:, c] - far[c], near[c] - away[:, c])
+                        mine = ~mine & (low <= reach)
+                    if mine.any():
+                        for full in add(int(cell), ids[mine], x[mine], away[mine, c], reach[mine]):
+                            yield row(*full)
+        for left in rest():
+            yield row(*left)
+
+    return run
+
+
+def _best_of_packs(k: int, size: int, metric: str, exclude_same_id: bool):
+    def best(pack) -> pd.DataFrame | None:
+        x = np.frombuffer(pack.vs).reshape(-1, size)
+        q, away, bound = np.frombuffer(pack.qv).reshape(-1, size), np.asarray(pack.away), np.asarray(pack.bound)
+        asked = np.flatnonzero(np.maximum(away - pack.far, pack.near - away) <= bound)
+        if not len(asked):
+            return None
+        q, qs, ids = q[asked], np.asarray(pack.qs, dtype=object)[asked], np.asarray(pack.ids, dtype=object)
+        loss = -(q @ x.T) if metric == "cosine" else (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * (q @ x.T)
+        if exclude_same_id:
+            loss[qs[:, None] == ids[None, :]] = np.inf
+        # All up to the k-th and what rounding may have put behind it; their scores are then summed in one order.
+        last = np.partition(loss, k - 1, axis=1)[:, k - 1] if loss.shape[1] > k else np.full(len(q), np.finfo("float64").max)
+        room = 1e-9 * (1 + (q * q).sum(1) + (x * x).sum(1).max())
+        rows, columns = np.nonzero((loss <= (last + room)[:, None]) & np.isfinite(loss))
+        score = np.empty(len(rows))
+        for start in range(0, len(rows), RESCORED):
+            a, b = q[rows[start:start + RESCORED]], x[columns[start:start + RESCORED]]
+            score[start:start + RESCORED] = (a * b).sum(1) if metric == "cosine" else ((a - b) ** 2).sum(1)
+        order = np.lexsort((ids[columns], -score if metric == "cosine" else score, rows))
+        rows, columns, score = rows[order], columns[order], score[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = place < k
+        return pd.DataFrame({"q": qs[rows[kept]], "id": ids[columns[kept]], "score": score[kept]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for pack in pdf.itertuples(index=False):
+                out = best(pack)
+                if out is not None and len(out):
+                    yield out
 
     return run
