@@ -279,17 +279,40 @@ def test_archive_round_trip(spark):
         ids = defaultdict(list)
         for i, _, html in PAGES:
             ids[html or ""].append(i)
-        want = Counter()
+        want, seen = Counter(), set()
         for i, _, html in PAGES:
             data = (html or "").encode()
             first = least(ids[html or ""])
-            revisit = len(data) >= smallest and i != first
+            # One row of a payload is the response, also where rows share their id.
+            revisit = len(data) >= smallest and (i != first or html in seen)
+            seen |= {html} if i == first else set()
             want[i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", first if revisit else None] += 1
         assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
         assert all(bytes(r.payload).decode() in ids for r in got if r.record_type == "response")
     assert warc.archive(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["smallint", "decimal(20,3)", "date", "string"])
+def test_archive_keeps_ids_of_any_type(spark, kind):
+    value = "'2020-01-0' || id" if kind == "date" else "id"
+    table = spark.range(1, 8).selectExpr(f"CASE WHEN id < 7 THEN cast({value} AS {kind}) END AS page_id", "'u' AS url", "'p' || id % 2 AS html")
+    got = warc.archive(table)
+    assert got.schema["page_id"].dataType == got.schema["refers_to"].dataType == table.schema["page_id"].dataType
+    rows = got.collect()
+    assert Counter(r.page_id for r in rows) == Counter(r.page_id for r in table.collect())
+    first, second = sorted({r.page_id for r in rows} - {None})[:2]
+    assert {r.page_id for r in rows if r.record_type == "response"} == {first, second}
+    assert {r.refers_to for r in rows if r.record_type == "revisit"} == {first, second}
+
+
+def test_archive_spreads_a_hot_payload(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HOT_ROWS", 5)
+    table = spark.range(0, 300).selectExpr("id AS page_id", "'u' AS url", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'p' || id END AS html")
+    rows = warc.archive(table).collect()
+    assert len(rows) == 300 and sum(r.record_type == "response" for r in rows) == 201
+    assert all(r.refers_to == 0 for r in rows if r.record_type == "revisit")
+
+
 def read_at(data):
     return lambda size, offset: data[offset:offset + size]
 

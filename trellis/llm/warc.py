@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trellis.llm.common import body, text_chunks
 from trellis.session import Scratch
@@ -36,9 +37,18 @@ PACKAGE_BYTES = 64 << 20  # a task starts another package when one has this much
 RANGE_BYTES = 4 << 20  # neighbouring records are fetched together up to this much
 LEAST_BYTES = 0  # smaller payloads are never revisits
 LEVEL = 1
+MOST_HOT = 1000
+HOT_ROWS = 200  # payloads with fewer rows are never broadcast
+SCHEMES = {"s3a": "s3", "s3n": "s3"}  # names that Hadoop and Arrow give the same store
 DATE = "1970-01-01T00:00:00Z"  # the pages have no time of capture
 
 
+def file_system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """Arrow's file system for a folder named as Hadoop names it, and the path there."""
+    scheme, colon, rest = folder.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{colon}{rest}")
+
+
 # ---- writing
 
 
@@ -95,7 +105,7 @@ def write_packages(rows: DataFrame, folder: str, package_bytes: int = PACKAGE_BY
     """Write rows of ``page_id, url, digest, size, refers_to, is_revisit, html``; lazily gives ``path, records``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = pyarrow.fs.FileSystem.from_uri(folder)
+        files, root = file_system(folder)
         package, sink, path = None, None, ""
 
         def finished() -> pa.RecordBatch:
@@ -220,18 +230,18 @@ def records(read_at, size: int, range_bytes: int = RANGE_BYTES) -> Iterator[byte
         i = j
 
 
-def read_packages(packages: DataFrame, folder: str, id_type: str) -> DataFrame:
+def read_packages(packages: DataFrame, folder: str, id_type: T.DataType) -> DataFrame:
     """``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload`` of all records. A response whose
     payload does not have the digest it names is an error; a revisit's payload is null."""
     spark = packages.sparkSession
     spread = packages.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
-    schema = f"page_id {id_type}, url string, payload_bytes long, payload_digest string, record_type string, refers_to {id_type}, payload binary"
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = pyarrow.fs.FileSystem.from_uri(folder)
+        files, root = file_system(folder)
         kinds = pa.schema([
-            ("page_id", _arrow(id_type)), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-            ("record_type", pa.string()), ("refers_to", _arrow(id_type)), ("payload", pa.binary()),
+            ("page_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+            ("record_type", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary()),
         ])
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -246,11 +256,8 @@ def read_packages(packages: DataFrame, folder: str, id_type: str) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    return spread.mapInArrow(run, schema)
-
-
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    found = spread.mapInArrow(run, schema)
+    return found.withColumns({name: F.col(name).cast(id_type) for name in ("page_id", "refers_to")})
 
 
 def _row(data: bytes) -> dict:
@@ -277,30 +284,39 @@ def sha1_of(html: Column) -> Column:
 def archive(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Write a record per row and read them all back: ``read_packages``'s columns.
 
-    Of equal payloads of at least ``least_bytes`` the row with the smallest id is the response, null ids last, and the others
-    revisit it; rows that also share that id are responses too. Null pages have an empty payload, null addresses none; ids are
-    numbers or strings; characters an address can't hold are percent-encoded; an empty table gives no rows.
+    Of equal payloads of at least ``least_bytes`` the row with the smallest id is the response, null ids last, and of rows that also share
+    that id, one; the others revisit it. Null pages have an empty payload, null addresses none; ids are of any type that
+    orders and that Spark casts to a string and back; characters an address can't hold are percent-encoded; an empty table gives no rows.
 
-    Equal payloads are found on digests: the pages' bytes are moved once, by their own ids, and only those of responses. A digest
-    that a third of all rows share is one row after map-side combining, and its rows meet that row without their bytes."""
+    Equal payloads are found on digests: the pages' bytes are moved once, by their own ids, and only those of responses. Digests that
+    more than a thousandth of all rows share (and over ``HOT_ROWS``) are at most a thousand; they are broadcast, so
+    that their rows stay where they are."""
     scratch = Scratch(pages.sparkSession)
     text = body(F.col("html"))
     rows = pages.select(F.col(id).alias("page_id"), F.col(url).cast("string").alias("url"), body(F.col(html)).alias("html"))
-    small = scratch.put(rows.select("page_id", "url", sha1_of(text).alias("digest"), F.octet_length(text).cast("long").alias("size")), "digests")
-    first = small.groupBy("digest").agg(F.min("page_id").alias("first"))
-    judged = small.join(first, "digest").withColumn(
-        "is_revisit", (F.col("size") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    )
-    judged = scratch.put(judged, "judged")
+    rows = rows.withColumn("digest", sha1_of(text))
+    small = scratch.put(rows.select(
+        "page_id", "url", "digest", F.octet_length(text).cast("long").alias("size"), F.monotonically_increasing_id().alias("number")
+    ), "digests")
+    least = F.min(F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), F.col("number")))
+    firsts = scratch.put(small.groupBy("digest").agg(least.alias("least"), F.count("*").alias("n")).select(
+        "digest", F.col("least.id").alias("first"), F.col("least.number").alias("first_number"), "n"
+    ), "firsts")
+    is_hot = F.col("n") > max(HOT_ROWS, small.count() // MOST_HOT)
+    hot = F.broadcast(firsts.filter(is_hot))
+    judged = small.join(hot, "digest").unionByName(small.join(hot.select("digest"), "digest", "left_anti").join(firsts.filter(~is_hot), "digest"))
+    is_revisit = (F.col("size") >= least_bytes) & (F.col("number") != F.col("first_number"))
+    judged = scratch.put(judged.withColumn("is_revisit", is_revisit), "judged")
+    page_id, key = F.col("page_id").cast("string"), F.to_json(F.struct("page_id", "url", "digest")).alias("key")
     revisits = judged.filter("is_revisit").select(
-        "page_id", "url", "digest", "size", F.col("first").alias("refers_to"), "is_revisit", F.lit("").alias("html")
-    )
-    keys = judged.filter(~F.col("is_revisit")).select(F.col("page_id").alias("of_id"), F.col("digest").alias("of_digest")).distinct()
-    mine = F.col("page_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest"))
-    responses = rows.withColumn("digest", sha1_of(text)).join(keys, mine, "left_semi").select(
-        "page_id", "url", "digest", F.octet_length(text).cast("long").alias("size"), F.lit(None).cast(small.schema["page_id"].dataType).alias("refers_to"),
-        F.lit(False).alias("is_revisit"), "html",
+        page_id.alias("page_id"), "url", "digest", "size", F.col("first").cast("string").alias("refers_to"), "is_revisit", F.lit("").alias("html")
     )
+    # Rows that agree in id, address and payload are one row with a number of copies.
+    keys = judged.filter(~F.col("is_revisit")).groupBy(key).agg(F.count("*").alias("copies"))
+    responses = rows.withColumn("key", key).join(keys, "key").dropDuplicates(["key"]).select(
+        page_id.alias("page_id"), "url", "digest", F.octet_length(text).cast("long").alias("size"), F.lit(None).cast("string").alias("refers_to"),
+        F.lit(False).alias("is_revisit"), "html", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+    ).drop("copy")
     folder = f"{scratch.root}/packages"
     packages = scratch.put(write_packages(responses.unionByName(revisits), folder), "manifest")
-    return read_packages(packages, folder, small.schema["page_id"].dataType.simpleString())
+    return read_packages(packages, folder, small.schema["page_id"].dataType)
