@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from trellis import session
 from trellis.operators import ordering
 
 
@@ -64,3 +65,27 @@ def test_far_ranges_by_position(spark, rows, monkeypatch):
     df = frame(spark, rows).select("g", "t")
     order = sorted((g, t) for g, t, _ in rows)
     assert sorted(map(tuple, ordering.row_range(df, ["g", "t"], 100, 130).collect())) == order[100:130]
+
+
+def test_next_rows_shuffle_once(spark, rows):
+    """Rows go into ranges in one shuffle; what is read back is not shuffled by key again. Null groups and values are kept."""
+    some = [*rows, (None, 1, 2), (None, 2, None), (None, 3, 1)]
+    df = frame(spark, some)
+    pairs = ordering.next_row_pairs(df, ["g"], ["t"], ["v"])
+    assert "hashpartitioning" not in pairs._jdf.queryExecution().toString()
+    key = lambda r: (r[0] is not None, r[0] or "", r[1])
+    order = sorted(some, key=key)
+    want = [(*a, b[2]) for a, b in zip(order, order[1:]) if a[0] == b[0]]
+    assert sorted(map(tuple, pairs.collect()), key=key) == want
+
+
+def test_shuffles_start_with_pieces_of_bounded_size(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(setting, None)
+    try:
+        session.size_shuffles(spark, 100 * session.PIECE_ROWS + 1)
+        assert spark.conf.get(setting) == "101"
+        session.size_shuffles(spark, 5)
+        assert spark.conf.get(setting) == "101"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
