@@ -219,3 +219,26 @@ def test_similar_sets_are_all_found(spark, threshold):
     )
     want = {(x, y) for x, u in asked for y, v in sets if u and v and len(set(u) & set(v)) / len(set(u) | set(v)) >= threshold}
     assert {(r["q"], r["i"]) for r in got.collect()} == want
+
+
+def test_only_words_of_the_queries_are_ranked(spark, monkeypatch):
+    """The rest of a corpus' vocabulary takes up places in a prefix but is not ordered; the answer is that of brute force."""
+    from trellis.operators import similarity
+
+    draw = random.Random(5)
+    corpus = [(i, [f"w{draw.randrange(60)}" for _ in range(draw.randrange(1, 14))] + [f"own{i}"] * (i % 3 == 0)) for i in range(300)]
+    asked = [(q, [f"w{draw.randrange(25)}" for _ in range(draw.randrange(1, 12))] + ["nowhere"] * (q % 2)) for q in range(30)]
+    ranked = []
+    number = similarity.global_row_number
+
+    def counted(words, *rest):
+        ranked.append({r["token"] for r in words.collect()})
+        return number(words, *rest)
+
+    monkeypatch.setattr(similarity, "global_row_number", counted)
+    got = similarity.lsh_similarity_search(
+        spark.createDataFrame(corpus, "doc int, t array<string>"), "doc", spark.createDataFrame(asked, "q int, t array<string>"), "q", "t", 0.3
+    )
+    want = {(q, d) for q, a in asked for d, c in corpus if len(set(a) & set(c)) / len(set(a) | set(c)) >= 0.3}
+    assert {(r["q"], r["doc"]) for r in got.collect()} == want
+    assert ranked == [{w for _, words in asked for w in words}]

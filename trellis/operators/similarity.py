@@ -112,16 +112,19 @@ def lsh_similarity_search(
 def prefix_candidates(corpus: DataFrame, asked: DataFrame, query_id: str, threshold: float, scratch: Scratch) -> DataFrame:
     """``<query_id>, set_key`` of pairs among which are all of at least the similarity.
 
-    All tokens have one order, from the rarest in the corpus to the most common. Sets of sizes m and n that are similar enough
-    share at least ``t / (1 + t) * (m + n)`` tokens, so each must show a common one among its first ``m - ceil(t * m) + 1``, their
-    sizes are within a factor ``t``, and behind the first common token there must be room for the rest. Common tokens come
-    last and are seldom in a prefix, so they make no pairs."""
-    words = corpus.select(F.explode("c_set").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    All tokens have one order: those that no query has, then those of the queries from the rarest in the corpus to the most
+    common. Sets of sizes m and n that are similar enough share at least ``t / (1 + t) * (m + n)`` tokens, so each must show a common
+    one among its first ``m - ceil(t * m) + 1``, their sizes are within a factor ``t``, and behind the first common token there must be
+    room for the rest. Common tokens come last and are seldom in a prefix, so they make no pairs; tokens that no query has
+    only take up places, so they are neither counted, ranked nor shuffled."""
+    vocabulary = scratch.put(asked.select(F.explode("q_set").alias("token")).distinct(), "vocabulary")
+    met = corpus.select(F.explode("c_set").alias("token")).join(vocabulary, "token").groupBy("token").agg(F.count("*").alias("n"))
+    words = vocabulary.join(met, "token", "left").fillna(0, ["n"])
     order = scratch.put(global_row_number(words, ["n", "token"], "rank").select("token", "rank"), "rarity")
 
     def prefixes(sets: DataFrame, key: str, column: str, side: str) -> DataFrame:
-        rows = sets.select(key, F.size(column).alias("_size"), F.explode(column).alias("token")).join(order, "token", "left")
-        # Tokens that the corpus lacks come first of all: they take up places and meet nothing.
+        rows = sets.select(key, F.size(column).alias("_size"), F.explode(column).alias("token")).join(order, "token")
+        # Tokens without a rank come first of all: they take up places and meet nothing.
         ranks = rows.groupBy(key).agg(F.first("_size").alias("_size"), F.sort_array(F.collect_list("rank")).alias("_ranks"))
         lacking = F.col("_size") - F.size("_ranks")
         length = F.col("_size") - F.ceil(F.col("_size") * F.lit(threshold) - 1e-9) + 1
