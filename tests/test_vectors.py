@@ -47,3 +47,27 @@ def test_search_with_fewer_rows_than_asked_for_and_with_none(spark):
     assert sorted((r["id"], r["near"], r["rank"]) for r in rows) == [(1, 2, 1), (2, 1, 1)]
     assert similarity.embedding_topk(corpus.limit(0), df, 3, "near", "id", "v").count() == 0
     assert similarity.embedding_topk(corpus, df.limit(0), 3, "near", "id", "v").count() == 0
+
+
+@pytest.mark.parametrize("metric, leave_out", [("cosine", False), ("sqeuclidean", True)])
+def test_search_by_blocks_of_both_sides(spark, metric, leave_out, monkeypatch):
+    monkeypatch.setattr(similarity, "CELL_ROWS", 40)
+    monkeypatch.setattr(similarity, "PACK_BYTES", 6 * 8 * 16)
+    monkeypatch.setattr(similarity, "QUERY_BLOCK", 30)
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 6 * 8 * 100)
+    assert similarity.block_parts(400, 400, 48, 2) == {"of": 4, "asked": 4}
+    x = vectors(400)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    odd = spark.createDataFrame([(400, [float("inf")] * 6), (401, [float("nan")] * 6)], df.schema)
+    found: dict[int, list] = {}
+    for row in similarity.embedding_topk(df.unionAll(odd).withColumnRenamed("id", "near"), df, 4, "near", "id", "v", metric, leave_out).orderBy("id", "rank").collect():
+        found.setdefault(row["id"], []).append(row["near"])
+    assert found == {i: nearest(x, i, 4, metric, leave_out) for i in range(400)}
+
+
+def test_a_vector_is_sent_once_per_part_of_the_other_side():
+    """720,000 vectors of 64 numbers against themselves: 11 copies of each on either side, not one for each of 64 cells and 4 slots."""
+    assert similarity.block_parts(720_000, 720_000, 512, 12) == {"of": 11, "asked": 11}
+    assert similarity.block_parts(120_000, 120_000, 512, 12) == {"of": 6, "asked": 2}
+    assert similarity.block_parts(720_000, 10, 512, 12) == {"of": 12, "asked": 1}
+    assert similarity.block_parts(900, 10, 512, 12) == {"of": 1, "asked": 1}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,10 +14,10 @@ from trellis.operators.ordering import global_row_number
 from trellis.session import Scratch
 
 QUERY_BLOCK = 512  # query vectors in a pack
+BLOCK_BYTES = 1 << 25  # vectors of one side in a block, on average
 CELLS = 64  # cells of the vector search at most
 CELL_ROWS = 1024  # vectors that make a cell worth its own packs
 PACK_BYTES = 1 << 19  # corpus vectors in a pack
-SLOTS = 4  # parts of a cell in the join
 RESCORED = 1 << 16  # pairs scored at a time
 
 
@@ -156,46 +157,52 @@ def embedding_topk(
     """Exact nearest vectors: ``<query_id>, <corpus_id>, score, rank`` (cosine: highest first;
     ``sqeuclidean``: lowest first; ties by corpus id). Rows without a vector are left out.
 
-    The corpus is read once and laid out in cells around at most ``cells`` of its vectors, as packs of bounded size that know how
-    near and how far from the centre theirs lie. Queries are packed likewise and meet the packs of a cell by a join: first those of
-    their nearest cell, which gives each a bound, then those of all cells that by the triangle inequality may hold something
-    within the bound. Cosines are compared as distances of unit vectors. No vector but the centres passes the driver.
+    Corpus and queries are read once and laid out in packs of bounded size, by cells around at most ``cells`` of the corpus's vectors.
+    Packs are dealt to parts, and a block for each part of the corpus and part of the queries finds the best of its pairs: a vector is
+    sent once per part of the other side, whatever the cells. In a block a query's best so far excludes, by the triangle
+    inequality, whole packs. Cosines are compared as distances of unit vectors. No vector but the centres passes the driver.
     """
     scratch = Scratch(corpus.sparkSession)
     id_type, query_type = dict(corpus.dtypes)[corpus_id], dict(queries.dtypes)[query_id]
     of = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     asked = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    cells = min(cells, of.count() // CELL_ROWS + 1)
+    rows = of.count()
+    cells = min(cells, rows // CELL_ROWS + 1)
     # Several times as many as needed: a vector that many rows share is one centre.
     first = of.select("v", F.xxhash64("id", "v").alias("h")).orderBy("h").limit(4 * cells).collect()
-    found_type = f"q {query_type}, id {id_type}, score double"
     if not first:
         return corpus.sparkSession.createDataFrame([], f"{query_id} {query_type}, {corpus_id} {id_type}, score double, rank bigint")
     centres = _scaled(np.array(list(dict.fromkeys(tuple(row["v"]) for row in first))[:cells]), metric)
-    layout = f"cell int, near double, far double, ids array<{id_type}>, vs binary"
-    packs = scratch.put(of.mapInPandas(_corpus_packs(centres, metric), layout).withColumn("slot", F.pmod(F.xxhash64("vs"), F.lit(SLOTS))), "packs")
-    used = packs.groupBy("cell").agg(F.min("near").alias("near"), F.max("far").alias("far")).orderBy("cell").toPandas()
-    shape = f"cell int, qs array<{query_type}>, qv binary, away array<double>, bound array<double>"
-    slots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLOTS - 1).cast("long")))
-
-    def meet(rows: DataFrame, bounded: bool, slot: str) -> DataFrame:
-        """The best of each pack for the queries whose cells are asked."""
-        sides = scratch.put(rows.mapInPandas(_query_packs(centres, used, metric, bounded), shape), f"asked_{slot}")
-        met = packs.join(sides.withColumn("slot", slots), ["cell", "slot"]).drop("cell", "slot")
-        order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-        rank = F.row_number().over(Window.partitionBy("q").orderBy(order, "id"))
-        best = met.mapInPandas(_best_of_packs(k, centres.shape[1], metric, exclude_same_id), found_type)
-        return scratch.put(best.withColumn("rank", rank).filter(F.col("rank") <= k), f"found_{slot}")
-
-    nearest = meet(asked.withColumn("bound", F.lit(0.0)), False, "first")
-    worst = F.min("score") if metric == "cosine" else F.max("score")
-    bounds = nearest.groupBy("q").agg(F.when(F.count("*") == k, worst).alias("bound"))
-    limits = asked.join(bounds.withColumnRenamed("q", "id"), "id", "left").select("id", "v", F.coalesce("bound", F.lit(float("nan"))).alias("bound"))
-    others = meet(limits, True, "rest")
+    size = centres.shape[1]
+
+    def packs(side: DataFrame, kind: str, most: int, slot: str) -> DataFrame:
+        layout = f"cell int, near double, far double, ids array<{kind}>, vs binary"
+        return scratch.put(side.mapInPandas(_packs(centres, metric, most), layout), slot)
+
+    pack_rows = max(1, PACK_BYTES // (8 * size))
+    sides = {"of": packs(of, id_type, pack_rows, "packs"), "asked": packs(asked, query_type, QUERY_BLOCK, "asked")}
+    parts = block_parts(rows, asked.count(), 8 * size, corpus.sparkSession.sparkContext.defaultParallelism)
+    blocks = parts["of"] * parts["asked"]
+    other = {"of": "asked", "asked": "of"}
+    met = {}
+    for side, df in sides.items():
+        part = F.pmod(F.xxhash64("vs", "ids"), F.lit(parts[side])).cast("int")
+        each = df.select("*", part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(parts[other[side]] - 1))).alias("turn"))
+        block = F.col("part") * parts["asked"] + F.col("turn") if side == "of" else F.col("turn") * parts["asked"] + F.col("part")
+        # A stated number of tasks: blocks are work, not bytes, by which Spark would put them together.
+        met[side] = each.withColumn("block", block).drop("part", "turn").repartition(4 * blocks, "block").groupBy("block")
+    found_type = f"q {query_type}, id {id_type}, score double"
+    best = met["of"].cogroup(met["asked"]).applyInPandas(_best_of_block(k, centres, metric, exclude_same_id), found_type)
     order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
     rank = F.row_number().over(Window.partitionBy("q").orderBy(order, "id"))
-    both = nearest.drop("rank").unionByName(others.drop("rank")).withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
-    return both.select(F.col("q").alias(query_id), F.col("id").alias(corpus_id), "score", "rank")
+    ranked = scratch.put(best, "found").withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
+    return ranked.select(F.col("q").alias(query_id), F.col("id").alias(corpus_id), "score", "rank")
+
+
+def block_parts(rows: int, asked: int, row_bytes: int, cores: int) -> dict[str, int]:
+    """Parts of the corpus and of the queries: as few as keep a block at its size and, where there are cells enough, give each core one."""
+    of, by = [max(1, math.ceil(n * row_bytes / BLOCK_BYTES)) for n in (rows, asked)]
+    return {"of": max(of, min(cores // by, rows // CELL_ROWS)), "asked": by}
 
 
 def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
@@ -231,18 +238,18 @@ def _packed(size: int):
     return add, rest
 
 
-def _corpus_packs(centres: np.ndarray, metric: str):
-    size = max(1, PACK_BYTES // (8 * centres.shape[1]))
+def _packs(centres: np.ndarray, metric: str, most: int):
+    """Vectors of a cell, ``most`` at a time, with how near and how far from its centre they lie."""
 
     def row(cell: int, columns) -> pd.DataFrame:
         ids, x, d = columns
         return pd.DataFrame({"cell": [cell], "near": [d.min()], "far": [d.max()], "ids": [ids.tolist()], "vs": [x.tobytes()]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        add, rest = _packed(size)
+        add, rest = _packed(most)
         for pdf in batches:
-            for start in range(0, len(pdf), size):
-                part = pdf.iloc[start:start + size]
+            for start in range(0, len(pdf), most):
+                part = pdf.iloc[start:start + most]
                 x, ids = _vectors(part, metric), part["id"].to_numpy(dtype=object)
                 away = _distances(x, centres)
                 cell = away.argmin(1)
@@ -256,72 +263,80 @@ def _corpus_packs(centres: np.ndarray, metric: str):
     return run
 
 
-def _query_packs(centres: np.ndarray, used: pd.DataFrame, metric: str, bounded: bool):
-    """Packs of queries by cell: of the nearest used cell, or of all others that their bound does not rule out."""
-    cells, near, far = used["cell"].to_numpy(), used["near"].to_numpy(), used["far"].to_numpy()
-
-    def row(cell: int, columns) -> pd.DataFrame:
-        ids, x, d, bound = columns
-        return pd.DataFrame({"cell": [cell], "qs": [ids.tolist()], "qv": [x.tobytes()], "away": [d.tolist()], "bound": [bound.tolist()]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        add, rest = _packed(QUERY_BLOCK)
-        for pdf in batches:
-            for start in range(0, len(pdf), QUERY_BLOCK):
-                part = pdf.iloc[start:start + QUERY_BLOCK]
-                x, ids = _vectors(part, metric), part["id"].to_numpy(dtype=object)
-                away = _distances(x, centres[cells])
-                first = away.argmin(1)
-                reach = np.full(len(part), np.inf)
-                if bounded:
-                    score = part["bound"].to_numpy(dtype="float64")
-                    reach = np.sqrt(np.maximum(2 - 2 * score if metric == "cosine" else score, 0.0))
-                    # Room for rounding, in proportion to the lengths that were subtracted.
-                    reach = np.where(np.isnan(score), np.inf, reach + 1e-6 * (1 + np.linalg.norm(x, axis=1)))
-                for c, cell in enumerate(cells):
-                    mine = first == c
-                    if bounded:
-                        low = np.maximum(away[:, c] - far[c], near[c] - away[:, c])
-                        mine = ~mine & (low <= reach)
-                    if mine.any():
-                        for full in add(int(cell), ids[mine], x[mine], away[mine, c], reach[mine]):
-                            yield row(*full)
-        for left in rest():
-            yield row(*left)
+def _best_of_block(k: int, centres: np.ndarray, metric: str, exclude_same_id: bool):
+    """The ``k`` best of a block's corpus for each of its queries, a pack of queries at a time: the packs that may lie nearest come first,
+    and those farther from all of them than their best so far are left out."""
+    size = centres.shape[1]
+
+    def losses(q: np.ndarray, x: np.ndarray, of_q: np.ndarray, of_x: np.ndarray) -> np.ndarray:
+        loss = q @ x.T
+        loss *= -1.0 if metric == "cosine" else -2.0
+        if metric != "cosine":
+            loss += of_q[:, None]
+            loss += of_x[None, :]
+        return loss
+
+    def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a * b).sum(1) if metric == "cosine" else ((a - b) ** 2).sum(1)
+
+    def best(q: np.ndarray, qs: np.ndarray, packs: list) -> pd.DataFrame:
+        away, of_q = _distances(q, centres), (q * q).sum(1)
+        own = set(qs) if exclude_same_id else ()
+        lower = np.stack([np.maximum(np.maximum(away[:, p.cell] - p.far, p.near - away[:, p.cell]), 0.0) for p in packs], axis=1)
+        top = np.full((len(q), k), np.inf)  # the k least losses so far, not in order
+        worst = np.full(len(q), np.inf)
+        most = max(p.most for p in packs)
+        rows, found, scores = [], [], []
+        for i in np.argsort(lower.mean(0), kind="stable"):
+            p = packs[i]
+            # Room for rounding, in proportion to the lengths that were subtracted.
+            reach = np.sqrt(np.maximum(2 + 2 * worst if metric == "cosine" else worst, 0.0)) + 1e-6 * (1 + np.sqrt(of_q))
+            asked = np.flatnonzero(~(lower[:, i] > reach))
+            if not len(asked):
+                continue
+            loss = losses(q[asked], p.x, of_q[asked], p.of_x)
+            if p.odd:
+                loss[~np.isfinite(loss)] = np.inf
+            if exclude_same_id and not own.isdisjoint(p.idset):
+                loss[qs[asked][:, None] == p.ids[None, :]] = np.inf
+            # What rounding may have put behind the k-th counts too; the scores are then summed in one order.
+            room = 1e-9 * (1 + of_q[asked] + most)
+            hit = np.flatnonzero((loss <= (worst[asked] + room)[:, None]).any(1))
+            if not len(hit):
+                continue
+            loss, asked, room = loss[hit], asked[hit], room[hit]
+            least = np.partition(np.concatenate([top[asked], loss], axis=1), k - 1, axis=1)[:, :k]
+            top[asked], worst[asked] = least, least[:, k - 1]
+            a, b = np.nonzero((loss <= (worst[asked] + room)[:, None]) & np.isfinite(loss))
+            for start in range(0, len(a), RESCORED):
+                here, there = asked[a[start:start + RESCORED]], b[start:start + RESCORED]
+                rows.append(here)
+                found.append(p.ids[there])
+                scores.append(exact(q[here], p.x[there]))
+        if not rows:
+            return pd.DataFrame({"q": [], "id": [], "score": []})
+        rows, ids, score = np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
+        order = np.lexsort((ids, -score if metric == "cosine" else score, rows))
+        rows, ids, score = rows[order], ids[order], score[order]
+        kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        return pd.DataFrame({"q": qs[rows[kept]], "id": ids[kept], "score": score[kept]})
+
+    def run(corpus: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        packs = [_Pack(p.cell, p.near, p.far, p.ids, np.frombuffer(p.vs).reshape(-1, size)) for p in corpus.itertuples(index=False)]
+        out = [best(np.frombuffer(p.vs).reshape(-1, size), np.asarray(p.ids, dtype=object), packs) for p in asked.itertuples(index=False)] if packs else []
+        out = [x for x in out if len(x)]
+        return pd.concat(out) if out else pd.DataFrame({"q": [], "id": [], "score": []})
 
     return run
 
 
-def _best_of_packs(k: int, size: int, metric: str, exclude_same_id: bool):
-    def best(pack) -> pd.DataFrame | None:
-        x = np.frombuffer(pack.vs).reshape(-1, size)
-        q, away, bound = np.frombuffer(pack.qv).reshape(-1, size), np.asarray(pack.away), np.asarray(pack.bound)
-        asked = np.flatnonzero(np.maximum(away - pack.far, pack.near - away) <= bound)
-        if not len(asked):
-            return None
-        q, qs, ids = q[asked], np.asarray(pack.qs, dtype=object)[asked], np.asarray(pack.ids, dtype=object)
-        loss = -(q @ x.T) if metric == "cosine" else (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * (q @ x.T)
-        if exclude_same_id:
-            loss[qs[:, None] == ids[None, :]] = np.inf
-        # All up to the k-th and what rounding may have put behind it; their scores are then summed in one order.
-        last = np.partition(loss, k - 1, axis=1)[:, k - 1] if loss.shape[1] > k else np.full(len(q), np.finfo("float64").max)
-        room = 1e-9 * (1 + (q * q).sum(1) + (x * x).sum(1).max())
-        rows, columns = np.nonzero((loss <= (last + room)[:, None]) & np.isfinite(loss))
-        score = np.empty(len(rows))
-        for start in range(0, len(rows), RESCORED):
-            a, b = q[rows[start:start + RESCORED]], x[columns[start:start + RESCORED]]
-            score[start:start + RESCORED] = (a * b).sum(1) if metric == "cosine" else ((a - b) ** 2).sum(1)
-        order = np.lexsort((ids[columns], -score if metric == "cosine" else score, rows))
-        rows, columns, score = rows[order], columns[order], score[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        kept = place < k
-        return pd.DataFrame({"q": qs[rows[kept]], "id": ids[columns[kept]], "score": score[kept]})
+class _Pack:
+    """Vectors of one cell as the blocks use them."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for pack in pdf.itertuples(index=False):
-                out = best(pack)
-                if out is not None and len(out):
-                    yield out
-
-    return run
+    def __init__(self, cell: int, near: float, far: float, ids, x: np.ndarray):
+        self.cell, self.near, self.far, self.x = cell, near, far, x
+        self.ids = np.asarray(ids, dtype=object)
+        self.idset = frozenset(self.ids)
+        self.of_x = (x * x).sum(1)
+        finite = np.isfinite(self.of_x)
+        self.odd, self.most = not finite.all(), self.of_x[finite].max(initial=0.0)
