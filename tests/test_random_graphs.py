@@ -113,6 +113,14 @@ def test_pairs_of_a_hot_group_are_all_there(spark):
     assert got == {(a, b) for a in range(60) for b in range(a + 1, 60)}
 
 
+def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
+    """By the bytes of 400 rows one task would list all 3,900 pairs."""
+    monkeypatch.setattr(match, "PIECE_PAIRS", 100)
+    rows = spark.range(400).selectExpr("id % 20 as g", "id as m")
+    pairs = match.pairs_within(rows, ["g"], "m")
+    assert pairs.rdd.getNumPartitions() == 38 and pairs.count() == 20 * 190
+
+
 def test_cycles_agree_with_counts(case):
     _, edges, _, e = case
     counts = match.closed_walk_counts(e, "w", 3)
