@@ -41,3 +41,15 @@ def test_few_copies_of_an_edge():
     assert 3 * node_parts(3_300_000, 8) == 6
     assert 3 * node_parts(150_000_000, 12) == 33
     assert node_parts(10, 27) == 3
+
+
+def test_blocks_hold_each_edge_once(spark):
+    """What is shuffled and written does not grow with the number of parts; only what the cells read does."""
+    from trellis.session import Scratch
+
+    pairs = list(itertools.combinations(range(12), 2))
+    scratch = Scratch(spark)
+    found = match.triangle_list(spark.createDataFrame(pairs + pairs, "src long, dst long"), scratch, cell_edges=10)
+    assert match.node_parts(len(pairs), 1, 10) == 5
+    assert spark.read.parquet(f"{scratch.root}/blocks").count() == len(pairs)
+    assert found.count() == 220

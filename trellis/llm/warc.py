@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trellis.llm.common import body, text_chunks
-from trellis.session import Scratch
+from trellis.session import Scratch, file_system
 
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.jsonl.gz"
@@ -39,16 +39,9 @@ LEAST_BYTES = 0  # smaller payloads are never revisits
 LEVEL = 1
 MOST_HOT = 1000
 HOT_ROWS = 200  # payloads with fewer rows are never broadcast
-SCHEMES = {"s3a": "s3", "s3n": "s3"}  # names that Hadoop and Arrow give the same store
 DATE = "1970-01-01T00:00:00Z"  # the pages have no time of capture
 
 
-def file_system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """Arrow's file system for a folder named as Hadoop names it, and the path there."""
-    scheme, colon, rest = folder.partition("://")
-    return pyarrow.fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{colon}{rest}")
-
-
 # ---- writing
 
 
