@@ -89,3 +89,20 @@ def test_shuffles_start_with_pieces_of_bounded_size(spark):
         assert spark.conf.get(setting) == "101"
     finally:
         spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_next_rows_are_written_once_and_narrow(spark, monkeypatch):
+    """What is written has the next row's carried columns only, not its group's, and rows without a next one only at the ends of ranges."""
+    written, put = [], session.Scratch.put
+
+    def seen(self, df, slot="state"):
+        written.append(put(self, df, slot))
+        return written[-1]
+
+    monkeypatch.setattr(session.Scratch, "put", seen)
+    some = [(float(g), t, t) for g in range(50) for t in range(4)]
+    df = spark.createDataFrame(some, "g double, t int, v int")
+    assert ordering.next_row_pairs(df, ["g"], ["t"], ["v"]).count() == 150
+    (stored,) = written
+    assert [c for c in stored.columns if c.startswith("_next_")] == ["_next_v"]
+    assert stored.filter("not _same and not _starts and not _ends").count() == 0
